@@ -79,7 +79,8 @@ def allowed_places(spark, sf):
     rows = points(spark, sf).where("places is not null")
     return rows.select(
         "event_id", F.concat_ws(",", sensors.allowed_places("places").cast("array<string>"))
-        .alias("allowed"), sensors.first_allowed_place("places").alias("first_place"))
+        .alias("allowed"), sensors.first_allowed_place("places").alias("first_place")
+    ).where("first_place is not null")
 
 
 QUERIES = {
@@ -152,8 +153,8 @@ ORACLES = {
     "allowed_places": SQL + """, a as (
           select event_id, list_filter(placetype, lambda t: t in (3, 4, 9, 13, 15, 23, 27, 45, 48)) as al
           from dp where placetype is not null)
-        select event_id, coalesce(array_to_string(al, ','), '') as allowed,
-          cast(al[1] as integer) as first_place from a""",
+        select event_id, array_to_string(al, ',') as allowed,
+          cast(al[1] as integer) as first_place from a where len(al) > 0""",
     "source_label": SQL + f" select event_id, {SOURCE_SQL} as source from dp",
     "hop_distance": SQL + """, n as (
           select event_id, node, (case event_id % 3 when 0 then 'leaf' when 1 then 'spine'

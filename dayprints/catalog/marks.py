@@ -43,12 +43,13 @@ def new_headers(spark, sf):
 
 def mark_lookup(spark, sf):
     return marks.mark_lookup(points(spark, sf), events.marks(spark, sf), "mobility").select(
-        "event_id", "mark")
+        "event_id", F.coalesce("mark", F.lit("1970-01-01").cast("date")).alias("mark"))
 
 
 def distinct_rows(spark, sf):
     return points(spark, sf).where("type = 'callreg'").select(
-        "service", "user", "day", "destination_number").distinct()
+        "service", "user", "day",
+        F.coalesce("destination_number", F.lit("")).alias("number")).distinct()
 
 
 QUERIES = {
@@ -83,9 +84,10 @@ ORACLES = {
           select 1 from dp where dp.service = h.service and dp."user" = h."user"
             and dp.day = h.date and dp.day < date '{STORED_BEFORE}')""",
     "mark_lookup": _HEADER + """
-        select event_id, mark from dp left join (
+        select event_id, coalesce(mark, date '1970-01-01') as mark from dp left join (
           select service, "user", max(date) as mark from marks where data_type = 'mobility'
           group by service, "user") m using (service, "user")""",
     "distinct_rows": SQL + """
-        select distinct service, "user", day, destination_number from dp where type = 'callreg'""",
+        select distinct service, "user", day, coalesce(destination_number, '') as number
+        from dp where type = 'callreg'""",
 }

@@ -35,7 +35,8 @@ def contact_entropy_shannon(spark, sf):
 
 
 def call_weeks(spark, sf):
-    return social.call_weeks(_calls(spark, sf), events.SINCE).withColumn("entropy", rnd("entropy", 9))
+    return social.call_weeks(_calls(spark, sf), events.SINCE).withColumn(
+        "entropy", rnd(F.coalesce("entropy", F.lit(-1.0)), 9))
 
 
 def app_usage(spark, sf):
@@ -70,7 +71,7 @@ def flatten_apps(spark, sf):
 
 
 def call_register(spark, sf):
-    return social.call_register(_calls(spark, sf))
+    return social.call_register(_calls(spark, sf)).fillna({"number": ""})
 
 
 QUERIES = {
@@ -127,14 +128,14 @@ ORACLES = {
         select service, "user", week, round(-sum(n / total * log2(n / total)), 9) + 0 as entropy
         from t group by all""",
     "call_weeks": _CALLS + f"""
-        select service, "user", week, {_PCT}, round(log2(nullif(count(distinct number)
-          filter (where day > date '{events.SINCE}'), 0)), 9) as entropy from calls group by all""",
+        select service, "user", week, {_PCT}, round(coalesce(log2(nullif(count(distinct number)
+          filter (where day > date '{events.SINCE}'), 0)), -1), 9) as entropy from calls group by all""",
     "call_register": _CALLS + """
-        select strftime(ts, '%H:%M:%S') as time, duration, destination_number as number,
+        select strftime(ts, '%H:%M:%S') as time, duration, number,
           call_type as type, service, "user", day from calls""",
     "app_usage": SQL + _APPS + " select * from usage",
     "calls_apps_outer": _CALLS + _APPS + """
-        select service, "user", day, c.calls, u.app_rows
+        select service, "user", day, coalesce(c.calls, 0) as calls, coalesce(u.app_rows, 0) as app_rows
         from (select service, "user", day, count(*) as calls from calls group by all) c
         full join (select service, "user", day, count(*) as app_rows from usage group by all) u
           using (service, "user", day)""",

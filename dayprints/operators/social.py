@@ -107,7 +107,7 @@ def calls_apps_outer(calls: DataFrame, apps: DataFrame) -> DataFrame:
     """
     c = calls.groupBy(*DAY).agg(F.count(F.lit(1)).alias("calls"))
     a = apps.groupBy(*DAY).agg(F.count(F.lit(1)).alias("app_rows"))
-    return c.join(a, on=DAY, how="full_outer")
+    return c.join(a, on=DAY, how="full_outer").fillna(0, ["calls", "app_rows"])
 
 
 def social_places(df: DataFrame) -> DataFrame:
