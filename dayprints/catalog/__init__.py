@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["filters", "functions", "slots", "marks", "social", "indicators", "ordering"]
+MODULES = ["filters", "functions", "slots", "marks", "social", "indicators", "ordering", "places"]
 
 
 def _collect(attribute: str) -> dict:

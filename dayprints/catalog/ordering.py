@@ -93,8 +93,8 @@ _STEPS = SQL + """, m as (
     st as (select * from s where step is not null)"""
 
 _GAPS = SQL + """, g as (
-      select event_id, node, epoch_ms(ts) - epoch_ms(lag(ts) over (
-        partition by node order by ts, event_id)) as gap_ms from dp),
+      select event_id, node, epoch_us(ts) // 1000 - epoch_us(lag(ts) over (
+        partition by node order by ts, event_id)) // 1000 as gap_ms from dp),
     gap as (select * from g where gap_ms is not null)"""
 
 _TOP5 = SQL + """, sc as (
@@ -149,10 +149,10 @@ ORACLES = {
           lambda i: case when list_contains(ones, i) then 1 else 0 end), '') as vector
         from o join z using ("user")""",
     "wifi_within_60s": _TOP5 + """, p as (
-          select service, event_id, epoch_ms(ts) as t from dp where wifi is null),
+          select service, event_id, epoch_us(ts) // 1000 as t from dp where wifi is null),
         c as (
-          select p.event_id, s.event_id as scan_id, s.top, epoch_ms(s.ts) as st, p.t
-          from p join sc s on s.service = p.service and abs(epoch_ms(s.ts) - p.t) <= 60000),
+          select p.event_id, s.event_id as scan_id, s.top, epoch_us(s.ts) // 1000 as st, p.t
+          from p join sc s on s.service = p.service and abs(epoch_us(s.ts) // 1000 - p.t) <= 60000),
         b as (select *, row_number() over (partition by event_id order by abs(st - t), st > t,
           case when st > t then scan_id else -scan_id end) as rn from c)
         select p.event_id, coalesce(b.scan_id, -1) as scan_id,
