@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dayprints.catalog.common import GEO_SQL, SQL, points, rnd
+from dayprints.catalog.ordering import _TOP5
 from dayprints.operators import dbscan as db
 from dayprints.operators import filters
 
@@ -25,9 +26,22 @@ def dbscan(spark, sf):
     return db.dbscan(_positions(spark, sf), db.Euclidean(EPS))
 
 
+def _place_points(spark, sf):
+    """Slow positions of a service with the wifi seen within a minute of them."""
+    rows = points(spark, sf)
+    positions = filters.place(rows.where("wifis is null")).select(
+        "service", "event_id", "ts", "longitude", "latitude", "altitude")
+    return db.place_points(positions, rows.where("wifis is not null"), "service")
+
+
+def dbscan_multimodal(spark, sf):
+    return db.dbscan(_place_points(spark, sf), db.Multimodal(), by="service")
+
+
 QUERIES = {
     "eps_neighbours": eps_neighbours,
     "dbscan": dbscan,
+    "dbscan_multimodal": dbscan_multimodal,
 }
 
 _PAIRS = SQL + f""", p as (
@@ -48,12 +62,37 @@ _LABELS = """,
       select pr.a, min(cl.label) as label from pr join cl on pr.b = cl.a
       where pr.a not in (select a from core) group by pr.a
       union all select a, label from cl)
-    select p."user", p.event_id, coalesce(lab.label, -1) as label
+    select p.{by}, p.event_id, coalesce(lab.label, -1) as label
     from p left join lab on lab.a = p.event_id"""
 
+_PLACES = _TOP5 + """, g as (
+      select service, event_id, epoch_us(ts) // 1000 as t, longitude as x, latitude as y,
+        case when altitude = 0 then 600 else altitude end as z
+      from dp where wifi is null and longitude <> -1 and latitude <> -1 and accuracy < 90
+        and speed < 0.5),
+    c as (
+      select g.event_id, s.event_id as scan_id, s.top, epoch_us(s.ts) // 1000 as st, g.t
+      from g join sc s on s.service = g.service and abs(epoch_us(s.ts) // 1000 - g.t) <= 60000),
+    n as (select *, row_number() over (partition by event_id order by abs(st - t), st > t,
+      case when st > t then scan_id else -scan_id end) as rn from c),
+    v as (select service, count(distinct h) as vocab
+      from (select service, unnest(top) as h from sc) group by all),
+    p as (
+      select g.*, coalesce(n.top, []) as sig, v.vocab from g join v using (service)
+      left join n on n.event_id = g.event_id and n.rn = 1),
+    pr as (
+      select a.event_id as a, b.event_id as b from p a join p b on a.service = b.service
+      where sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) *
+        (1 + 0.25::double / 10 * (abs(a.z - b.z) - 10) + 0.25::double / 0.001::double * (
+          (len(a.sig) + len(b.sig) - 2 * len(list_intersect(a.sig, b.sig)))::double / a.vocab
+          - 0.001::double)) <= 0.3::double / 6371),
+    core as (select a from pr group by a having count(*) >= 6)"""
+
 ORACLES = {
     "eps_neighbours": _PAIRS + """
         select "user", event_id, cast(case when event_id in (select a from core) then 1 else 0 end
           as integer) as core from p""",
-    "dbscan": _PAIRS.replace("with ", "with recursive ", 1) + _LABELS,
+    "dbscan": (_PAIRS + _LABELS.format(by='"user"')).replace("with ", "with recursive ", 1),
+    "dbscan_multimodal": (_PLACES + _LABELS.format(by="service")).replace(
+        "with ", "with recursive ", 1),
 }

@@ -23,7 +23,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayprints.functions.sensors import top_wifis
 from dayprints.operators.components import components
+from dayprints.operators.wifi import nearest_scan, scan_hashes
 from dayprints.session import cut_lineage
 
 SPLIT = 8
@@ -303,3 +305,19 @@ def plain_points(df: DataFrame, x: str = "longitude", y: str = "latitude") -> Da
     """Give points the columns that ``dbscan`` reads."""
     return df.withColumns({"x": F.col(x), "y": F.col(y), "z": F.lit(0.0),
                            "sig": F.array().cast("array<string>"), "vocab": F.lit(1)})
+
+
+def place_points(positions: DataFrame, scans: DataFrame, by: str) -> DataFrame:
+    """Positions with altitude and the nearest wifi scan, as ``Multimodal`` reads them.
+
+    A position without a scan within a minute has an empty set; the hamming
+    distance is over the number of distinct access points of the key's scans.
+    """
+    top = top_wifis("wifis", TOP_WIFIS)
+    near = nearest_scan(positions, scans, [by], F.struct(F.array_sort(top).alias("hashes")))
+    vocab = (scan_hashes(scans, [by], TOP_WIFIS).groupBy(by)
+             .agg(F.count_distinct("hash").alias("vocab")))
+    sig = F.coalesce("scan.payload.hashes", F.array().cast("array<string>"))
+    return (near.withColumns({"x": F.col("longitude"), "y": F.col("latitude"),
+                              "z": F.col("altitude"), "sig": sig})
+            .join(vocab, on=by, how="left").fillna(1, ["vocab"]))
