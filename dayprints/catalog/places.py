@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from dayprints.catalog.common import GEO_SQL, SQL, points, rnd
 from dayprints.catalog.ordering import _TOP5
 from dayprints.operators import dbscan as db
+from dayprints.functions.time import epoch_seconds
+from dayprints.operators import denstream as den
 from dayprints.operators import filters
+from dayprints.operators import microclusters as mc
+from dayprints.session import cut_lineage
 
 EPS = 0.00047
 
@@ -38,10 +42,92 @@ def dbscan_multimodal(spark, sf):
     return db.dbscan(_place_points(spark, sf), db.Multimodal(), by="service")
 
 
+def denstream_init(spark, sf):
+    """First clusters of a service's positions: 900 samples or more, one per label."""
+    rows = filters.no_sentinel(filters.geo(points(spark, sf))).select(
+        "service", "event_id", "ts", "longitude", "latitude")
+    labels = db.dbscan(db.plain_points(rows), db.Euclidean(EPS), by="service")
+    labelled = rows.join(labels.select("event_id", "label"), on="event_id")
+    return den.initial_clusters(labelled, "service").select(
+        "service", "creationTimeStamp", "N", "updated",
+        *[rnd(c).alias(c) for c in ("weight", "LS1", "LS2", "SS1", "SS2")])
+
+
+def _places(spark, sf):
+    """Sums of the places a user is known at, before any clustering run."""
+    rows = points(spark, sf).where("event_id % 17 <> 0").select(
+        "user", "user_id", "event_id", "ts", "longitude", "latitude",
+        (F.col("event_id") % 5).alias("label"), epoch_seconds("ts").alias("t"))
+    return mc.cluster_summary(rows).withColumn(
+        "type_cluster", F.when(F.col("label") < 3, mc.POTENTIAL).otherwise(mc.OUTLIER))
+
+
+SUMS = ["weight", "LS1", "LS2", "SS1", "SS2", "longitude", "latitude"]
+
+
+def cluster_summary(spark, sf):
+    return _places(spark, sf).select(
+        "user", "label", "N", "creationTimeStamp", rnd("radius").alias("radius"),
+        *[rnd(c).alias(c) for c in SUMS])
+
+
+def denstream_prune(spark, sf):
+    at = F.lit(PRUNED_AT).cast("bigint")
+    return mc.prune(_places(spark, sf), at).select("user", "label", "type_cluster", "N")
+
+
+def auto_params(spark, sf):
+    return mc.auto_params(_places(spark, sf)).select(
+        "user", rnd("epsilon").alias("epsilon"), rnd("mu", 3).alias("mu"))
+
+
+def cluster_upsert(spark, sf):
+    """Places of service 1 are updated, all others stay."""
+    stored = _places(spark, sf).select("user", "type_cluster", "label", "N")
+    updated = (stored.where("cast(user as bigint) % 3 = 1 and type_cluster = 'pMicroCluster'")
+               .withColumn("N", F.col("N") + 100))
+    return mc.cluster_upsert(stored, updated)
+
+
+def load_user_clusters(spark, sf):
+    samples = points(spark, sf).where("day > date'2024-01-12'").select(
+        "user", F.col("event_id").alias("seq"), F.col("longitude").alias("x"),
+        F.col("latitude").alias("y"))
+    out = den.load_user_clusters(samples, _places(spark, sf), "user")
+    return out.select("user", "seq", rnd("x").alias("x"), rnd("y").alias("y"),
+                      F.coalesce("N", F.lit(0)).alias("n"))
+
+
+def _track(spark, sf):
+    return filters.no_sentinel(filters.geo(points(spark, sf)))
+
+
+def denstream(spark, sf):
+    """Clusters of each user after all samples, from none."""
+    return den.denstream(_track(spark, sf))
+
+
+def clusters_out(spark, sf):
+    """Two runs: the first days, then the rest merged into the saved clusters."""
+    rows = _track(spark, sf)
+    saved = cut_lineage(den.denstream(rows.where("day <= date'2024-01-12'")))
+    return den.clusters_out(den.denstream(rows.where("day > date'2024-01-12'"), saved))
+
+
+PRUNED_AT = 1706000000  # 2024-01-23
+
 QUERIES = {
     "eps_neighbours": eps_neighbours,
     "dbscan": dbscan,
     "dbscan_multimodal": dbscan_multimodal,
+    "cluster_summary": cluster_summary,
+    "denstream": denstream,
+    "denstream_prune": denstream_prune,
+    "denstream_init": denstream_init,
+    "clusters_out": clusters_out,
+    "auto_params": auto_params,
+    "cluster_upsert": cluster_upsert,
+    "load_user_clusters": load_user_clusters,
 }
 
 _PAIRS = SQL + f""", p as (
@@ -52,16 +138,18 @@ _PAIRS = SQL + f""", p as (
       where sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {EPS}::double),
     core as (select a from pr group by a having count(*) >= 6)"""
 
-# reachability over pairs of core points, then the smallest core id
-_LABELS = """,
+# spread every neighbour minimum over pairs of core points, then take the smallest
+_LABEL_CTES = """,
     cp as (select a, b from pr where a in (select a from core) and b in (select a from core)),
-    reach(a, b) as (
-      select a, b from cp union select r.a, c.b from reach r join cp c on r.b = c.a),
-    cl as (select a, min(b) as label from reach group by a),
+    mn as (select a, min(b) as l from cp group by a),
+    reach(a, l) as (
+      select a, l from mn union select c.b, r.l from reach r join cp c on r.a = c.a),
+    cl as (select a, min(l) as label from reach group by a),
     lab as (
       select pr.a, min(cl.label) as label from pr join cl on pr.b = cl.a
       where pr.a not in (select a from core) group by pr.a
-      union all select a, label from cl)
+      union all select a, label from cl)"""
+_LABELS = _LABEL_CTES + """
     select p.{by}, p.event_id, coalesce(lab.label, -1) as label
     from p left join lab on lab.a = p.event_id"""
 
@@ -88,6 +176,20 @@ _PLACES = _TOP5 + """, g as (
           - 0.001::double)) <= 0.3::double / 6371),
     core as (select a from pr group by a having count(*) >= 6)"""
 
+_SUMS = SQL + """, pl as (
+      select *, event_id % 5 as label, pow(2::double, -1e-5::double * (row_number() over (
+        partition by "user", event_id % 5 order by ts desc, event_id desc) - 1)) as w
+      from dp where event_id % 17 <> 0),
+    a as (
+      select "user", label, count(*) as n, cast(max(floor(epoch(ts))) as bigint) as created,
+        sum(w) as weight, sum(longitude * w) as ls1, sum(latitude * w) as ls2,
+        sum(longitude * longitude * w) as ss1, sum(latitude * latitude * w) as ss2
+      from pl group by "user", label),
+    r as (
+      select *, greatest(sqrt(abs(ss1 / weight - pow(ls1 / weight, 2))),
+        sqrt(abs(ss2 / weight - pow(ls2 / weight, 2)))) as radius,
+        case when label < 3 then 'pMicroCluster' else 'oMicroCluster' end as type_cluster from a)"""
+
 ORACLES = {
     "eps_neighbours": _PAIRS + """
         select "user", event_id, cast(case when event_id in (select a from core) then 1 else 0 end
@@ -95,4 +197,43 @@ ORACLES = {
     "dbscan": (_PAIRS + _LABELS.format(by='"user"')).replace("with ", "with recursive ", 1),
     "dbscan_multimodal": (_PLACES + _LABELS.format(by="service")).replace(
         "with ", "with recursive ", 1),
+    "denstream_init": (_PAIRS.replace('"user"', "service").replace(
+        "event_id, service, longitude", "event_id, service, ts, longitude") + _LABEL_CTES + """,
+        st as (
+          select p.*, lab.label,
+            row_number() over (partition by service order by ts, event_id) as t,
+            count(*) over (partition by service) as samples
+          from p left join lab on lab.a = p.event_id),
+        e as (select service, max(t) as updated from st group by all),
+        bk as (
+          select *, pow(2::double, -1e-5::double * (row_number() over (
+            partition by service, label order by ts desc, event_id desc) - 1)) as w
+          from st where label is not null and samples >= 900)
+        select service, max(t) as "creationTimeStamp", count(*) as "N", any_value(updated) as updated,
+          round(sum(w), 6) as weight, round(sum(x * w), 6) as "LS1", round(sum(y * w), 6) as "LS2",
+          round(sum(x * x * w), 6) as "SS1", round(sum(y * y * w), 6) as "SS2"
+        from bk join e using (service) group by service, label""").replace(
+            "with ", "with recursive ", 1),
+    "cluster_summary": _SUMS + """
+        select "user", label, n as "N", created as "creationTimeStamp",
+          round(radius, 6) as radius, round(weight, 6) as weight, round(ls1, 6) as "LS1",
+          round(ls2, 6) as "LS2", round(ss1, 6) as "SS1", round(ss2, 6) as "SS2",
+          round(ls1 / weight, 6) as longitude, round(ls2 / weight, 6) as latitude from r""",
+    "denstream_prune": _SUMS + f"""
+        select "user", label, type_cluster, n as "N" from r where weight >= case
+          when type_cluster = 'pMicroCluster' then 6 else
+          (pow(2::double, -1e-5::double * ({PRUNED_AT} - created + 1400)) - 1) /
+          (pow(2::double, -1e-5::double * 1400) - 1) end""",
+    "auto_params": _SUMS + """
+        select "user", round(arg_min(radius, label) * 1.2, 6) as epsilon,
+          round(1 / (1 - pow(2::double, -1e-5::double)), 3) as mu from r group by "user\"""",
+    "cluster_upsert": _SUMS + """
+        select "user", type_cluster, label, n + case when cast("user" as bigint) % 3 = 1
+          and type_cluster = 'pMicroCluster' then 100 else 0 end as "N" from r""",
+    "load_user_clusters": _SUMS + """,
+        sm as (select "user", event_id, longitude, latitude from dp where day > date '2024-01-12')
+        select "user", event_id as seq, round(longitude, 6) as x, round(latitude, 6) as y,
+          0::bigint as n from sm
+        union all select "user", 0, round(ls1 / weight, 6), round(ls2 / weight, 6), n from r
+          where "user" in (select "user" from sm)""",
 }

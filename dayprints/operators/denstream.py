@@ -290,5 +290,13 @@ def initial_clusters(labelled: DataFrame, by: str = "user", p: Params = Params()
     """
     counts = labelled.groupBy(by).agg(F.count(F.lit(1)).alias("samples")).where(
         F.col("samples") >= p.sample_skip)
-    sums = cluster_summary(labelled.join(counts.select(by), on=by, how="left_semi"), by, p.lam)
-    return sums.withColumn("type_cluster", F.lit(POTENTIAL))
+    rows = labelled.join(counts, on=by)
+    if p.clock == "steps":
+        rows = row_numbers(rows, [by], ["ts", "event_id"], "t")
+    else:
+        rows = rows.withColumn("t", epoch_seconds("ts"))
+    sums = cluster_summary(rows, by, p.lam)
+    ends = rows.groupBy(by).agg(F.max("t").alias("updated"))
+    return sums.join(ends, on=by).select(
+        by, *STATE[:-1], F.lit(0).cast("bigint").alias("last_step"),
+        F.lit(POTENTIAL).alias("type_cluster"), "updated")
