@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["filters", "functions", "slots", "marks", "social", "indicators", "ordering", "places"]
+MODULES = ["sources", "filters", "functions", "slots", "marks", "social", "indicators", "ordering",
+           "places", "evaluation", "surfaces", "streams"]
 
 
 def _collect(attribute: str) -> dict:

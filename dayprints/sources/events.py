@@ -109,7 +109,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events")
+    return with_datapoint_columns(table(spark, sf_dir, "events"))
+
+
+def with_datapoint_columns(rows: DataFrame) -> DataFrame:
     scalars = rows.select("*", *[F.expr(e).alias(c) for c, e in _SCALARS.items()
                                  if c not in rows.columns])
     return scalars.select("*", *[F.expr(e).alias(c) for c, e in _SPARK_ONLY.items()])
