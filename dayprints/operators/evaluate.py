@@ -13,7 +13,6 @@ from dayprints.functions.sensors import hop_distance
 from dayprints.functions.student import half_width
 from dayprints.functions.time import epoch_millis
 from dayprints.operators.ordered import running
-from dayprints.session import ship_package
 
 BUCKET_MS = 3_600_000
 
@@ -104,7 +103,6 @@ def false_positives(samples: DataFrame, clears: DataFrame, k_max: int = 5) -> Da
 
 def _mean_and_width(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Mean and t half width of each measure; nulls do not count."""
-    ship_package(df.sparkSession)
     stats = df.groupBy(*keys).agg(*[
         f(m).alias(f"{m}_{name}") for m in measures
         for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("n", F.count))])

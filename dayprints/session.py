@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -69,18 +67,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="dayprints-"), "dayprints"),
-                                  "zip", os.path.dirname(root), os.path.basename(root))
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from dayprints.functions.time import epoch_seconds
 from dayprints.operators.denstream import STATE, STATE_DDL, Clusters
 from dayprints.operators.microclusters import Params
-from dayprints.session import ship_package
 
 OUT_DDL = f"user string, {STATE_DDL}, updated bigint, version bigint"
 
@@ -73,7 +72,6 @@ def denstream_stream(points: DataFrame, p: Params = Params()) -> DataFrame:
     The newest ``version`` of a user is the current state. Needs the RocksDB state
     store: spark.sql.streaming.stateStore.providerClass.
     """
-    ship_package(points.sparkSession)
     rows = points.select("user", "event_id", "ts", epoch_seconds("ts").alias("seconds"),
                          "longitude", "latitude")
     return rows.groupBy("user").transformWithStateInPandas(
