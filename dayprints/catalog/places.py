@@ -39,7 +39,7 @@ def _place_points(spark, sf):
 
 
 def dbscan_multimodal(spark, sf):
-    return db.dbscan(_place_points(spark, sf), db.Multimodal(), by="service")
+    return db.dbscan(cut_lineage(_place_points(spark, sf)), db.Multimodal(), by="service")
 
 
 def denstream_init(spark, sf):

@@ -173,31 +173,29 @@ class _Grid:
         pts = df.select(F.col(by).alias("by"), F.col(id_).alias("id"), "x", "y", "z", "sig", "vocab")
         pts = pts.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side),
                                "cz": metric.band(), "side": side, "m": m})
-        self.points = pts.withColumns({"rx": F.floor(F.col("cx") / F.col("m")),
-                                       "ry": F.floor(F.col("cy") / F.col("m"))})
-        self.cell = ["by", "cx", "cy", "cz"]
+        pts = pts.withColumns({"rx": F.floor(F.col("cx") / F.col("m")),
+                               "ry": F.floor(F.col("cy") / F.col("m"))}).drop("m")
+        cell = ["by", "cx", "cy", "cz"]
         self.cells = cut_lineage(
-            self.points.groupBy(*self.cell, "rx", "ry").agg(
+            pts.groupBy(*cell, "rx", "ry").agg(
                 F.count(F.lit(1)).alias("n"), F.min("id").alias("node"), *_box_aggregates())
             .withColumn("dense", F.col("n") >= min_pts))
+        # points with the density of their cell, written once for all steps; AQE
+        # splits the partitions of hot cells
+        self.points = cut_lineage(pts.join(self.cells.select(*cell, "dense", "node"), on=cell))
 
     def _point(self, name: str) -> Column:
         return F.struct("id", "x", "y", "z", "sig", "vocab").alias(name)
 
-    def tagged(self) -> DataFrame:
-        """Points with the density of their cell. Hot cells are split by AQE."""
-        return self.points.join(self.cells.select(*self.cell, "dense", "node"), on=self.cell)
-
     def sparse_neighbours(self) -> DataFrame:
         """(id, cell of the neighbours, other, n) for every sparse point.
 
         ``other`` is the neighbour's id in a sparse cell (a bounded number) and
         null for a dense cell, whose members are only counted.
         """
-        tagged = self.tagged()
-        sparse = tagged.where(~F.col("dense")).select(
+        sparse = self.points.where(~F.col("dense")).select(
             "by", "id", F.col("node").alias("own"), self._point("p"), *_around())
-        others = tagged.select("by", "rx", "ry", "dense", "node", self._point("q"))
+        others = self.points.select("by", "rx", "ry", "dense", "node", self._point("q"))
         other = F.when(~F.col("dense"), F.col("q.id")).alias("other")
         pairs = sparse.join(others, on=["by", "rx", "ry"]).where(_near(self.metric, "p", "q"))
         return pairs.groupBy("id", "own", "node", other).agg(F.count(F.lit(1)).alias("n"))
@@ -236,7 +234,7 @@ class _Grid:
         wanted = open_.select(F.col("an").alias("node"), F.col("sa").alias("up")).unionByName(
             open_.select(F.col("bn").alias("node"), F.col("sb").alias("up"))).distinct()
         up = self._sub_cell(level - 1) if level > 1 else F.array().cast("array<bigint>")
-        rows = self.tagged().where("dense").withColumns({"up": up, "sub": self._sub_cell(level)})
+        rows = self.points.where("dense").withColumns({"up": up, "sub": self._sub_cell(level)})
         boxes = cut_lineage(
             rows.join(wanted, on=["node", "up"], how="left_semi")
             .groupBy("node", "up", "sub").agg(*_box_aggregates()))
@@ -259,7 +257,7 @@ def core_points(df: DataFrame, metric, by: str = "user", id_: str = "event_id",
     grid = _Grid(df, metric, by, id_, min_pts)
     count = grid.sparse_neighbours().groupBy("id").agg(F.sum("n").alias("n"))
     core = F.when(F.col("dense") | (F.col("n") >= min_pts), 1).otherwise(0)
-    return grid.tagged().join(count, on="id", how="left").select(
+    return grid.points.join(count, on="id", how="left").select(
         F.col("by").alias(by), F.col("id").alias(id_), core.alias("core"))
 
 
@@ -294,7 +292,7 @@ def dbscan(df: DataFrame, metric, by: str = "user", id_: str = "event_id",
     # a sparse point is near its own cell's core points, so one minimum serves
     # core and border points alike
     sparse = touching.join(labels, on="node").groupBy("id").agg(F.min("label").alias("sparse_label"))
-    out = grid.tagged().join(labels.withColumnRenamed("label", "cell_label"), on="node", how="left")
+    out = grid.points.join(labels.withColumnRenamed("label", "cell_label"), on="node", how="left")
     out = out.join(sparse, on="id", how="left")
     label = F.when(F.col("dense"), F.col("cell_label")).otherwise(F.col("sparse_label"))
     return out.select(F.col("by").alias(by), F.col("id").alias(id_),

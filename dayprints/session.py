@@ -53,9 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so that iterations survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise as a table in the shared folder.
+
+    Iterations then survive lost executors, and later steps read only the columns
+    they need, with sizes that the optimiser knows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:

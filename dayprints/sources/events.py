@@ -113,9 +113,9 @@ def datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_datapoint_columns(rows: DataFrame) -> DataFrame:
-    scalars = rows.select("*", *[F.expr(e).alias(c) for c, e in _SCALARS.items()
-                                 if c not in rows.columns])
-    return scalars.select("*", *[F.expr(e).alias(c) for c, e in _SPARK_ONLY.items()])
+    scalars = rows.selectExpr("*", *[f"{e} as {c}" for c, e in _SCALARS.items()
+                                     if c not in rows.columns])
+    return scalars.selectExpr("*", *[f"{e} as {c}" for c, e in _SPARK_ONLY.items()])
 
 
 def _duck(expr: str) -> str:
