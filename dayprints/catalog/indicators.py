@@ -74,8 +74,8 @@ def zscore_global(spark, sf):
     """One mean and population deviation over all positions."""
     rows = events.table(spark, sf, "embeddings").select(
         "vec_id", F.posexplode("embedding").alias("dim", "x"))
-    rows = rows.select("vec_id", "dim", F.col("x").cast("double").alias("x"), F.lit(1).alias("all"))
-    return indicators.zscore(rows, ["all"], "x", ddof=0).select("vec_id", "dim", rnd("z").alias("z"))
+    rows = rows.withColumn("x", F.col("x").cast("double"))
+    return indicators.zscore(rows, [], "x", ddof=0).select("vec_id", "dim", rnd("z").alias("z"))
 
 
 QUERIES = {

@@ -72,8 +72,9 @@ QUERIES = {
     "tail_slice": tail_slice,
     "sample_gap": sample_gap,
     "interval_hist": interval_hist,
+    # the id splits ranges of equal texts
     "sort_values": lambda spark, sf: events.table(spark, sf, "documents").select(
-        "text").orderBy("text"),
+        "doc_id", "text").orderBy("text", "doc_id"),
     "sort_recent": lambda spark, sf: points(spark, sf).select("event_id", "ts").orderBy(
         F.col("ts").desc(), F.col("event_id").desc()),
     "take_n": lambda spark, sf: points(spark, sf).select("event_id", "user", "ts").orderBy(
@@ -133,7 +134,7 @@ ORACLES = {
             max(gap_ms) over (partition by node) as hi from gap)
         select node, cast(least((gap_ms - lo) * 15 // greatest(hi - lo, 1), 14) as integer) as bin,
           count(*) as n from e group by all""",
-    "sort_values": "select text from documents order by text",
+    "sort_values": "select doc_id, text from documents order by text, doc_id",
     "sort_recent": "select event_id, ts from events order by ts desc, event_id desc",
     "take_n": SQL + """ select event_id, "user", ts from dp
         order by ts desc, event_id desc limit 20""",

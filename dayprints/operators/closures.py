@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+HELD_KEYS = 100_000  # partial results a task holds before it passes them on
+
+
 def map_column(fn: Callable[..., pd.Series], ddl: str, *columns: str) -> Column:
     """A column computed by ``fn`` from batches of the given columns."""
     return F.pandas_udf(fn, ddl)(*columns)
@@ -35,16 +38,24 @@ def reduce_by_key(df: DataFrame, keys: list[str], value: str,
                   fn: str | Callable[[pd.Series], object]) -> DataFrame:
     """Reduce ``value`` per key by an associative, commutative ``fn``.
 
-    Batches are reduced before the shuffle, so a hot key sends one row per batch.
+    Partitions are reduced before the shuffle, batch by batch, so a hot key sends
+    about one row per partition.
     """
     ddl = df.select(*keys, value).schema
 
+    def reduced_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby(keys, as_index=False, dropna=False)[value].agg(fn)
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            yield batch.groupby(keys, as_index=False, dropna=False)[value].agg(fn)
-
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.groupby(keys, as_index=False, dropna=False)[value].agg(fn)
+            batch = reduced_rows(batch)
+            held = batch if held is None else reduced_rows(pd.concat([held, batch]))
+            if len(held) > HELD_KEYS:
+                yield held
+                held = None
+        if held is not None:
+            yield held
 
     reduced = df.select(*keys, value).mapInPandas(partial, ddl)
-    return reduced.groupBy(*keys).applyInPandas(final, ddl)
+    return reduced.groupBy(*keys).applyInPandas(reduced_rows, ddl)

@@ -26,7 +26,7 @@ from dayprints.functions.time import epoch_seconds
 from dayprints.operators.microclusters import (OUTLIER, POTENTIAL, Params, age_limit, as_table,
                                                centre, cluster_summary, faded, radius_of)
 from dayprints.operators.ordered import previous, row_numbers, running
-from dayprints.session import cut_lineage
+from dayprints.session import cut_lineage, measured
 
 STATE = ("weight", "LS1", "LS2", "SS1", "SS2", "N", "creationTimeStamp", "last_step")
 STATE_DDL = ("weight double, LS1 double, LS2 double, SS1 double, SS2 double, N bigint, "
@@ -150,7 +150,7 @@ def _with_side(rows: DataFrame, saved: DataFrame | None, p: Params, by: str) ->
         period = F.floor(F.col("t") / p.tp)
         n = (rows.groupBy(by, period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
              .groupBy(by).agg(F.max("n").alias("busiest")))
-        rows, busiest = rows.join(n, on=by), F.col("busiest")
+        rows, busiest = rows.join(measured(n), on=by), F.col("busiest")
     if saved is not None:
         rows = rows.join(saved.groupBy(by).agg(F.max(radius_of()).alias("widest")),
                          on=by, how="left")
@@ -177,7 +177,7 @@ def _regions(rows: DataFrame, by: str) -> DataFrame:
 
     cells = rows.select(by, "cx", "cy").distinct()
     cells = cut(cut(cells, [by], "cx", "strip"), [by, "strip"], "cy", "region")
-    return rows.join(cells, on=[by, "cx", "cy"]).drop("cx", "cy", "side")
+    return rows.join(measured(cells), on=[by, "cx", "cy"]).drop("cx", "cy", "side")
 
 
 def load_user_clusters(samples: DataFrame, saved: DataFrame, by: str) -> DataFrame:
@@ -289,7 +289,7 @@ def initial_clusters(labelled: DataFrame, by: str = "user", p: Params = Params()
     """
     counts = labelled.groupBy(by).agg(F.count(F.lit(1)).alias("samples")).where(
         F.col("samples") >= p.sample_skip)
-    rows = labelled.join(counts, on=by)
+    rows = labelled.join(measured(counts), on=by)
     if p.clock == "steps":
         rows = row_numbers(rows, [by], ["ts", "event_id"], "t")
     else:

@@ -13,6 +13,7 @@ from dayprints.functions.sensors import hop_distance
 from dayprints.functions.student import half_width
 from dayprints.functions.time import epoch_millis
 from dayprints.operators.ordered import running
+from dayprints.session import cut_lineage
 
 BUCKET_MS = 3_600_000
 
@@ -66,7 +67,7 @@ def detections(samples: DataFrame, events: DataFrame, k_max: int = 5,
     """
     kept = _singles(events, online).select("name", "start_ms", "end_ms",
                                            F.col("node").alias("event_node"))
-    inside = interval_join(flagged(samples), kept)
+    inside = cut_lineage(interval_join(flagged(samples), kept))
     runs = flag_runs(inside).select("node", "name", "run", "first_rn")
     at = (F.col("rn") - F.col("first_rn") + 1).cast("int")
     early = inside.join(runs, on=["node", "name", "run"]).withColumn("k", at).where(

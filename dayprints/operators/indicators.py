@@ -11,6 +11,7 @@ from dayprints.functions.sensors import actigraphy_level, is_active
 from dayprints.functions.time import BIN_SECONDS, BINS, bin288, time_text
 from dayprints.operators import filters
 from dayprints.operators.ordered import running
+from dayprints.session import measured
 
 USER_DAY = ["user", "day"]
 
@@ -121,9 +122,12 @@ def perf_fit(runs: DataFrame) -> DataFrame:
 
 
 def zscore(df: DataFrame, keys: list[str], value: str, ddof: int = 1) -> DataFrame:
-    """(x - mean) / std within ``keys``; the statistics are joined back by key."""
-    std = F.stddev_samp(value) if ddof else F.stddev_pop(value)
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("__mean"), std.alias("__std"))
+    """(x - mean) / std within ``keys``, or over all rows if there are none."""
+    mean, std = F.avg(value), F.stddev_samp(value) if ddof else F.stddev_pop(value)
+    if not keys:
+        mean, std = df.agg(mean).scalar(), df.agg(std).scalar()
+        return df.withColumn("z", F.when(std > 0, (F.col(value) - mean) / std))
+    stats = measured(df.groupBy(*keys).agg(mean.alias("__mean"), std.alias("__std")))
     z = F.when(F.col("__std") > 0, (F.col(value) - F.col("__mean")) / F.col("__std"))
     return df.join(stats, on=keys).withColumn("z", z).drop("__mean", "__std")
 

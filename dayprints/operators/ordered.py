@@ -64,10 +64,11 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
-             seconds: int = HOUR, descending: bool = False) -> DataFrame:
+             seconds: int = HOUR, descending: bool = False, ring: bool = False) -> DataFrame:
     """Add columns holding the preceding row's values (null on a key's first row).
 
-    With ``descending`` the preceding row is the next one in time.
+    With ``descending`` the preceding row is the next one in time; with ``ring``
+    a key's first row is preceded by its last one.
     """
     keys = list(keys)
     df = _bucketed(df, order[0], seconds)
@@ -77,7 +78,11 @@ def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: d
     buckets = Window.partitionBy(*keys).orderBy(*_order([_B], descending))
     edge = (F.min_by if descending else F.max_by)(packed, F.struct(*order))
     last = df.groupBy(*keys, _B).agg(edge.alias("__last"))
-    carry = last.select(*keys, _B, F.lag("__last").over(buckets).alias("__carry"))
+    carried = F.lag("__last").over(buckets)
+    if ring:
+        whole = buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        carried = F.coalesce(carried, F.last("__last").over(whole))
+    carry = last.select(*keys, _B, carried.alias("__carry"))
     out = (df.withColumn("__prev", F.lag(packed).over(inside))
            .join(carry, on=[*keys, _B], how="left")
            .withColumn("__prev", F.coalesce("__prev", "__carry")))

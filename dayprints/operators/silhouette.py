@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayprints.session import measured
+
 BLOCK = 1024
 
 
@@ -43,7 +45,8 @@ def point_silhouettes(df: DataFrame, by: str, id_: str = "event_id", label: str
     """
     size = df.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     rows = df.select(by, F.col(id_).alias("id"), F.col(label).alias("l"),
-                     F.col(x).alias("x"), F.col(y).alias("y")).join(size, on=by)
+                     F.col(x).alias("x"), F.col(y).alias("y")).join(
+                         measured(size), on=by)
     rows = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
     blocks = rows.groupBy(by, "b", "blocks").agg(
         F.collect_list(F.struct("id", "l", "x", "y")).alias("p"))

@@ -25,16 +25,13 @@ def haar_detail(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     Both are symmetric three-point filters; the series is closed into a ring.
     """
     x = F.col(value)
-    out = previous(df, keys, ORDER, {"before": x})
-    out = previous(out, keys, ORDER, {"after": x}, descending=True)
-    ends = df.groupBy(*keys).agg(F.min_by(x, F.struct(*ORDER)).alias("first_x"),
-                                 F.max_by(x, F.struct(*ORDER)).alias("last_x"))
-    out = out.join(ends, on=keys)
-    before, after = F.coalesce("before", "last_x"), F.coalesce("after", "first_x")
+    out = previous(df, keys, ORDER, {"before": x}, ring=True)
+    out = previous(out, keys, ORDER, {"after": x}, descending=True, ring=True)
+    around = F.col("before") + F.col("after")
     return out.withColumns({
-        "detail": F.abs((2 * x - before - after) / 4),
-        "smooth": F.abs((2 * x + before + after) / 4),
-    }).drop("before", "after", "first_x", "last_x")
+        "detail": F.abs((2 * x - around) / 4),
+        "smooth": F.abs((2 * x + around) / 4),
+    }).drop("before", "after")
 
 
 def tail_slice(df: DataFrame, keys: list[str], far: int = 1100, near: int = 900) -> DataFrame:
@@ -55,9 +52,10 @@ def interval_hist(gaps: DataFrame, keys: list[str], bins: int = 15) -> DataFrame
 
     The last bin includes its upper edge; bins without a gap are left out.
     """
-    ends = gaps.groupBy(*keys).agg(F.min("gap_ms").alias("lo"), F.max("gap_ms").alias("hi"))
+    # count equal gaps first: what follows sees distinct gaps, not samples
+    counted = gaps.groupBy(*keys, "gap_ms").agg(F.count(F.lit(1)).alias("n"))
+    ends = counted.groupBy(*keys).agg(F.min("gap_ms").alias("lo"), F.max("gap_ms").alias("hi"))
     width = F.greatest(F.col("hi") - F.col("lo"), F.lit(1))
-    # count equal gaps first: the join sees distinct gaps, not samples
-    counted = gaps.groupBy(*keys, "gap_ms").agg(F.count(F.lit(1)).alias("n")).join(ends, on=keys)
+    counted = counted.join(ends, on=keys)
     bin_ = F.least(F.floor((F.col("gap_ms") - F.col("lo")) * bins / width), F.lit(bins - 1))
     return counted.groupBy(*keys, bin_.cast("int").alias("bin")).agg(F.sum("n").alias("n"))

@@ -79,7 +79,7 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     distance = out.distance.observe(
         seen, F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("type") == "mean").alias("user_days"))
-    write_table(distance, "distance", store)
-    write_table(out.speed, "speed", store)
+    write_table(distance, "distance", store, partition_by="day")
+    write_table(out.speed, "speed", store, partition_by="day")
     write_table(cut_lineage(out.marks), "last_modification", store, "overwrite")
     return dict(seen.get)

@@ -32,8 +32,8 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> None:
                                  "service string, user string, date date")
     fresh = cut_lineage(marks.new_headers(header, stored).select("service", "user", "date"))
     write_table(fresh, "social_summary", store)
-    write_table(out["call_register"], "call_register", store)
-    write_table(out["appusage"], "appusage", store)
+    write_table(out["call_register"], "call_register", store, partition_by="day")
+    write_table(out["appusage"], "appusage", store, partition_by="day")
     current = stored_marks.where(F.col("data_type") == DATA_TYPE)
     merged = marks.marks_merge(current, marks.latest_mark(header))
     others = stored_marks.where(F.col("data_type") != DATA_TYPE)

@@ -64,6 +64,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """A small side of a join as a written table, so that its size is known.
+
+    The optimiser then broadcasts it only if it is below its threshold, and joins
+    by shuffle otherwise; the big side is not shuffled for nothing.
+    """
+    return cut_lineage(df)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """Hint a broadcast only once the side is counted to be within ``max_rows``.
 

@@ -36,8 +36,12 @@ def read_nested(spark: SparkSession, path: str, fmt: str = "json", **options) ->
 
 
 def read_text_sorted(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines in order, by a distributed range sort."""
-    return spark.read.option("lineSep", "\n").text(path).orderBy("value")
+    """Text lines in order, by a distributed range sort.
+
+    The second key lets copies of one line spread over several ranges.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.orderBy("value", F.monotonically_increasing_id())
 
 
 def read_wearable(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

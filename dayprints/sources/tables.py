@@ -45,7 +45,9 @@ def write_table(df: DataFrame, name: str, options: dict, mode: str = "append",
         (df.write.format("jdbc").options(dbtable=name, **_jdbc_options(options))
          .mode(mode).save())
         return
-    writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        # few files per folder; AQE splits what one value has too much of
+        writer = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+    else:
+        writer = df.write.mode(mode)
     writer.parquet(f"{options['path'].rstrip('/')}/{name}")
