@@ -12,6 +12,7 @@ from dayprints.catalog.common import SQL, points, rnd
 from dayprints.functions.student import t_quantile
 from dayprints.functions.time import epoch_seconds
 from dayprints.operators import evaluate
+from dayprints.session import cut_lineage
 
 HOUR_MS = 3_600_000
 
@@ -68,8 +69,9 @@ def detections(spark, sf):
 
 def detection_online(spark, sf):
     samples = _samples(spark, sf)
-    return evaluate.detection(samples, truth(spark, sf), online=True).join(
-        false_positives(spark, sf), on=["node", "k"])
+    rows = cut_lineage(evaluate.flagged(samples))
+    return evaluate.detection(samples, truth(spark, sf), online=True, rows=rows).join(
+        evaluate.false_positives(samples, clears(spark, sf), rows=rows), on=["node", "k"])
 
 
 def false_positives(spark, sf):
@@ -82,8 +84,10 @@ def _rounded(df, keys):
 
 
 def precision_recall(spark, sf):
-    out = evaluate.precision_recall(detection(spark, sf), false_positives(spark, sf),
-                                    clears(spark, sf))
+    samples, clear = _samples(spark, sf), clears(spark, sf)
+    rows = cut_lineage(evaluate.flagged(samples))
+    out = evaluate.precision_recall(evaluate.detection(samples, truth(spark, sf), rows=rows),
+                                    evaluate.false_positives(samples, clear, rows=rows), clear)
     return _rounded(out, ["k"])
 
 

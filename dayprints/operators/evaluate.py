@@ -58,16 +58,19 @@ def _singles(events: DataFrame, online: bool) -> DataFrame:
     return kept.where("online") if online else kept
 
 
-def detections(samples: DataFrame, events: DataFrame, k_max: int = 5,
-               online: bool = False) -> DataFrame:
+def detections(samples: DataFrame, events: DataFrame, k_max: int = 5, online: bool = False,
+               rows: DataFrame | None = None) -> DataFrame:
     """Detected single events: (node, name, k, delay_ms, hop).
 
+    ``rows`` may hold the flagged rows of the samples, where several measures
+    share them.
+
     For k, an event is detected by the k-th row of its first run of at least k
     flagged rows, which is the earliest row at position k of any run.
     """
     kept = _singles(events, online).select("name", "start_ms", "end_ms",
                                            F.col("node").alias("event_node"))
-    inside = cut_lineage(interval_join(flagged(samples), kept))
+    inside = cut_lineage(interval_join(flagged(samples) if rows is None else rows, kept))
     runs = flag_runs(inside).select("node", "name", "run", "first_rn")
     at = (F.col("rn") - F.col("first_rn") + 1).cast("int")
     early = inside.join(runs, on=["node", "name", "run"]).withColumn("k", at).where(
@@ -82,19 +85,21 @@ def _per_node_and_k(samples: DataFrame, k_max: int) -> DataFrame:
         "node", F.explode(F.sequence(F.lit(1), F.lit(k_max))).alias("k"))
 
 
-def detection(samples: DataFrame, events: DataFrame, k_max: int = 5,
-              online: bool = False) -> DataFrame:
+def detection(samples: DataFrame, events: DataFrame, k_max: int = 5, online: bool = False,
+              rows: DataFrame | None = None) -> DataFrame:
     """Detected and all single events for every node and k."""
-    found = detections(samples, events, k_max, online).groupBy("node", "k").agg(
+    found = detections(samples, events, k_max, online, rows).groupBy("node", "k").agg(
         F.count(F.lit(1)).alias("detections"))
     total = _singles(events, online).agg(F.count(F.lit(1)))
     return (_per_node_and_k(samples, k_max).join(found, on=["node", "k"], how="left")
             .fillna(0, ["detections"]).withColumn("events", total.scalar()))
 
 
-def false_positives(samples: DataFrame, clears: DataFrame, k_max: int = 5) -> DataFrame:
+def false_positives(samples: DataFrame, clears: DataFrame, k_max: int = 5,
+                    rows: DataFrame | None = None) -> DataFrame:
     """Runs of at least k flagged rows inside clear intervals, for every node and k."""
-    runs = flag_runs(interval_join(flagged(samples), clears, open_start=True))
+    rows = flagged(samples) if rows is None else rows
+    runs = flag_runs(interval_join(rows, clears, open_start=True))
     reached = F.sequence(F.lit(1), F.least(F.col("length"), F.lit(k_max)).cast("int"))
     count = runs.select("node", F.explode(reached).alias("k")).groupBy("node", "k").agg(
         F.count(F.lit(1)).alias("false_positives"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dayprints.functions.sensors import top_wifis
 from dayprints.functions.time import epoch_millis
 from dayprints.operators.ordered import row_numbers
-from dayprints.session import measured
+from dayprints.session import cut_lineage, measured
 
 
 def scan_hashes(scans: DataFrame, keys: list[str], n: int = 5,
@@ -27,19 +27,22 @@ def vocabulary(hashes: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.select(*keys, "hash", (F.col("idx") - 1).cast("int").alias("idx"))
 
 
-def multihot(scans: DataFrame, keys: list[str], order: str = "strongest",
-             words: DataFrame | None = None) -> DataFrame:
-    """Sparse vectors: one (scan, index) row for each 1, over ``words`` if given."""
-    hashes = scan_hashes(scans, keys, order=order)
-    words = measured(vocabulary(hashes, keys)) if words is None else words
+def multihot(scans: DataFrame, keys: list[str], order: str = "strongest") -> DataFrame:
+    """Sparse vectors: one (scan, index) row for each 1."""
+    hashes = cut_lineage(scan_hashes(scans, keys, order=order))
+    return _indexed(hashes, measured(vocabulary(hashes, keys)), keys)
+
+
+def _indexed(hashes: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     return hashes.join(words, on=[*keys, "hash"]).select(*keys, "event_id", "idx")
 
 
 def dense_vectors(scans: DataFrame, keys: list[str], order: str = "strongest") -> DataFrame:
     """0/1 arrays as long as the key's vocabulary (scans without wifi give zeros)."""
-    words = measured(vocabulary(scan_hashes(scans, keys, order=order), keys))
+    hashes = cut_lineage(scan_hashes(scans, keys, order=order))
+    words = measured(vocabulary(hashes, keys))
     size = words.groupBy(*keys).agg((F.max("idx") + 1).alias("size"))
-    sparse = multihot(scans, keys, order, words).groupBy(*keys, "event_id").agg(F.collect_set("idx").alias("ones"))
+    sparse = _indexed(hashes, words, keys).groupBy(*keys, "event_id").agg(F.collect_set("idx").alias("ones"))
     rows = scans.select(*keys, "event_id").join(size, on=keys).join(
         sparse, on=[*keys, "event_id"], how="left")
     bit = lambda i: F.array_contains("ones", i.cast("int")).cast("int")
