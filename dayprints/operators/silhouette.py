@@ -1,9 +1,10 @@
 """Silhouette of a labelling, exact for Euclidean distance.
 
-Every point needs its distance sum to every cluster, so the arithmetic is
-quadratic in a key's points by definition. The points of a key are dealt into
-blocks of bounded size; a pair of blocks is one row, spread over all tasks, and
-only sums per (point, cluster) leave it.
+Equal positions of a cluster are one weighted position. Every position needs its
+distance sum to every cluster, so the arithmetic is quadratic in a key's
+positions by definition. They are dealt into blocks of bounded size; a pair of
+blocks is one row, spread over all tasks, and only sums per (position, cluster)
+leave it.
 """
 
 from __future__ import annotations
@@ -15,65 +16,73 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayprints.session import measured
+from dayprints.session import cut_lineage, measured
 
 BLOCK = 1024
 
 
-def _block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _block_sums(batches: Iterator[pd.DataFrame], by: str) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples(index=False):
             labels, code = np.unique(np.asarray(row.rl), return_inverse=True)
             dx = np.subtract.outer(np.asarray(row.lx), np.asarray(row.rx))
             dy = np.subtract.outer(np.asarray(row.ly), np.asarray(row.ry))
-            member = np.eye(len(labels))[code]
+            weight = np.asarray(row.rw)
+            member = np.eye(len(labels))[code] * weight[:, None]
             sums = np.sqrt(dx * dx + dy * dy) @ member
             n = len(row.lid)
             yield pd.DataFrame({
+                by: [getattr(row, by)] * sums.size,
                 "id": np.repeat(np.asarray(row.lid), len(labels)),
                 "own": np.repeat(np.asarray(row.ll), len(labels)),
+                "weight": np.repeat(np.asarray(row.lw), len(labels)),
                 "label": np.tile(labels, n),
                 "total": sums.ravel(),
-                "members": np.tile(member.sum(axis=0).astype("int64"), n)})
+                "members": np.tile(member.sum(axis=0).round().astype("int64"), n)})
 
 
-def point_silhouettes(df: DataFrame, by: str, id_: str = "event_id", label: str = "label",
-                      x: str = "longitude", y: str = "latitude", block: int = BLOCK) -> DataFrame:
-    """(id, silhouette): 0 for a cluster of one, as is usual.
+def position_silhouettes(df: DataFrame, by: str, id_: str = "event_id", label: str = "label",
+                         x: str = "longitude", y: str = "latitude", block: int = BLOCK
+                         ) -> DataFrame:
+    """(by, id, weight, silhouette) per position, known by the smallest id there.
 
-    Noise (-1) counts as a cluster. Points of keys with a single label are left out.
+    A cluster of one has silhouette 0, as is usual. Noise (-1) counts as a
+    cluster. Positions of keys with a single label are left out.
     """
-    size = df.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    rows = df.select(by, F.col(id_).alias("id"), F.col(label).alias("l"),
-                     F.col(x).alias("x"), F.col(y).alias("y")).join(
-                         measured(size), on=by)
+    spots = df.groupBy(by, F.col(label).alias("l"), F.col(x).alias("x"), F.col(y).alias("y")).agg(
+        F.min(id_).alias("id"), F.count(F.lit(1)).alias("w"))
+    spots = cut_lineage(spots)
+    size = spots.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    rows = spots.join(measured(size), on=by)
     rows = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    blocks = rows.groupBy(by, "b", "blocks").agg(
-        F.collect_list(F.struct("id", "l", "x", "y")).alias("p"))
+    fields = ["id", "l", "x", "y", "w"]
+    blocks = rows.groupBy(by, "b", "blocks").agg(F.collect_list(F.struct(*fields)).alias("p"))
     left = blocks.select(by, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"),
-                         *[F.col(f"p.{c}").alias(f"l{c}") for c in ("id", "l", "x", "y")])
-    right = blocks.select(by, "b", *[F.col(f"p.{c}").alias(f"r{c}") for c in ("l", "x", "y")])
+                         *[F.col(f"p.{c}").alias(f"l{c}") for c in fields])
+    right = blocks.select(by, "b", *[F.col(f"p.{c}").alias(f"r{c}") for c in fields[1:]])
     # enough partitions for numpy work on small input, too
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = left.join(right, on=[by, "b"]).repartition(n).select(
-        "lid", "ll", "lx", "ly", "rl", "rx", "ry")
+    pairs = left.join(right, on=[by, "b"]).repartition(n).drop("b")
+    key = df.schema[by].dataType.simpleString()
     sums = pairs.mapInPandas(
-        _block_sums, "id bigint, own bigint, label bigint, total double, members bigint")
-    means = sums.groupBy("id", "own", "label").agg(
+        lambda batches: _block_sums(batches, by),
+        f"`{by}` {key}, id bigint, own bigint, weight bigint, label bigint, total double, "
+        "members bigint")
+    means = sums.groupBy(by, "id", "own", "weight", "label").agg(
         F.sum("total").alias("total"), F.sum("members").alias("members"))
     inside = F.col("label") == F.col("own")
-    per_point = means.groupBy("id").agg(
+    spot = means.groupBy(by, "id", "weight").agg(
         F.max(F.when(inside, F.col("members"))).alias("size"),
         F.max(F.when(inside, F.try_divide("total", F.col("members") - 1))).alias("a"),
         F.min(F.when(~inside, F.col("total") / F.col("members"))).alias("b"))
     s = F.when(F.col("size") == 1, 0.0).otherwise(
         F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)),
                    F.lit(0.0)))
-    return per_point.where("b is not null").select("id", s.alias("silhouette"))
+    return spot.where("b is not null").select(by, "id", "weight", s.alias("silhouette"))
 
 
-def silhouette(df: DataFrame, by: str, id_: str = "event_id", **columns) -> DataFrame:
-    """Mean silhouette per key."""
-    points = point_silhouettes(df, by, id_, **columns)
-    return (df.select(by, F.col(id_).alias("id")).join(points, on="id")
-            .groupBy(by).agg(F.avg("silhouette").alias("silhouette")))
+def silhouette(df: DataFrame, by: str, **columns) -> DataFrame:
+    """Mean silhouette per key, over all points."""
+    spots = position_silhouettes(df, by, **columns)
+    return spots.groupBy(by).agg(
+        (F.sum(F.col("silhouette") * F.col("weight")) / F.sum("weight")).alias("silhouette"))
