@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dayprints import schemas
-from dayprints.catalog.common import (AS_OF, GEO_SQL, MOBILITY_SQL, NEW_SQL, SQL, new_rows, points,
-                                      rnd)
+from dayprints.catalog.common import (AS_OF, GEO_SQL, MOBILITY_SQL, NEW_SQL, SQL, new_rows,
+                                      points)
 from dayprints.functions.time import epoch_millis
 from dayprints.operators import filters, social
 from dayprints.sources import events

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dayprints.catalog.common import (AS_OF, HAVERSINE_SQL, HOME_KM_SQL, MOBILITY_SQL, NEW_SQL,
                                       SOURCE_SQL, SQL, new_rows, points, rnd)
 from dayprints.operators import filters, slots

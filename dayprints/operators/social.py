@@ -12,8 +12,6 @@ from dayprints.operators.ordered import row_numbers
 
 USER = ["service", "user"]
 DAY = [*USER, "day"]
-
-
 WEEK_LABELS = ("monday", "published")
 
 
@@ -25,6 +23,8 @@ def weekly(df: DataFrame, keys: list[str], aggregates: list[Column],
     (calendar year, ISO week) and dates the pair as a Monday-counted week, as
     tables written before do; it splits weeks at the turn of the year.
     """
+    if label not in WEEK_LABELS:
+        raise ValueError(f"label must be one of {WEEK_LABELS}")
     if label == "monday":
         return df.groupBy(*keys, week_start("day").alias("week")).agg(*aggregates)
     year, week = F.year("day").alias("__year"), F.weekofyear("day").alias("__week")

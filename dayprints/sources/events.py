@@ -1,7 +1,7 @@
 """Datapoints out of the ``events`` table, in Spark and as the equal SQL.
 
-``events`` is the only given table with a user and a time. ``COLUMNS`` states each
-datapoint column once per dialect; columns that a query does not use are pruned.
+``events`` is the only given table with a user and a time. Columns that a query does
+not use are pruned, so the scan reads only what it needs.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ AS_OF = "2024-01-31"
 MARK_DATE = "2024-01-10"
 SINCE = "2024-01-08"
 
-# column -> expression; {d} is the double suffix of the dialect
+# column -> expression, the same in both dialects but for the name of the text type
 _SCALARS = {
     "event_id": "event_id",
     "user_id": "user_id",

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from dayprints.operators import dbscan as db
 from dayprints.operators import silhouette

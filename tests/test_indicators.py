@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dayprints.operators import indicators, social, trajectory, wifi
 
-ACT = "user string, day date, ts timestamp_ntz, event_id bigint, activity array<struct<name:string,confidence:double>>"
+ACT = ("user string, day date, ts timestamp_ntz, event_id bigint, "
+       "activity array<struct<name:string,confidence:double>>")
 DAY = dt.date(2024, 1, 1)
 
 

@@ -60,7 +60,7 @@ def test_clustering_job_starts_then_merges(spark, store):
         {"longitude": F.lit(0.5), "latitude": F.col("event_id") % 2 * 0.00001})
     places.run(spark, points, store, "2024-01-15", p)
     first = tables.read_table(spark, "clusters", store)
-    assert set(first.columns) == {c.split()[0] for c in schemas.CLUSTERS.replace("\n", " ").strip().split(",") for c in [c.strip()]}
+    assert set(first.columns) == {c.split()[0] for c in schemas.CLUSTERS.split(",")}
     n = first.agg(F.sum("N")).first()[0]
     places.run(spark, points, store, "2024-01-15", p)
     assert tables.read_table(spark, "clusters", store).agg(F.sum("N")).first()[0] == n
