@@ -44,6 +44,7 @@ BUCKET = 1_500_000
 CHUNK = 2_000_000
 TEXT_BLOCK = 1 << 22
 LARGEST_SMALL = 256
+COMPARISON = 8
 
 _P, _A = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -190,19 +191,20 @@ def _key(low: np.ndarray, bucket) -> np.ndarray:
 
 
 _RECORD = np.dtype([("key", "<u8"), ("order", "<i8")])
+_CLASS = np.dtype([("sig", "<i8"), ("n", "<i8")])
 
 
 def _bucketed(df: DataFrame, heavy: tuple, buckets: int) -> DataFrame:
-    """(bucket, kind, sigs, counts, hashes): the sets of all documents, dealt by hash.
+    """(bucket, kind, sigs, sizes, counts, hashes): the sets of all documents, dealt by hash.
 
-    kind 0 holds light shingles, six bytes each; kind 1 holds heavy ones as finished records,
+    ``sizes`` are those of the sets, ``counts`` tells how many hashes here belong to each. kind 0 holds light shingles, six bytes each; kind 1 holds heavy ones as finished records,
     which wait in the bucket of their class.
     """
     shared = df.sparkSession.sparkContext.broadcast(heavy)
 
     def deal(batches):
         values, tallies = shared.value
-        sigs, sets, size, held_heavy = [], [], 0, {}
+        sigs, sizes, sets, size, held_heavy = [], [], [], 0, {}
 
         def rows():
             hashes = np.concatenate(sets)
@@ -210,30 +212,32 @@ def _bucketed(df: DataFrame, heavy: tuple, buckets: int) -> DataFrame:
             bucket = ((hashes >> _SHIFT) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             hashes, owner, bucket = hashes[order], owner[order], bucket[order]
-            names = np.array(sigs, np.int64)
+            names, wholes = np.array(sigs, np.int64), np.array(sizes, "<u4")
             edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
             low = (hashes & _LOW48).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
             out = []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 who, counts = np.unique(owner[a:b], return_counts=True)
-                out.append((int(bucket[a]), 0, names[who].tobytes(),
+                out.append((int(bucket[a]), 0, names[who].tobytes(), wholes[who].tobytes(),
                             counts.astype("<u4").tobytes(), low[a:b].tobytes()))
             return out
 
         def flush():
             out = rows() if size else []
             for bucket, parts in held_heavy.items():
-                out.append((bucket, 1, np.array([s for s, _ in parts], np.int64).tobytes(),
-                            np.array([len(r) for _, r in parts], "<u4").tobytes(),
-                            b"".join(r.tobytes() for _, r in parts)))
+                out.append((bucket, 1, np.array([s for s, _, _ in parts], np.int64).tobytes(),
+                            np.array([n for _, n, _ in parts], "<u4").tobytes(),
+                            np.array([len(r) for _, _, r in parts], "<u4").tobytes(),
+                            b"".join(r.tobytes() for _, _, r in parts)))
             if out:
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
                      *[pa.array(c, pa.binary()) for c in columns[2:]]],
-                    ["bucket", "kind", "sigs", "counts", "hashes"])
+                    ["bucket", "kind", "sigs", "sizes", "counts", "hashes"])
 
         for sig, found in _distinct_sets(batches, 0, set()):
+            sizes.append(len(found))
             if len(values):
                 at = np.minimum(np.searchsorted(values, found), len(values) - 1)
                 known = values[at] == found
@@ -241,7 +245,7 @@ def _bucketed(df: DataFrame, heavy: tuple, buckets: int) -> DataFrame:
                     records = np.empty(int(known.sum()), _RECORD)
                     records["key"] = _key(found[known] & _LOW48, 0x7FFF)
                     records["order"] = tallies[at[known]] + (1 << 40)
-                    held_heavy.setdefault(sig % buckets, []).append((sig, records))
+                    held_heavy.setdefault(sig % buckets, []).append((sig, sizes[-1], records))
                     size += len(records)
                     found = found[~known]
             sigs.append(sig)
@@ -249,105 +253,121 @@ def _bucketed(df: DataFrame, heavy: tuple, buckets: int) -> DataFrame:
             size += len(found)
             if size >= CHUNK:
                 yield from flush()
-                sigs, sets, size, held_heavy = [], [], 0, {}
+                sigs, sizes, sets, size, held_heavy = [], [], [], 0, {}
         if sets:
             yield from flush()
 
     return df.select("text").mapInArrow(
-        deal, "bucket bigint, kind int, sigs binary, counts binary, hashes binary")
+        deal, "bucket bigint, kind int, sigs binary, sizes binary, counts binary, hashes binary")
 
 
-def _shared_of_bucket(table: pa.Table) -> pa.Table:
-    """(sig, records) of the shingles of one bucket that at least two classes have."""
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal values."""
+    if not len(values):
+        return []
+    edges = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
+def _shared(table: pa.Table, groups: int) -> pa.Table:
+    """(group, sigs, sizes, records) of the shingles of one bucket that two classes or more have,
+    a row for each group of classes; one entry of all three for each shingle of a class."""
     bucket = table["bucket"][0].as_py()
-    light, owners, done, done_owners = [], [], [], []
-    for kind, sigs, counts, hashes in zip(table["kind"].to_pylist(), table["sigs"],
-                                          table["counts"], table["hashes"], strict=True):
-        who = np.repeat(np.frombuffer(sigs.as_buffer(), np.int64),
-                        np.frombuffer(counts.as_buffer(), "<u4"))
-        if kind:
-            done.append(np.frombuffer(hashes.as_buffer(), _RECORD))
-            done_owners.append(who)
+    light, owners, records, known = [], [], [], []
+    for row in range(table.num_rows):
+        value = {c: table[c][row].as_buffer() for c in ("sigs", "sizes", "counts", "hashes")}
+        who = np.empty(len(value["sigs"]) // 8, _CLASS)
+        who["sig"] = np.frombuffer(value["sigs"], "<i8")
+        who["n"] = np.frombuffer(value["sizes"], "<u4")
+        who = np.repeat(who, np.frombuffer(value["counts"], "<u4"))
+        if table["kind"][row].as_py():
+            records.append(np.frombuffer(value["hashes"], _RECORD))
+            known.append(who)
         else:
             wide = np.zeros((len(who), 8), np.uint8)
-            wide[:, :6] = np.frombuffer(hashes.as_buffer(), np.uint8).reshape(-1, 6)
+            wide[:, :6] = np.frombuffer(value["hashes"], np.uint8).reshape(-1, 6)
             light.append(wide.view("<u8").ravel())
             owners.append(who)
     if light:
         hashes, who = np.concatenate(light), np.concatenate(owners)
-        order = np.lexsort((who, hashes))
+        order = np.lexsort((who["sig"], hashes))
         hashes, who = hashes[order], who[order]
-        new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (who[1:] != who[:-1])))
+        new = np.concatenate(([True], (hashes[1:] != hashes[:-1])
+                              | (who["sig"][1:] != who["sig"][:-1])))
         hashes, who = hashes[new], who[new]  # a copy may come from several tasks
-        edges = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-        group = np.cumsum(edges) - 1
+        group = np.cumsum(np.concatenate(([True], hashes[1:] != hashes[:-1]))) - 1
         times = np.bincount(group)[group]
         many = times >= 2
-        records = np.empty(int(many.sum()), _RECORD)
-        records["key"], records["order"] = _key(hashes[many], bucket), times[many]
-        done.append(records)
-        done_owners.append(who[many])
-    records, who = np.concatenate(done), np.concatenate(done_owners)
-    order = np.argsort(who, kind="stable")
-    records, who = records[order], who[order]
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(who)) + 1, [len(who)])) if len(who) else [0]
+        found = np.empty(int(many.sum()), _RECORD)
+        found["key"], found["order"] = _key(hashes[many], bucket), times[many]
+        records.append(found)
+        known.append(who[many])
+    found, who = np.concatenate(records), np.concatenate(known)
+    group = who["sig"] % groups
+    order = np.argsort(group, kind="stable")
+    found, who, group = found[order], who[order], group[order]
+    runs = _runs(group)
     return pa.table({
-        "sig": pa.array(who[edges[:-1]] if len(who) else [], pa.int64()),
-        "records": pa.array([records[a:b].tobytes()
-                             for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())})
-
-
-def _sets(df: DataFrame, classes: DataFrame, heavy: tuple, total: int) -> DataFrame:
-    """Written out: (sig, n, own, shared, prefix, orders) of the classes that share a shingle
-    within their prefix.
+        "group": pa.array([int(group[a]) for a, _ in runs], pa.int64()),
+        "classes": pa.array([who[a:b].tobytes() for a, b in runs], pa.binary()),
+        "records": pa.array([found[a:b].tobytes() for a, b in runs], pa.binary())})
+
+
+def _ordered(table: pa.Table) -> pa.Table:
+    """The classes of one group with their shared shingles and prefixes; see ``_sets``."""
+    who = np.concatenate([np.frombuffer(x.as_buffer(), _CLASS) for x in table["classes"]])
+    records = np.concatenate([np.frombuffer(x.as_buffer(), _RECORD) for x in table["records"]])
+    order = np.lexsort((records["key"], who["sig"]))
+    who, records = who[order], records[order]
+    out = []
+    for a, b in _runs(who["sig"]):
+        sig, n = who[a]
+        part = records[a:b]
+        part = part[np.concatenate(([True], part["key"][1:] != part["key"][:-1]))]
+        own = int(n) - len(part)
+        count = int(n) + (-LEVEL * int(n) // WHOLE) + 2 - own  # of the longer prefix
+        if count >= 1 and n >= 2:
+            first = part[np.lexsort((part["key"], part["order"]))][:count]
+            out.append((int(sig), int(n), own, part["key"].view(np.int64),
+                        first["key"].view(np.int64)))
+    columns = list(zip(*out, strict=True)) if out else [()] * 5
+    longs = pa.list_(pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), longs, longs)
+    return pa.table({name: pa.array(list(c), kind) for name, c, kind in zip(
+        ("sig", "n", "own", "shared", "prefix"), columns, kinds, strict=True)})
+
+
+def _sets(df: DataFrame, heavy: tuple, total: int) -> DataFrame:
+    """Written out: (sig, n, own, shared, prefix) of the classes that share a shingle within
+    their prefix.
 
     ``own`` counts the shingles of this class alone, ``shared`` holds the others in numeric
     order, ``prefix`` the first of them in the order of frequency, up to the longer prefix.
     """
-    buckets = max(1, -(-total // BUCKET))
-    shared = (_bucketed(df, heavy, buckets).groupBy("bucket")
-              .applyInArrow(_shared_of_bucket, "sig bigint, records binary"))
-    # a class has at most its own shingles here
-    by_class = shared.groupBy("sig").agg(F.collect_list("records").alias("records"))
-    rows = by_class.join(classes.select("sig", "n"), "sig").select("sig", "n", "records")
-
-    def order(batches):
-        for batch in batches:
-            out = []
-            sigs, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for sig, n, parts in zip(sigs, sizes, batch.column(2).to_pylist(), strict=True):
-                records = np.frombuffer(b"".join(parts), _RECORD)
-                records = records[np.unique(records["key"], return_index=True)[1]]
-                own = n - len(records)
-                least = -(-LEVEL * n // WHOLE)
-                count = n - least + 2 - own  # of the longer prefix
-                if count < 1 or n < 2:
-                    continue
-                first = records[np.lexsort((records["key"], records["order"]))][:count]
-                out.append((sig, n, own, records["key"].view(np.int64),
-                            first["key"].view(np.int64), first["order"]))
-            if out:
-                c = list(zip(*out, strict=True))
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()),
-                     pa.array(c[2], pa.int64()), pa.array(c[3], longs), pa.array(c[4], longs),
-                     pa.array(c[5], longs)], ["sig", "n", "own", "shared", "prefix", "orders"])
+    parts = max(1, -(-total // BUCKET))
+
+    def shared(table: pa.Table) -> pa.Table:
+        return _shared(table, parts)
 
-    return cut_lineage(rows.mapInArrow(
-        order, "sig bigint, n bigint, own bigint, shared array<bigint>, prefix array<bigint>, "
-               "orders array<bigint>"))
+    rows = (_bucketed(df, heavy, parts).groupBy("bucket")
+            .applyInArrow(shared, "group bigint, classes binary, records binary"))
+    return cut_lineage(rows.groupBy("group").applyInArrow(
+        _ordered, "sig bigint, n bigint, own bigint, shared array<bigint>, prefix array<bigint>"))
 
 
 # ---------------------------------------------------------------- lists
 
 def _boundary(sets: DataFrame) -> int:
-    """The size up to which subsets cost less than inverted lists."""
+    """The size up to which subsets cost less than inverted lists.
+
+    A subset is a row. An entry of an inverted list is a row and a comparison with the middle of
+    its list, which costs as much as ``COMPARISON`` rows; two members of a list of subsets share
+    two rare shingles and mostly link, so that comparison is needed anyway.
+    """
     k = F.size("prefix")
-    lengths = F.aggregate("orders", F.lit(0).cast("long"),
-                          lambda a, x: a + x % F.lit(1 << 40)) / 2
     rows = (sets.where(F.col("n") <= LARGEST_SMALL).groupBy("n")
-            .agg(F.sum(k * (k - 1) / 2).alias("subsets"), F.sum(lengths).alias("lists"))
+            .agg(F.sum(k * (k - 1) / 2).alias("subsets"),
+                 F.sum((k - 1) * (1 + COMPARISON)).alias("lists"))
             .orderBy("n").collect())  # at most LARGEST_SMALL rows
     best, gain, total = 0, 0.0, 0.0
     for row in rows:
@@ -434,7 +454,7 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     size = members.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total")).first()
     classes = cut_lineage(members.where("sig is not null").groupBy("sig", "n")
                           .agg(F.min("doc_id").alias("least")))
-    sets = _sets(rows, classes, _heavy(described, size["rows"]), size["total"] or 0)
+    sets = _sets(rows, _heavy(described, size["rows"]), size["total"] or 0)
     found = components(links(sets))
     labelled = classes.join(found.withColumnsRenamed({"node": "sig", "component": "label"}), "sig",
                             "left").withColumn("label", F.coalesce("label", "sig"))
