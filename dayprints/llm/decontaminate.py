@@ -8,7 +8,7 @@ passage around it is aligned with the item (Smith-Waterman over words: match 2,
 gap -1). The score is the alignment's share of a perfect copy's; edited copies lose 1.5 times the
 share of words changed.
 
-Words are runs of letters, digits and underscores, lower-cased. Null and empty texts match
+Words are runs of letters, digits and underscores, case-folded. Null and empty texts match
 nothing; items of fewer than four words take no part. Repeated documents are judged row by row,
 repeated item ids item by item. A document is read whole; only a few rows of the alignment are
 in memory, for windows of some item lengths.
@@ -33,7 +33,7 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return _WORD.findall((text or "").casefold())
 
 
 def gram_keys(ids: np.ndarray) -> np.ndarray:

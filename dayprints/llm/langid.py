@@ -274,16 +274,7 @@ def identified(text: Column, model: dict) -> Column:
         for i in range(0, len(names), LANGUAGES_A_PASS)]
     limits = {k: model[k].get("limit") for k in names}
 
-    @F.arrow_udf("array<struct<lang:string,n:bigint,total:double,squares:double>>")
-    def first(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from _block_sums(parts, shared[0])
-
-    sums = [first(text)] if shared else []
-    for other in shared[1:]:
-        def following(parts: Iterator[pa.Array], other=other) -> Iterator[pa.Array]:
-            yield from _block_sums(parts, other)
-        following.__annotations__ = first.func.__annotations__
-        sums.append(F.arrow_udf(following, first.returnType)(text))
+    sums = [_sums(text, block) for block in shared]
 
     @F.arrow_udf(_RESULT)
     def decide(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -303,6 +294,16 @@ def identified(text: Column, model: dict) -> Column:
     return decide(F.concat(*sums) if len(sums) > 1 else sums[0])
 
 
+def _sums(text: Column, shared) -> Column:
+    """Characters and sums of surprisals of each text under the languages of one block."""
+
+    @F.arrow_udf("array<struct<lang:string,n:bigint,total:double,squares:double>>")
+    def sums(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _block_sums(parts, shared)
+
+    return sums(text)
+
+
 def _block_sums(parts, shared):
     kept = shared.value
     if "scorer" not in kept:
