@@ -2,8 +2,9 @@
 
 The benchmark is the query set; it is taken in blocks of bounded size, each of which is broadcast
 and compared with all documents. First the document frequency of every n-gram of the block is
-counted over the whole corpus. An item's seeds are its n-grams that are no more frequent than its
-median n-gram, so every item has seeds whatever the corpus. Where a document holds a seed, the
+counted over the whole corpus. An item's seeds are its n-grams that are at most ``RARE`` times as
+frequent as its median n-gram: common phrases are out, every item has seeds whatever the corpus,
+and copies of an item do not make its own n-grams too frequent. Where a document holds a seed, the
 passage around it is aligned with the item (Smith-Waterman over words: match 2, mismatch -1,
 gap -1). The score is the alignment's share of a perfect copy's; edited copies lose 1.5 times the
 share of words changed.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 N = 4
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
+RARE = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -151,7 +153,8 @@ class Judge:
         self.index = index
         pairs = []
         for number, grams in enumerate(index.of_item):
-            rare = frequency[grams] <= np.median(frequency[np.unique(grams)])
+            usual = max(1.0, float(np.median(frequency[np.unique(grams)])))
+            rare = frequency[grams] <= RARE * usual
             pairs += [(g, number, p) for p, g in enumerate(grams) if rare[p]]
         pairs.sort()
         self.gram = np.array([g for g, _, _ in pairs], np.int64)
