@@ -44,11 +44,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) of what remains."""
     vocabulary = tokens.load(spark, public_tokenizers.path(ENCODING))
-    text = F.col("text")
-    coded = tokens.round_trip(text, vocabulary, public_tokenizers.PATTERN)
-    ids = tokens.encoded(text, vocabulary, public_tokenizers.PATTERN)
-    return docs.select("doc_id", ids.alias("ids"), coded.alias("c")).select(
-        "doc_id", "ids", "c.n_tokens", "c.ids_sha256", "c.decoded_sha256")
+    coded = tokens.round_trip(F.col("text"), vocabulary, public_tokenizers.PATTERN, with_ids=True)
+    return docs.select("doc_id", coded.alias("c")).select(
+        "doc_id", "c.ids", "c.n_tokens", "c.ids_sha256", "c.decoded_sha256")
 
 
 STAGES = [

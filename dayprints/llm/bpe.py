@@ -14,10 +14,15 @@ import base64
 import json
 import math
 import re
+from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
+import numpy as np
 import regex
 
 INF = math.inf
+START = 0xFFFFFF
 _RUNS = re.compile(rb"[\x00-\x7f]+|[\x80-\xff]+")
 
 
@@ -68,7 +73,7 @@ class Merges:
         self._split: dict[bytes, tuple | None] = {}
         self._right: dict[bytes, list] = {}
         self._left: dict[bytes, list] = {}
-        self._fits: dict[tuple[bytes, bytes], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def replay(self, piece: bytes, down_to: int = 1) -> list[bytes]:
         """The parts of ``piece`` after merging, lowest rank first and leftmost on ties."""
@@ -107,67 +112,62 @@ class Merges:
                 memo[token] = [*inner[:-1], (inner[-1][0], split[2]), (token, INF)]
         return memo[token]
 
-    def fit(self, a: bytes, b: bytes) -> bool:
-        """Does encoding the bytes of the canonical tokens a, b give them again?
+    def fits(self, a: int, b: int) -> bool:
+        """Is b canonical, and does encoding the bytes of the tokens a, b give them again? At the
+        start of a text (a is START) only the first is asked.
 
         Both derivations run side by side in rank order. They part company if, at some
         moment, the parts that meet at the border join before either joins on its own side;
         of equal ranks the left one goes first.
         """
-        key = (a, b)
+        key = a << 24 | b
         known = self._fits.get(key)
-        if known is not None:
-            return known
-        left, right = self._edge(a, 1, self._right), self._edge(b, 0, self._left)
+        if known is None:
+            if len(self._fits) > 1_000_000:  # a cache, not a table: it can be refilled
+                self._fits.clear()
+            known = self._fits[key] = self._derive(a, b)
+        return known
+
+    def _derive(self, a: int, b: int) -> bool:
+        second = self.bytes_of[b]
+        if self.split(second) is None:
+            return False
+        if a == START:
+            return True
+        left = self._edge(self.bytes_of[a], 1, self._right)
+        right = self._edge(second, 0, self._left)
         i = j = 0
         while True:
             (x, x_ends), (y, y_ends) = left[i], right[j]
             rank = self.rank(x, y)
             if rank is not None and rank < x_ends and rank <= y_ends:
-                good = False
-                break
+                return False
             if x_ends <= y_ends:
                 if x_ends == INF:
-                    good = True
-                    break
+                    return True
                 i += 1
             else:
                 j += 1
-        if len(self._fits) > 1_000_000:  # a cache, not a table: it can be refilled
-            self._fits.clear()
-        self._fits[key] = good
-        return good
 
 
 class Trie:
-    """Canonical tokens by their bytes. Node 0 is the root."""
+    """The tokens by their bytes, as numbers: node 0 is the root, -1 stands for no token."""
 
     def __init__(self, merges: Merges):
         self.step: dict[int, int] = {}  # node * 256 + byte -> node
-        self.token: list[bytes | None] = [None]
-        self.inner: list[bool] = [False]  # can the node be extended?
-        for token in merges.ids:
+        self.token, self.depth, self.below = [-1], [0], [0]  # below: tokens that extend the node
+        for token, number in merges.ids.items():
             node = 0
             for byte in token:
-                following = self.step.get(node * 256 + byte)
+                self.below[node] += 1
+                following = self.step.get(node << 8 | byte)
                 if following is None:
-                    following = self.step[node * 256 + byte] = len(self.token)
-                    self.token.append(None)
-                    self.inner.append(False)
-                    self.inner[node] = True
+                    following = self.step[node << 8 | byte] = len(self.token)
+                    self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                    self.below.append(0)
                 node = following
-            self.token[node] = token
-        self._merges = merges
-        self._checked = bytearray(len(self.token))
-
-    def canonical(self, node: int) -> bytes | None:
-        """The token that ends at the node, if merging can give it."""
-        if not self._checked[node]:
-            self._checked[node] = 1
-            token = self.token[node]
-            if token is not None and self._merges.split(token) is None:
-                self.token[node] = None
-        return self.token[node]
+            self.token[node] = number
 
 
 # ---------------------------------------------------------------- encoding
@@ -175,62 +175,66 @@ class Trie:
 class Encoder:
     """A transducer from bytes to tokens, determinised as far as the texts need it.
 
-    A path of the nondeterministic machine is (trie node, last token, pending tokens): the bytes
-    since the last token lead to the node. On a byte every path moves down the trie, and where a
-    token ends that is compatible with the path's last token, a path at the root is added.
-    A deterministic state is the set of live paths. Tokens that all of them agree on are emitted
-    at once, so what is pending reaches back no further than tokens that may still change.
-    States and transitions are made when first used and kept in a bounded table.
+    A path of the nondeterministic machine is a trie node with the token that ends where the
+    node's bytes begin. On a byte every path moves down the trie; where a canonical token ends
+    that is compatible with the path's token, a path at the root begins. A deterministic state is
+    the set of live paths; its move gives the one token that ends here. States and moves are made
+    when first used and kept in a bounded table.
+
+    A token is emitted once every live path's chain of tokens holds it: what is pending reaches
+    back no further than tokens that may still change.
     """
 
-    MAX_STATES = 200_000
+    MAX_STATES = 400_000
     MAX_PIECES = 200_000
+    TOGETHER = 4_000_000
     MAX_PIECE_BYTES = 64
+    PENDING = 4096
 
     def __init__(self, vocabulary: dict, pattern: str):
         self.merges = Merges(vocabulary)
         self.trie = Trie(self.merges)
         self.whole = vocabulary["whole"]
         self.pieces = regex.compile(pattern)
+        self.size = {i: len(t) for i, t in self.merges.bytes_of.items()}
+        self._sizes = np.zeros(max(self.size) + 1, np.int64)
+        self._sizes[list(self.size)] = list(self.size.values())
+        self.written = {i: str(i) for i in self.size}
         self._reset()
-        self._memo: dict[str, tuple] = {}
+        self._new: dict[str, list[int]] = {}
+        self._old: dict[str, list[int]] = {}
 
     def _reset(self) -> None:
-        self._paths: list[tuple] = []
-        self._number: dict[tuple, int] = {}
-        self._moves: dict[int, tuple[int, tuple]] = {}  # state * 256 + byte -> (state, emitted)
-        self._state(((0, None, ()),))
-
-    def _state(self, paths: tuple) -> int:
+        self._paths: list[tuple[int, ...]] = []
+        self._number: dict[tuple[int, ...], int] = {}
+        self._moves: dict[int, int] = {}  # state * 256 + byte -> state << 32 | token
+        self._state((START,))
+
+    def _state(self, paths: tuple[int, ...]) -> int:
+        """A state's number; a path is node << 24 | token, and a token of all ones stands for the
+        start of the text."""
         number = self._number.get(paths)
         if number is None:
             number = self._number[paths] = len(self._paths)
             self._paths.append(paths)
         return number
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple]:
-        step, inner, fit = self.trie.step, self.trie.inner, self.merges.fit
-        alive, done = [], None
-        for node, last, pending in self._paths[state]:
-            child = step.get(node * 256 + byte)
+    def _move(self, state: int, byte: int) -> int:
+        step, token, below = self.trie.step, self.trie.token, self.trie.below
+        fits, alive, done = self.merges.fits, [], -1
+        for path in self._paths[state]:
+            child = step.get(path >> 16 & ~0xFF | byte)
             if child is None:
                 continue
-            token = self.trie.canonical(child)
-            if token is not None and done is None and (last is None or fit(last, token)):
-                done = (0, token, (*pending, token))
-            if inner[child]:
-                alive.append((child, last, pending))
-        if done is None:
+            last = path & 0xFFFFFF
+            if done < 0 and token[child] >= 0 and fits(last, token[child]):
+                done = token[child]
+            if below[child]:
+                alive.append(child << 24 | last)
+        if done < 0:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        alive.append(done)
-        agreed = 0
-        shortest = min(len(p[2]) for p in alive)
-        while agreed < shortest and len({p[2][agreed] for p in alive}) == 1:
-            agreed += 1
-        emitted = done[2][:agreed]
-        target = self._state(tuple((n, t, p[agreed:]) for n, t, p in alive))
-        move = (target, tuple(self.merges.ids[t] for t in emitted))
-        self._moves[state * 256 + byte] = move
+        alive.append(done)  # a path at the root
+        move = self._moves[state << 8 | byte] = self._state(tuple(alive)) << 32 | done
         return move
 
     def encode_bytes(self, piece: bytes) -> list[int]:
@@ -239,38 +243,113 @@ class Encoder:
             return [known]
         if len(self._paths) > self.MAX_STATES:
             self._reset()
-        moves, state, out = self._moves, 0, []
+        moves, state = self._moves, 0
+        out: list[int] = []
+        ends: list[int] = []  # the token that ends at each pending byte
         for byte in piece:
-            move = moves.get(state * 256 + byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-            if len(self._paths) > 2 * self.MAX_STATES:  # inside one very long piece
-                paths = self._paths[state]
-                self._reset()
-                moves, state = self._moves, self._state(paths)
-        ids = self.merges.ids
-        out += [ids[t] for t in self._paths[state][-1][2]]  # the path at the root is the last
+            move = moves.get(state << 8 | byte)
+            if move is None:
+                move = self._move(state, byte)
+            state = move >> 32
+            ends.append(move & 0xFFFFFFFF)
+            if len(ends) >= self.PENDING:
+                out += self._emit(ends, self._paths[state])
+                if len(self._paths) > 2 * self.MAX_STATES:
+                    paths = self._paths[state]
+                    self._reset()
+                    moves, state = self._moves, self._state(paths)
+        return out + self._chain(ends, len(ends))
+
+    def _chain(self, ends: list[int], at: int) -> list[int]:
+        """The pending tokens up to a place."""
+        size, out = self.size, []
+        while at > 0:
+            token = ends[at - 1]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
         return out
 
-    def piece_ids(self, piece: str) -> tuple[list[int], str]:
-        """Ids of a piece, also as text; frequent pieces are remembered."""
-        known = self._memo.get(piece)
-        if known is None:
-            raw = piece.encode("utf-8")
-            ids = self.encode_bytes(raw)
-            known = (ids, ",".join(map(str, ids)))
-            if len(raw) <= self.MAX_PIECE_BYTES:
-                if len(self._memo) >= self.MAX_PIECES:
-                    self._memo.clear()
-                self._memo[piece] = known
-        return known
+    def _emit(self, ends: list[int], paths: tuple[int, ...]) -> list[int]:
+        """Takes from the pending bytes the tokens that the chains of all live paths share."""
+        depth = self.trie.depth
+        places = {len(ends) - depth[p >> 24] for p in paths}
+        while len(places) > 1:  # step the furthest one back until all meet
+            last = max(places)
+            places.remove(last)
+            places.add(last - self.size[ends[last - 1]])
+        (agreed,) = places
+        out = self._chain(ends, agreed)
+        del ends[:agreed]
+        return out
+
+    def _learn(self, raws: list[bytes]) -> list[list[int]]:
+        """Token ids of many short pieces, which step through the machine side by side, so that
+        every move is looked up once for all pieces that make it."""
+        if len(self._paths) > self.MAX_STATES:
+            self._reset()
+        lengths = np.fromiter(map(len, raws), np.int64, len(raws))
+        order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[order]
+        data = np.frombuffer(b"".join(raws), np.uint8)
+        starts = np.concatenate(([0], np.cumsum([len(r) for r in raws])[:-1]))[order]
+        ends = np.zeros((len(raws), int(lengths[0])), np.int32)
+        state = np.zeros(len(raws), np.int64)
+        moves = self._moves
+        for k in range(ends.shape[1]):
+            n = int(np.searchsorted(-lengths, -k, "left"))  # pieces longer than k
+            keys, place = np.unique(state[:n] << 8 | data[starts[:n] + k], return_inverse=True)
+            made = np.fromiter((self._move(x >> 8, x & 255) if (m := moves.get(x)) is None else m
+                                for x in keys.tolist()), np.int64, len(keys))[place]
+            state[:n] = made >> 32
+            ends[:n, k] = made & 0xFFFFFFFF
+        columns, at, row = [], lengths, np.arange(len(raws))
+        while at.any():  # chains of tokens from the ends of the pieces
+            token = np.where(at > 0, ends[row, at - 1], -1)
+            columns.append(token)
+            at = at - np.where(at > 0, self._sizes[token], 0)
+        found: list = [None] * len(raws)
+        for i, ids in zip(order.tolist(), np.array(columns[::-1]).T.tolist(), strict=True):
+            found[i] = [x for x in ids if x >= 0]
+        return found
+
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of texts. Pieces seen lately are remembered, in two generations."""
+        found = [self.pieces.findall(t) for t in texts]
+        table, fresh, raws = {}, [], []
+        for piece in set(chain.from_iterable(found)):
+            known = self._new.get(piece) or self._old.get(piece)
+            if known is None:
+                raw = piece.encode("utf-8")
+                if self.whole and raw in self.merges.ids:
+                    known = [self.merges.ids[raw]]
+                elif len(raw) > self.MAX_PIECE_BYTES:
+                    known = self.encode_bytes(raw)
+                else:
+                    fresh.append(piece)
+                    raws.append(raw)
+                    continue
+            table[piece] = known
+        if fresh:
+            table.update(zip(fresh, self._learn(raws), strict=True))
+        if len(self._new) + len(table) > self.MAX_PIECES:
+            self._old, self._new = self._new, {}
+        self._new.update((k, v) for k, v in table.items() if len(k) <= self.MAX_PIECE_BYTES)
+        return [list(chain.from_iterable(map(table.__getitem__, f))) for f in found]
+
+    def encode_all(self, texts) -> Iterator[list[int]]:
+        """Token ids of each text (None: empty), a few megabytes of text at a time."""
+        waiting, size = [], 0
+        for text in texts:
+            waiting.append(text or "")
+            size += len(waiting[-1])
+            if size >= self.TOGETHER:
+                yield from self.encode_many(waiting)
+                waiting, size = [], 0
+        yield from self.encode_many(waiting)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for match in self.pieces.finditer(text):
-            out += self.piece_ids(match.group())[0]
-        return out
+        return self.encode_many([text])[0]
 
 
 # ---------------------------------------------------------------- decoding
@@ -332,23 +411,29 @@ class Decoder:
     def __init__(self, vocabulary: dict):
         self.bytes_of = {i: t for t, i in vocabulary["ids"].items()}
         self.bytes_of |= {i: s.encode("utf-8") for s, i in vocabulary["specials"].items()}
+        # the text of tokens that begin and end at borders of code points: the machine's moves
+        # from its border state back to it
+        self.whole: dict[int, str | None] = {}
+        for i, raw in self.bytes_of.items():
+            machine = Utf8Machine()
+            shown = machine.feed(raw)
+            self.whole[i] = shown if machine.at_border and "\ufffd" not in shown else None
 
     def to_bytes(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def stream(self, ids):
+    def stream(self, ids) -> Iterator[str]:
         """Text for each id as soon as its code points are complete."""
         machine = Utf8Machine()
         for i in ids:
-            yield machine.feed(self.bytes_of[i])
+            shown = self.whole[i] if machine.at_border else None
+            yield machine.feed(self.bytes_of[i]) if shown is None else shown
         yield machine.finish()
 
     def text(self, ids) -> str:
-        """The decoded text: the same machine over whole chunks of ids."""
-        machine, out = Utf8Machine(), []
-        for start in range(0, len(ids), 4096):
-            out.append(machine.feed(self.to_bytes(ids[start:start + 4096])))
-        return "".join(out) + machine.finish()
+        """The decoded text."""
+        parts = list(map(self.whole.__getitem__, ids))
+        return "".join(self.stream(ids) if None in parts else parts)
 
 
 # ---------------------------------------------------------------- counting
@@ -357,54 +442,55 @@ class PrefixCounter:
     """Exact token counts of every prefix of a text.
 
     Inside a piece, ``count[e] = count[s] + 1`` for the one token (s, e) that is compatible with
-    the last token of the prefix that ends at s. Across pieces counts add up.
+    the last token of the prefix that ends at s. The tokens that end at each place are found by
+    one pass of an Aho-Corasick automaton. Across pieces counts add up.
     """
 
-    MAX_PIECES = 300_000
+    MAX_PIECES = 200_000
     MAX_PIECE_BYTES = 64
 
     def __init__(self, vocabulary: dict, pattern: str):
         self.merges = Merges(vocabulary)
-        self.trie = Trie(self.merges)
         self.whole = vocabulary["whole"]
         self.pieces = regex.compile(pattern)
+        self.endings = ahocorasick.Automaton()
+        for token, number in self.merges.ids.items():
+            self.endings.add_word(token.decode("latin-1"), (len(token), number))
+        self.endings.make_automaton()
         contents = sorted(vocabulary["specials"], key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, contents))) if contents else None
-        self._memo: dict[str, int] = {}
+        self._new: dict[str, int] = {}
+        self._old: dict[str, int] = {}
 
     def piece_counts(self, piece: bytes) -> list[int]:
         """Tokens of piece[:k] for k = 0 .. len(piece)."""
-        step, canonical, fit = self.trie.step, self.trie.canonical, self.merges.fit
-        size = len(piece)
-        count: list[int] = [0] + [-1] * size
-        last: list[bytes | None] = [None] * (size + 1)
-        for start in range(size):
-            before, node = last[start], 0
-            for end in range(start, size):
-                node = step.get(node * 256 + piece[end])
-                if node is None:
-                    break
-                if count[end + 1] >= 0:
-                    continue
-                token = canonical(node)
-                if token is not None and (before is None or fit(before, token)):
-                    count[end + 1], last[end + 1] = count[start] + 1, token
-            last[start] = None if start else last[start]
+        fits, known = self.merges.fits, self.merges._fits.get
+        count = [0] + [-1] * len(piece)
+        last = [START] * (len(piece) + 1)
+        for end, (size, token) in self.endings.iter(piece.decode("latin-1")):
+            end += 1
+            if count[end] < 0:
+                before = last[end - size]
+                good = known(before << 24 | token)
+                if good or good is None and fits(before, token):
+                    count[end], last[end] = count[end - size] + 1, token
         if self.whole:
-            for k in range(1, size + 1):
+            for k in range(1, len(piece) + 1):
                 if piece[:k] in self.merges.ids:
                     count[k] = 1
         return count
 
     def piece_count(self, piece: str) -> int:
-        known = self._memo.get(piece)
+        """Tokens of a piece; pieces seen lately are remembered, in two generations."""
+        known = self._new.get(piece)
         if known is None:
-            raw = piece.encode("utf-8")
-            known = self.piece_counts(raw)[-1]
-            if len(raw) <= self.MAX_PIECE_BYTES:
-                if len(self._memo) >= self.MAX_PIECES:
-                    self._memo.clear()
-                self._memo[piece] = known
+            known = self._old.get(piece)
+            if known is None:
+                known = self.piece_counts(piece.encode("utf-8"))[-1]
+            if len(piece) <= self.MAX_PIECE_BYTES:
+                if len(self._new) >= self.MAX_PIECES:
+                    self._old, self._new = self._new, {}
+                self._new[piece] = known
         return known
 
     def _segments(self, text: str):
@@ -419,14 +505,17 @@ class PrefixCounter:
             yield at, text[at:], False
 
     def count(self, text: str) -> int:
-        total, memo = 0, self._memo
+        total, get, learn = 0, self._new.get, self.piece_count
         for _, part, special in self._segments(text):
             if special:
                 total += 1
                 continue
             for piece in self.pieces.findall(part):
-                known = memo.get(piece)
-                total += self.piece_count(piece) if known is None else known
+                known = get(piece)
+                if known is None:
+                    known = learn(piece)
+                    get = self._new.get
+                total += known
         return total
 
     def stops(self, text: str) -> tuple[list[int], list[int]]:

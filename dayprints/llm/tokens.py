@@ -41,8 +41,8 @@ def encoded(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
         for part in parts:
-            yield pa.array([encoder.encode(t or "") for t in part.to_pylist()],
-                           pa.list_(pa.int32()))
+            texts = (v.as_py() for v in part)
+            yield pa.array(list(encoder.encode_all(texts)), pa.list_(pa.int32()))
 
     return encode(text)
 
@@ -60,34 +60,38 @@ def decoded(ids: Column, vocabulary: Broadcast) -> Column:
     return decode(ids)
 
 
-def round_trip(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
+def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
+               with_ids: bool = False) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256, exact): digests of encoding and decoding.
 
-    ``exact`` tells whether the streaming decoder gives the text again.
+    ``exact`` tells whether the streaming decoder gives the text again. ``with_ids`` adds ids.
     """
+    ids_field = ",ids:array<int>" if with_ids else ""
 
-    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,exact:boolean>")
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,exact:boolean"
+                 f"{ids_field}>")
     def digest(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
         decoder = _tool(vocabulary, bpe.Decoder)
-        pieces, piece_ids = encoder.pieces, encoder.piece_ids
+        written = encoder.written
         for part in parts:
-            rows = []
-            for value in part:
-                text = value.as_py() or ""
-                ids: list[int] = []
-                shown: list[str] = []
-                for piece in pieces.findall(text):
-                    numbers, written = piece_ids(piece)
-                    ids += numbers
-                    shown.append(written)
-                rows.append((len(ids), hashlib.sha256(",".join(shown).encode()).hexdigest(),
-                             hashlib.sha256(decoder.to_bytes(ids)).hexdigest(),
-                             decoder.text(ids) == text))
+            rows, kept = [], []
+            texts = (v.as_py() for v in part)
+            for value, ids in zip(part, encoder.encode_all(texts), strict=True):
+                shown = ",".join(map(written.__getitem__, ids))
+                back = decoder.text(ids)
+                rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(),
+                             hashlib.sha256(back.encode("utf-8")).hexdigest(),
+                             back == (value.as_py() or "")))
+                if with_ids:
+                    kept.append(ids)
             n, a, b, exact = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield struct_array({
+            columns = {
                 "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()),
-                "decoded_sha256": pa.array(b, pa.string()), "exact": pa.array(exact, pa.bool_())})
+                "decoded_sha256": pa.array(b, pa.string()), "exact": pa.array(exact, pa.bool_())}
+            if with_ids:
+                columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
+            yield struct_array(columns)
 
     return digest(text)
 

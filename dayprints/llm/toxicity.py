@@ -187,7 +187,7 @@ def train(graded: DataFrame, limit: int = FEATURES, split_toxic: bool = False) -
                           _matches(F.col("text"), chosen).alias("found")).toPandas()
     frame["order"] = frame["found"].map(lambda x: tuple(x))
     frame = frame.sort_values(["doc_id", "grade", "order"], ignore_index=True)
-    rows = [np.asarray(x) for x in frame["found"]]
+    rows = [np.asarray(x, np.int64) for x in frame["found"]]
     grade, weight = frame["grade"].to_numpy(np.int64), frame["weight"].to_numpy(np.float64)
     w, theta = fit(rows, grade, weight, len(chosen))
     if split_toxic:
