@@ -11,6 +11,7 @@ both built on these facts; merges are replayed only to learn a token's own deriv
 from __future__ import annotations
 
 import base64
+import gc
 import json
 import math
 import re
@@ -170,6 +171,17 @@ class Trie:
             self.token[node] = number
 
 
+def _uncollected(work, *args):
+    """Does work that makes many objects and no cycles without searching them for cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        return work(*args)
+    finally:
+        if was:
+            gc.enable()
+
+
 # ---------------------------------------------------------------- encoding
 
 class Encoder:
@@ -344,9 +356,9 @@ class Encoder:
             waiting.append(text or "")
             size += len(waiting[-1])
             if size >= self.TOGETHER:
-                yield from self.encode_many(waiting)
+                yield from _uncollected(self.encode_many, waiting)
                 waiting, size = [], 0
-        yield from self.encode_many(waiting)
+        yield from _uncollected(self.encode_many, waiting)
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0]
