@@ -197,7 +197,7 @@ class Encoder:
     back no further than tokens that may still change.
     """
 
-    MAX_STATES = 400_000
+    MAX_STATES = 300_000
     MAX_PIECES = 200_000
     TOGETHER = 4_000_000
     MAX_PIECE_BYTES = 64
@@ -320,17 +320,24 @@ class Encoder:
             token = np.where(at > 0, ends[row, at - 1], -1)
             columns.append(token)
             at = at - np.where(at > 0, self._sizes[token], 0)
+        matrix = np.array(columns[::-1]).T
+        first = (matrix < 0).sum(axis=1)
         found: list = [None] * len(raws)
-        for i, ids in zip(order.tolist(), np.array(columns[::-1]).T.tolist(), strict=True):
-            found[i] = [x for x in ids if x >= 0]
+        for i, ids, a in zip(order.tolist(), matrix.tolist(), first.tolist(), strict=True):
+            found[i] = ids[a:]
         return found
 
     def encode_many(self, texts: list[str]) -> list[list[int]]:
         """Token ids of texts. Pieces seen lately are remembered, in two generations."""
         found = [self.pieces.findall(t) for t in texts]
-        table, fresh, raws = {}, [], []
+        table, learnt, fresh, raws = {}, {}, [], []
+        new, old = self._new.get, self._old.get
         for piece in set(chain.from_iterable(found)):
-            known = self._new.get(piece) or self._old.get(piece)
+            known = new(piece)
+            if known is not None:
+                table[piece] = known
+                continue
+            known = old(piece)
             if known is None:
                 raw = piece.encode("utf-8")
                 if self.whole and raw in self.merges.ids:
@@ -341,12 +348,13 @@ class Encoder:
                     fresh.append(piece)
                     raws.append(raw)
                     continue
-            table[piece] = known
+            learnt[piece] = known
         if fresh:
-            table.update(zip(fresh, self._learn(raws), strict=True))
-        if len(self._new) + len(table) > self.MAX_PIECES:
+            learnt.update(zip(fresh, self._learn(raws), strict=True))
+        table.update(learnt)
+        if len(self._new) + len(learnt) > self.MAX_PIECES:
             self._old, self._new = self._new, {}
-        self._new.update((k, v) for k, v in table.items() if len(k) <= self.MAX_PIECE_BYTES)
+        self._new.update((k, v) for k, v in learnt.items() if len(k) <= self.MAX_PIECE_BYTES)
         return [list(chain.from_iterable(map(table.__getitem__, f))) for f in found]
 
     def encode_all(self, texts) -> Iterator[list[int]]:

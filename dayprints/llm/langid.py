@@ -87,6 +87,11 @@ def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFr
                 n = np.bincount(place, weights=n).astype(np.int64)
             held[name] = keys, n
 
+        def settle(pending):
+            for name, keys in pending.items():
+                add(name, *np.unique(np.concatenate(keys), return_counts=True))
+            pending.clear()
+
         def rows():
             for name, (keys, n) in held.items():
                 for at in range(0, len(keys), 100_000):
@@ -97,12 +102,17 @@ def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFr
 
         for batch in batches:
             pending: dict[str, list] = {}
+            waiting = 0
             names = batch.column(0).to_pylist()
             for name, value in zip(names, batch.column(1), strict=True):
                 for block in letters.blocks(value.as_py()):
-                    pending.setdefault(name, []).append(grams(block, ORDER))
-            for name, keys in pending.items():
-                add(name, *np.unique(np.concatenate(keys), return_counts=True))
+                    keys = grams(block, ORDER)
+                    pending.setdefault(name, []).append(keys)
+                    waiting += len(keys)
+                if waiting >= 4 * BLOCK:
+                    settle(pending)
+                    waiting = 0
+            settle(pending)
             if sum(len(k) for k, _ in held.values()) > 4_000_000:
                 yield from rows()
                 held.clear()
