@@ -197,9 +197,9 @@ class Encoder:
     back no further than tokens that may still change.
     """
 
-    MAX_STATES = 300_000
-    MAX_PIECES = 200_000
-    TOGETHER = 4_000_000
+    MAX_STATES = 160_000
+    MAX_PIECES = 100_000
+    TOGETHER = 2_000_000
     MAX_PIECE_BYTES = 64
     PENDING = 4096
 

@@ -40,8 +40,8 @@ from dayprints.session import cut_lineage
 WORDS = 5
 LEVEL, WHOLE = 75, 100
 HEAVY = 500
-BUCKET = 1_500_000
-CHUNK = 2_000_000
+BUCKET = 1_000_000
+CHUNK = 1_000_000
 TEXT_BLOCK = 1 << 22
 LARGEST_SMALL = 256
 COMPARISON = 8

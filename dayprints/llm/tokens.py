@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,7 +85,7 @@ def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
                              hashlib.sha256(back.encode("utf-8")).hexdigest(),
                              back == (value.as_py() or "")))
                 if with_ids:
-                    kept.append(ids)
+                    kept.append(np.array(ids, np.int32))
             n, a, b, exact = zip(*rows, strict=True) if rows else ((), (), (), ())
             columns = {
                 "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()),

@@ -64,7 +64,7 @@ def _select(sample: DataFrame, limit: int) -> list[str]:
                 totals[side] += 1
                 for name in features(value.as_py()):
                     held.setdefault(name, [0, 0])[side] += 1
-            if len(held) > 500_000:
+            if len(held) > 150_000:
                 yield rows()
                 held.clear()
         held[""] = totals  # no feature is empty
@@ -104,7 +104,7 @@ class Matcher:
         for word in set(_WORD.findall((text or "").lower())):
             numbers = memo.get(word)
             if numbers is None:
-                if len(memo) > 300_000:
+                if len(memo) > 100_000:
                     memo.clear()
                 numbers = memo[word] = self._of_word(word)
             if numbers:
