@@ -124,7 +124,7 @@ class Merges:
         key = a << 24 | b
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 1_000_000:  # a cache, not a table: it can be refilled
+            if len(self._fits) > 300_000:  # a cache, not a table: it can be refilled
                 self._fits.clear()
             known = self._fits[key] = self._derive(a, b)
         return known
