@@ -13,9 +13,9 @@ from dayprints.streaming import slots
 
 
 def _stream(spark, sf):
-    """The events table as a file stream of datapoints."""
+    """The events table, one file or a folder of files, as a file stream of datapoints."""
     schema = events.table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
     return events.with_datapoint_columns(rows)
 
 

@@ -27,6 +27,14 @@ def _order(cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in cols]
 
 
+def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with its bucket's carry; null keys and null times are groups like any other."""
+    names = [*keys, _B]
+    side = carry.withColumnsRenamed({n: f"__key{i}" for i, n in enumerate(names)})
+    same = [F.col(n).eqNullSafe(F.col(f"__key{i}")) for i, n in enumerate(names)]
+    return df.join(side, on=same, how="left").drop(*[f"__key{i}" for i in range(len(names))])
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, tuple],
             seconds: int = HOUR, descending: bool = False) -> DataFrame:
     """Add running ``sum`` or ``max`` columns up to and including each row.
@@ -47,7 +55,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: di
                                        for name, (fn, _) in values.items()])
     out = df.withColumns({name: fns[fn](value).over(inside)
                           for name, (fn, value) in values.items()})
-    out = out.join(carry, on=[*keys, _B], how="left")
+    out = _with_carry(out, carry, keys)
     for name, (fn, _) in values.items():
         prior = F.col(f"__before_{name}")
         both = (F.coalesce(prior, F.lit(0)) + F.col(name) if fn == "sum"
@@ -83,8 +91,7 @@ def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: d
         whole = buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         carried = F.coalesce(carried, F.last("__last").over(whole))
     carry = last.select(*keys, _B, carried.alias("__carry"))
-    out = (df.withColumn("__prev", F.lag(packed).over(inside))
-           .join(carry, on=[*keys, _B], how="left")
+    out = (_with_carry(df.withColumn("__prev", F.lag(packed).over(inside)), carry, keys)
            .withColumn("__prev", F.coalesce("__prev", "__carry")))
     return out.select("*", *[F.col("__prev")[n].alias(n) for n in names]).drop(
         "__prev", "__carry", _B)

@@ -44,3 +44,16 @@ def test_hot_key_is_split(rows):
 def test_empty(spark, rows):
     none = rows.where("event_id < 0")
     assert ordered.row_numbers(none, ["k"], ["ts", "event_id"]).count() == 0
+
+
+def test_null_keys_are_one_group(table):
+    from pyspark.sql import functions as F
+
+    from dayprints.operators import ordered
+    rows = [(1, None, "2024-01-01 00:10:00"), (2, None, "2024-01-01 01:10:00"),
+            (3, "a", "2024-01-01 00:20:00"), (4, "a", "2024-01-01 02:10:00")]
+    df = table(rows, "event_id long, user string, ts timestamp_ntz")
+    numbered = ordered.row_numbers(df, ["user"], ["ts", "event_id"])
+    assert {r["event_id"]: r["rn"] for r in numbered.collect()} == {1: 1, 2: 2, 3: 1, 4: 2}
+    before = ordered.previous(df, ["user"], ["ts", "event_id"], {"before": F.col("event_id")})
+    assert {r["event_id"]: r["before"] for r in before.collect()} == {1: None, 2: 1, 3: None, 4: 3}

@@ -59,3 +59,18 @@ def test_clusters_in_micro_batches(spark, folder, p):
     got = denstream.current_clusters(emitted)
     want = batch.denstream(filters.geo(events.datapoints(spark, SF)), None, p)
     assert_same(collected(got), collected(want))
+
+
+def test_stream_reads_a_folder_table_like_a_file(spark, tmp_path):
+    from dayprints.catalog import streams
+    source = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{source}/events.parquet").repartition(3).write.parquet(
+        str(tmp_path / "events.parquet"))
+    seen = []
+    for folder in (source, str(tmp_path)):
+        name = "rows_of_" + str(len(seen))
+        query = (streams._stream(spark, folder).select("event_id").writeStream.format("memory")
+                 .queryName(name).trigger(availableNow=True).start())
+        query.awaitTermination()
+        seen.append(sorted(r[0] for r in spark.table(name).collect()))
+    assert seen[0] and seen[0] == seen[1]
