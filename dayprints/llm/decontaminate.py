@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayprints.llm.texts import lean
+
 N = 4
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
@@ -108,7 +110,7 @@ def _frequencies(texts: DataFrame, shared, size: int) -> np.ndarray:
     def count(batches):
         index = _index(shared)
         total = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             for value in batch.column(0):
                 _, grams = index.hits(index.ids(value.as_py()))
                 total[np.unique(grams)] += 1
@@ -229,7 +231,7 @@ def _found(text: Column, shared, kind: str, threshold: float) -> Column:
         if "judge" not in kept:
             kept["judge"] = Judge(_index(shared), kept["frequency"])
         judge = kept["judge"]
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([judge.found(v.as_py(), threshold) for v in part], arrow)
 
     return find(text)

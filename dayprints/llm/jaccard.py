@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayprints.llm.texts import lean
 from dayprints.operators.components import components
 from dayprints.session import cut_lineage
 
@@ -118,7 +119,7 @@ def digest(found: np.ndarray) -> int:
 
 def _distinct_sets(batches, column: int, seen: set):
     """(digest, set) of the sets that this task has not had yet."""
-    for batch in batches:
+    for batch in lean(batches):
         for value in batch.column(column):
             found = shingles(value.as_py())
             if len(found):
@@ -145,7 +146,7 @@ def describe(df: DataFrame) -> DataFrame:
                 names)
 
         names = ["doc_id", "n", "sig", "shingle", "tally"]
-        for batch in batches:
+        for batch in lean(batches):
             sizes, sigs = [], []
             for value in batch.column(1):
                 found = shingles(value.as_py())

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayprints.llm.texts import bounded_sample, code_points, is_letter, struct_array
+from dayprints.llm.texts import bounded_sample, code_points, is_letter, lean, struct_array
 from dayprints.session import cut_lineage
 
 ORDER = 4
@@ -100,7 +100,7 @@ def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFr
                         [pa.array([name] * len(part)), pa.array(part),
                          pa.array(n[at:at + 100_000])], ["lang", "gram", "n"])
 
-        for batch in batches:
+        for batch in lean(batches):
             pending: dict[str, list] = {}
             waiting = 0
             names = batch.column(0).to_pylist()
@@ -288,7 +288,7 @@ def identified(text: Column, model: dict) -> Column:
 
     @F.arrow_udf(_RESULT)
     def decide(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
+        for part in lean(parts):
             rows = [_decision(found, limits) for found in part.to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
             columns = zip(*rows, strict=True) if rows else [()] * 6
@@ -321,7 +321,7 @@ def _block_sums(parts, shared):
     scorer = kept["scorer"]
     item = pa.struct([("lang", pa.string()), ("n", pa.int64()), ("total", pa.float64()),
                       ("squares", pa.float64())])
-    for part in parts:
+    for part in lean(parts):
         rows = []
         for value in part:
             n, sums = scorer.sums(value.as_py() or "")

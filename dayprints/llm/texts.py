@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +16,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lean(parts: Iterator) -> Iterator:
+    """The batches of a task; memory that earlier tasks and batches no longer use goes back.
+
+    A worker process serves one stage after another. What its allocators keep of the last one
+    would stand beside the executor's heap while the next one runs.
+    """
+    gc.collect()
+    _give_back()
+    for part in parts:
+        yield part
+        del part
+        _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def struct_array(columns: dict[str, pa.Array]) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayprints.llm import bpe
-from dayprints.llm.texts import struct_array
+from dayprints.llm.texts import lean, struct_array
 
 
 def load(spark: SparkSession, path: str) -> Broadcast:
@@ -41,7 +41,7 @@ def encoded(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
-        for part in parts:
+        for part in lean(parts):
             texts = (v.as_py() for v in part)
             yield pa.array(list(encoder.encode_all(texts)), pa.list_(pa.int32()))
 
@@ -54,7 +54,7 @@ def decoded(ids: Column, vocabulary: Broadcast) -> Column:
     @F.arrow_udf("string")
     def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = _tool(vocabulary, bpe.Decoder)
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([None if x is None else decoder.text(x) for x in part.to_pylist()],
                            pa.string())
 
@@ -75,7 +75,7 @@ def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
         decoder = _tool(vocabulary, bpe.Decoder)
         written = encoder.written
-        for part in parts:
+        for part in lean(parts):
             rows, kept = [], []
             texts = (v.as_py() for v in part)
             for value, ids in zip(part, encoder.encode_all(texts), strict=True):
@@ -103,7 +103,7 @@ def token_counts(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     @F.arrow_udf("bigint")
     def count(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _tool(vocabulary, bpe.PrefixCounter, pattern)
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([counter.count(t.as_py() or "") for t in part], pa.int64())
 
     return count(text)
@@ -119,7 +119,7 @@ def with_stops(df: DataFrame, vocabulary: Broadcast, pattern: str, text: str = "
     @F.arrow_udf("struct<ends:array<int>,totals:array<int>>")
     def stops(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _tool(vocabulary, bpe.PrefixCounter, pattern)
-        for part in parts:
+        for part in lean(parts):
             found = [counter.stops(t or "") for t in part.to_pylist()]
             yield struct_array({"ends": pa.array([e for e, _ in found], pa.list_(pa.int32())),
                                 "totals": pa.array([n for _, n in found], pa.list_(pa.int32()))})
@@ -150,7 +150,7 @@ def truncated(text: Column, budget: int, vocabulary: Broadcast, pattern: str) ->
     @F.arrow_udf("string")
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _tool(vocabulary, bpe.PrefixCounter, pattern)
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([None if t is None else counter.truncate(t, budget)
                             for t in part.to_pylist()], pa.string())
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayprints.llm.texts import labelled_sample, struct_array
+from dayprints.llm.texts import labelled_sample, lean, struct_array
 from dayprints.session import cut_lineage
 
 SAMPLE_PER_CLASS = 10_000
@@ -58,7 +58,7 @@ def _select(sample: DataFrame, limit: int) -> list[str]:
                 [pa.array(names, pa.string()), pa.array([held[k][0] for k in names], pa.int64()),
                  pa.array([held[k][1] for k in names], pa.int64())], ["feature", "clean", "toxic"])
 
-        for batch in batches:
+        for batch in lean(batches):
             for value, grade in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 side = int(grade > 0)
                 totals[side] += 1
@@ -120,7 +120,7 @@ def _matches(text: Column, chosen: list[str]) -> Column:
         kept = shared.value
         if "matcher" not in kept:
             kept["matcher"] = Matcher(kept["chosen"])
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([kept["matcher"].found(v.as_py()) for v in part],
                            pa.list_(pa.int32()))
 
@@ -215,7 +215,7 @@ def severity(text: Column, model: dict) -> Column:
         if "matcher" not in kept:
             kept["matcher"] = Matcher(kept["features"])
         matcher, w, theta = kept["matcher"], kept["weights"], kept["thresholds"]
-        for part in parts:
+        for part in lean(parts):
             eta = np.array([w[matcher.found(v.as_py())].sum() if len(w) else 0.0 for v in part])
             above = 1 - _logistic(theta[None, :] - eta[:, None])  # P(grade > k)
             padded = np.hstack((np.ones((len(eta), 1)), above, np.zeros((len(eta), 1))))
