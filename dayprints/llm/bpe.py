@@ -330,32 +330,29 @@ class Encoder:
     def encode_many(self, texts: list[str]) -> list[list[int]]:
         """Token ids of texts. Pieces seen lately are remembered, in two generations."""
         found = [self.pieces.findall(t) for t in texts]
-        table, learnt, fresh, raws = {}, {}, [], []
-        new, old = self._new.get, self._old.get
-        for piece in set(chain.from_iterable(found)):
-            known = new(piece)
-            if known is not None:
-                table[piece] = known
-                continue
-            known = old(piece)
-            if known is None:
-                raw = piece.encode("utf-8")
-                if self.whole and raw in self.merges.ids:
-                    known = [self.merges.ids[raw]]
-                elif len(raw) > self.MAX_PIECE_BYTES:
-                    known = self.encode_bytes(raw)
-                else:
-                    fresh.append(piece)
-                    raws.append(raw)
-                    continue
-            learnt[piece] = known
-        if fresh:
-            learnt.update(zip(fresh, self._learn(raws), strict=True))
-        table.update(learnt)
-        if len(self._new) + len(learnt) > self.MAX_PIECES:
+        if len(self._new) > self.MAX_PIECES:
             self._old, self._new = self._new, {}
-        self._new.update((k, v) for k, v in learnt.items() if len(k) <= self.MAX_PIECE_BYTES)
-        return [list(chain.from_iterable(map(table.__getitem__, f))) for f in found]
+        known, old, ids = self._new, self._old, self.merges.ids
+        missing = set(chain.from_iterable(found)).difference(known)
+        for piece in missing.intersection(old):
+            known[piece] = old[piece]
+        fresh, raws, long = [], [], []
+        for piece in missing.difference(old):
+            raw = piece.encode("utf-8")
+            if self.whole and raw in ids:
+                known[piece] = [ids[raw]]
+            elif len(raw) > self.MAX_PIECE_BYTES:
+                known[piece] = self.encode_bytes(raw)
+                long.append(piece)
+            else:
+                fresh.append(piece)
+                raws.append(raw)
+        if fresh:
+            known.update(zip(fresh, self._learn(raws), strict=True))
+        out = [list(chain.from_iterable(map(known.__getitem__, f))) for f in found]
+        for piece in long:
+            del known[piece]
+        return out
 
     def encode_all(self, texts) -> Iterator[list[int]]:
         """Token ids of each text (None: empty), a few megabytes of text at a time."""
@@ -451,9 +448,24 @@ class Decoder:
         yield machine.finish()
 
     def text(self, ids) -> str:
-        """The decoded text."""
+        """The decoded text. Only tokens that begin or end inside a code point go through the
+        machine, with those behind them until it is at a border again."""
         parts = list(map(self.whole.__getitem__, ids))
-        return "".join(self.stream(ids) if None in parts else parts)
+        at = 0
+        while True:
+            try:
+                at = parts.index(None, at)
+            except ValueError:
+                break
+            machine, end, shown = Utf8Machine(), at, []
+            while end < len(ids) and (end == at or not machine.at_border):
+                shown.append(machine.feed(self.bytes_of[ids[end]]))
+                parts[end] = ""
+                end += 1
+            if end == len(ids):
+                shown.append(machine.finish())
+            parts[at] = "".join(shown)
+        return "".join(parts)
 
 
 # ---------------------------------------------------------------- counting
