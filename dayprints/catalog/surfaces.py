@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from dayprints.catalog.common import NEW_SQL, SOURCE_SQL, SQL, points, rnd
-from dayprints.catalog.slots import slot_vector
+from dayprints.catalog.slots import KEY, slot_vector
 from dayprints.operators import closures, silhouette as sil
-from dayprints.session import scratch_path
+from dayprints.session import cut_lineage
 
 
 def udf_surface(spark, sf):
@@ -36,15 +35,11 @@ def keyed_agg_surface(spark, sf):
 
 
 def run_metrics(spark, sf):
-    """User-days and filled slots observed while the vectors are written."""
-    seen = Observation("slots")
+    """User-days, whatever their sources, and filled slots of the written vectors."""
     filled = sum((F.col(f"slot{i + 1}") > 0).cast("bigint") for i in range(48))
-    vectors = slot_vector(spark, sf).observe(
-        seen, F.count(F.lit(1)).alias("user_days"), F.sum(filled).alias("filled_slots"))
-    vectors.write.parquet(scratch_path(spark, "vectors"))
-    found = seen.get
-    return spark.createDataFrame([(found["user_days"], found["filled_slots"])],
-                                 "user_days bigint, filled_slots bigint")
+    vectors = cut_lineage(slot_vector(spark, sf))
+    return vectors.agg(F.count_distinct(F.struct(*KEY)).alias("user_days"),
+                       F.sum(filled).alias("filled_slots"))
 
 
 def silhouette(spark, sf):
@@ -74,7 +69,7 @@ ORACLES = {
     "run_metrics": NEW_SQL + f""", s as (
           select service, "user", day, {SOURCE_SQL} as source, slot0,
             round(sum(distance), 6) as value from new group by all)
-        select count(distinct (service, "user", day, source)) as user_days,
+        select count(distinct (service, "user", day)) as user_days,
           count(*) filter (where value > 0) as filled_slots from s""",
     "silhouette": SQL + """, p as (
           select "user", event_id, longitude as x, latitude as y,

@@ -28,9 +28,14 @@ def t_quantile(df: int, level: float = 0.95) -> float:
     if df < 1:
         return math.nan
     z = NormalDist().inv_cdf((1 + level) / 2)
-    if df > 2000:  # Cornish-Fisher terms, exact to double precision here
-        return z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2)
-    low, high = 0.0, 1e4
+    if df > 2000:  # the expansion in 1 / df; its next term is below 1e-15 at usual levels
+        terms = (z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+                 (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+                 (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160)
+        return sum(term / df**k for k, term in enumerate(terms))
+    low, high = 0.0, 1.0
+    while _central(high, df) < level:
+        high *= 2
     while high - low > 1e-13 * high:
         mid = (low + high) / 2
         low, high = (mid, high) if _central(mid, df) < level else (low, mid)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -60,11 +61,12 @@ def slot_tables(points: DataFrame, stored_marks: DataFrame, as_of: str,
 
 
 def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
-    """Run the job against stored tables; returns user-days and slot rows written.
+    """Run the job against stored tables; returns user-days, slot rows written and seconds.
 
     Marks are written last and from a materialised copy, so a run that dies in
     between is repeated: headers already there are not appended again.
     """
+    began = time.monotonic()
     stored_marks = read_table_or_empty(spark, "last_modification", store, schemas.MARKS)
     stored_marks = cut_lineage(stored_marks)
     header_ddl = "service string, user string, date date"
@@ -73,7 +75,8 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     stored_home = read_table_or_empty(spark, "distance", store, home_ddl)
     out = slot_tables(points, stored_marks, as_of, stored_home)
 
-    fresh = marks.new_headers(out.header, stored_header).select("service", "user", "date")
+    header = cut_lineage(out.header.select("service", "user", "date").distinct())
+    fresh = marks.new_headers(header, stored_header).select("service", "user", "date")
     write_table(cut_lineage(fresh), "mobility_summary", store)
     seen = Observation("mobility")
     distance = out.distance.observe(
@@ -82,4 +85,4 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     write_table(distance, "distance", store, partition_by="day")
     write_table(out.speed, "speed", store, partition_by="day")
     write_table(cut_lineage(out.marks), "last_modification", store, "overwrite")
-    return dict(seen.get)
+    return {**seen.get, "user_days": header.count(), "seconds": time.monotonic() - began}

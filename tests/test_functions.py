@@ -97,6 +97,13 @@ def test_t_quantile(df, expected):
     assert student.t_quantile(df) == pytest.approx(expected, abs=2e-6 if df > 1000 else 1e-8)
 
 
+def test_t_quantile_has_one_rule_for_all_sizes():
+    assert student.t_quantile(1, 0.99999) == pytest.approx(63661.977, abs=1e-2)
+    for df in (2_000, 2_001, 20_001):
+        assert student._central(student.t_quantile(df), df) == pytest.approx(0.95, abs=1e-12)
+
+
+
 def test_hops(spark):
     cases = {("leaf1", "leaf1"): 0, ("leaf1", "spine2"): 1, ("dr1", "leaf9"): 1, ("dr1", "dr2"): 1,
              ("dr1", "spine1"): 2, ("leaf1", "leaf2"): 2, ("spine1", "spine2"): 2, ("x", "y"): 2}
