@@ -1,5 +1,6 @@
 """Encoding, decoding and counting against the libraries that define them."""
 import hashlib
+import random
 
 import public_tokenizers as P
 import tiktoken
@@ -104,3 +105,25 @@ def test_counts_and_stored_stops(spark, docs):
         assert row["k"] == tokens_of(text) and row["p"] == tokens_of(text[:7])
         assert (row["cut"] is None) == (row["text"] is None)
         assert tokens_of(row["cut"] or "") <= 3
+
+
+def test_text_of_any_ids_equals_the_stream_and_the_decoded_bytes():
+    decoder, chance = bpe.Decoder(VOCABULARY), random.Random(5)
+    ids = sorted(decoder.bytes_of)
+    for _ in range(500):
+        some = [chance.choice(ids[:300] if chance.random() < 0.6 else ids)
+                for _ in range(chance.randrange(30))]
+        shown = decoder.to_bytes(some).decode("utf-8", "replace")
+        assert decoder.text(some) == "".join(decoder.stream(some)) == shown
+
+
+def test_small_caches_change_no_ids():
+    small = bpe.Encoder(VOCABULARY, P.PATTERN)
+    small.MAX_PIECES, small.MAX_STATES = 20, 200
+    library = tiktoken.Encoding("test", pat_str=P.PATTERN, special_tokens={},
+                                mergeable_ranks=VOCABULARY["ids"])
+    chance = random.Random(6)
+    for _ in range(100):
+        texts = ["".join(chance.choice("abc dé 漢字😀1\n'") for _ in range(chance.randrange(90)))
+                 for _ in range(5)] + ["x" * chance.randrange(200), ""]
+        assert small.encode_many(texts) == [library.encode_ordinary(t) for t in texts]
