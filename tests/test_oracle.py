@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from dayprints import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -39,7 +40,8 @@ def _rows(pdf):
 
 
 def test_only_known_queries_have_no_sql():
-    assert QUERIES.keys() - ORACLES.keys() == ONLY_ROWS
+    assert catalog.queries().keys() - catalog.oracle_sql().keys() == ONLY_ROWS
+    assert catalog.queries().keys() <= QUERIES.keys()
     assert ORACLES.keys() <= QUERIES.keys()
 
 
