@@ -37,13 +37,13 @@ def latest_mark(header: DataFrame) -> DataFrame:
 
 def marks_other(marks: DataFrame, current: DataFrame) -> DataFrame:
     """Marks that the current run does not handle."""
-    return marks.join(current, on=[*KEY, "date", "data_type"], how="left_anti").select(
+    return unstored(marks, current, [*KEY, "date", "data_type"]).select(
         *KEY, "date", "data_type")
 
 
 def marks_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old marks of users without a new one, plus the new ones."""
-    return old.join(new, on=KEY, how="left_anti").unionByName(new)
+    return unstored(old, new, KEY).unionByName(new)
 
 
 def union_marks(updated: DataFrame, others: DataFrame) -> DataFrame:
@@ -52,4 +52,11 @@ def union_marks(updated: DataFrame, others: DataFrame) -> DataFrame:
 
 def new_headers(header: DataFrame, stored: DataFrame) -> DataFrame:
     """Headers not stored yet, so that a rerun appends nothing."""
-    return header.join(stored, on=[*KEY, "date"], how="left_anti")
+    return unstored(header, stored, [*KEY, "date"])
+
+
+def unstored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key is not among the stored ones; nulls equal each other."""
+    side = stored.select(*[F.col(c).alias(f"__{c}") for c in key])
+    return rows.join(side, on=[F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key],
+                     how="left_anti")

@@ -5,13 +5,13 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayprints import schemas
 from dayprints.operators import filters, marks, slots
 from dayprints.session import cut_lineage
-from dayprints.sources.tables import read_table_or_empty, write_table
+from dayprints.sources.tables import read_table_or_empty, replace_table, write_table
 
 DATA_TYPE = "mobility"
 PARENT = ["service", "user", "day"]
@@ -25,14 +25,12 @@ class Outputs:
     marks: DataFrame
 
 
-def slot_tables(points: DataFrame, stored_marks: DataFrame, as_of: str,
-                stored_home: DataFrame | None = None) -> Outputs:
+def slot_tables(points: DataFrame, stored_marks: DataFrame, as_of: str) -> Outputs:
     """All tables of a run.
 
     The samples are read once: one aggregate per (user-day, source, slot) holds
     everything, and marks and lags are applied to its rows, since they depend on
-    the day only. At-home has a longer lag and no mark; days already stored
-    are left out by their key.
+    the day only. At-home has a longer lag and no mark: all its closed days are here.
     """
     closed = filters.settled(filters.mobility(points), as_of, lag=2)
     base = cut_lineage(slots.slot_base(closed))
@@ -43,9 +41,6 @@ def slot_tables(points: DataFrame, stored_marks: DataFrame, as_of: str,
     pick = lambda df, c, *keys: df.select(*keys, "slot", F.col(c).alias("value"))
     folded = slots.fold_sources(new)
     home = slots.fold_sources(filters.settled(base, as_of, lag=4))
-    if stored_home is not None:
-        home = home.join(stored_home.where("type = 'home'").select(*PARENT).distinct(),
-                         on=PARENT, how="left_anti")
     home_vector = slots.slot_vector(pick(home, "home", *PARENT), PARENT, "home")
     distance = (
         slots.slot_vector(pick(new, "distance_sum", *by_source), by_source, "mean")
@@ -63,26 +58,23 @@ def slot_tables(points: DataFrame, stored_marks: DataFrame, as_of: str,
 def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     """Run the job against stored tables; returns user-days, slot rows written and seconds.
 
-    Marks are written last and from a materialised copy, so a run that dies in
-    between is repeated: headers already there are not appended again.
+    Marks are written last, and each table takes only rows whose key it does not hold
+    yet, so a run that died anywhere is simply repeated.
     """
     began = time.monotonic()
     stored_marks = read_table_or_empty(spark, "last_modification", store, schemas.MARKS)
-    stored_marks = cut_lineage(stored_marks)
-    header_ddl = "service string, user string, date date"
-    stored_header = read_table_or_empty(spark, "mobility_summary", store, header_ddl)
-    home_ddl = "service string, user string, day date, type string"
-    stored_home = read_table_or_empty(spark, "distance", store, home_ddl)
-    out = slot_tables(points, stored_marks, as_of, stored_home)
+    out = slot_tables(points, stored_marks, as_of)
 
     header = cut_lineage(out.header.select("service", "user", "date").distinct())
-    fresh = marks.new_headers(header, stored_header).select("service", "user", "date")
-    write_table(cut_lineage(fresh), "mobility_summary", store)
-    seen = Observation("mobility")
-    distance = out.distance.observe(
-        seen, F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("type") == "mean").alias("user_days"))
-    write_table(distance, "distance", store, partition_by="day")
-    write_table(out.speed, "speed", store, partition_by="day")
-    write_table(cut_lineage(out.marks), "last_modification", store, "overwrite")
-    return {**seen.get, "user_days": header.count(), "seconds": time.monotonic() - began}
+    stored = read_table_or_empty(spark, "mobility_summary", store, header.schema)
+    write_table(marks.new_headers(header, stored), "mobility_summary", store)
+    written = {}
+    for name, rows, key in (("distance", out.distance, [*PARENT, "source", "type"]),
+                            ("speed", out.speed, [*PARENT, "type"])):
+        stored = read_table_or_empty(spark, name, store, rows.schema)
+        fresh = cut_lineage(marks.unstored(rows, stored, key))
+        written[name] = fresh.count()
+        write_table(fresh, name, store, partition_by="day")
+    replace_table(out.marks, "last_modification", store)
+    return {"rows": written["distance"], "user_days": header.count(),
+            "seconds": time.monotonic() - began}

@@ -1,4 +1,8 @@
-"""Stored tables by name: over JDBC, or as Parquet folders."""
+"""Stored tables by name: over JDBC, or as Parquet folders.
+
+A Parquet table is either appended to, or replaced as a whole by ``replace_table``. The
+latter writes a version below the table's folder; readers take the newest complete one.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from dayprints.session import cut_lineage
+
 
 def _jdbc_options(options: dict) -> dict:
     """Connection options; user and password may come from the environment."""
@@ -17,6 +23,18 @@ def _jdbc_options(options: dict) -> dict:
     return out
 
 
+def _folder(name: str, options: dict) -> str:
+    return f"{options['path'].rstrip('/')}/{name}"
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Complete versions of a replaced table, oldest first."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(int(s.getPath().getParent().getName().split("=")[1])
+                  for s in files.globStatus(pattern) or [])
+
+
 def read_table(spark: SparkSession, name: str, options: dict) -> DataFrame:
     """Read a stored table.
 
@@ -26,16 +44,43 @@ def read_table(spark: SparkSession, name: str, options: dict) -> DataFrame:
     """
     if "url" in options:
         return spark.read.format("jdbc").options(dbtable=name, **_jdbc_options(options)).load()
-    return spark.read.parquet(f"{options['path'].rstrip('/')}/{name}")
+    folder = _folder(name, options)
+    done = _versions(spark, folder)
+    return spark.read.parquet(f"{folder}/version={done[-1]}" if done else folder)
 
 
 def read_table_or_empty(spark: SparkSession, name: str, options: dict, schema) -> DataFrame:
+    """Read a stored table; one that was never written, or never to its end, is empty.
+
+    A database table that is absent is created, by appending no rows.
+    """
+    empty = spark.createDataFrame([], schema)
+    if "url" in options:
+        write_table(empty, name, options)
     try:
         return read_table(spark, name, options)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        if not any(c in str(error) for c in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
             raise
-        return spark.createDataFrame([], schema)
+        return empty
+
+
+def replace_table(df: DataFrame, name: str, options: dict) -> None:
+    """Write the whole table anew; ``df`` may read the version it replaces.
+
+    A run that dies leaves the version before in place, and its own part is overwritten
+    by the next run. The version before is kept for readers that are still at it. A
+    database table is overwritten as the driver does it, without versions.
+    """
+    if "url" in options:
+        write_table(cut_lineage(df), name, options, "overwrite")
+        return
+    spark, folder = df.sparkSession, _folder(name, options)
+    done = _versions(spark, folder)
+    df.write.mode("overwrite").parquet(f"{folder}/version={(done or [0])[-1] + 1}")
+    for old in done[:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version={old}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df: DataFrame, name: str, options: dict, mode: str = "append",
@@ -50,4 +95,4 @@ def write_table(df: DataFrame, name: str, options: dict, mode: str = "append",
         writer = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
     else:
         writer = df.write.mode(mode)
-    writer.parquet(f"{options['path'].rstrip('/')}/{name}")
+    writer.parquet(_folder(name, options))

@@ -68,6 +68,88 @@ def test_clustering_job_starts_then_merges(spark, store):
     assert tables.read_table(spark, "clusters", store).agg(F.sum("N")).first()[0] > n
 
 
+class Died(Exception):
+    pass
+
+
+def _run_dying(monkeypatch, module, run, at):
+    """Run a job that stops before its ``at``-th write; False if it has fewer writes."""
+    calls = []
+    for name in ("write_table", "replace_table"):
+        def counted(*args, real=getattr(tables, name), **options):
+            calls.append(name)
+            if len(calls) == at:
+                raise Died
+            return real(*args, **options)
+        monkeypatch.setattr(module, name, counted, raising=False)
+    try:
+        run()
+        return len(calls) >= at
+    except Died:
+        return True
+    finally:
+        monkeypatch.undo()
+
+
+def _content(spark, store, names):
+    def plain(v):
+        return round(v, 9) if isinstance(v, float) else str(v)
+    out = {}
+    for n in names:
+        df = tables.read_table(spark, n, store)
+        out[n] = sorted(tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect())
+    return out
+
+
+JOBS = {
+    "mobility": (mobility, {}, ["mobility_summary", "distance", "speed", "last_modification"]),
+    "social": (social, {}, ["social_summary", "call_register", "appusage", "last_modification"]),
+    "places": (places, {"p": mc.Params(sample_skip=3)},
+               ["cluster_state", "clusters", "last_modification"]),
+}
+
+
+@pytest.mark.parametrize("job", JOBS)
+def test_job_that_dies_before_any_write_is_repeated(spark, store, monkeypatch, job):
+    module, options, names = JOBS[job]
+    # users have samples in two services, and one user is null
+    points = events.datapoints(spark, SF).withColumns({
+        "service": F.expr("concat('s', event_id % 2)"),
+        "user": F.expr("nullif(user, '0')")})
+    if job == "places":
+        points = points.withColumns({
+            "longitude": F.lit(0.5), "latitude": F.col("event_id") % 2 * 0.00001,
+            "speed": F.lit(0.0), "accuracy": F.lit(0.0)})
+    once = {"path": scratch_path(spark, "once")}
+    for as_of in ("2024-01-15", "2024-01-31"):
+        module.run(spark, points, once, as_of, **options)
+    module.run(spark, points, store, "2024-01-15", **options)
+    for at in range(1, len(names) + 1):
+        assert _run_dying(monkeypatch, module,
+                          lambda: module.run(spark, points, store, "2024-01-31", **options), at)
+    module.run(spark, points, store, "2024-01-31", **options)
+    want = _content(spark, once, names)
+    assert all(want.values())
+    assert _content(spark, store, names) == want
+    if job == "places":
+        state = tables.read_table(spark, "cluster_state", store)
+        owners = state.select("service", "user").distinct()
+        assert owners.count() > state.select("user").distinct().count()
+
+
+def test_replaced_table_keeps_the_last_complete_version(spark, store):
+    rows = lambda n: spark.range(n)
+    assert tables.read_table_or_empty(spark, "t", store, "id bigint").count() == 0
+    rows(1).write.parquet(f"{store['path']}/t/version=1/_temporary")  # a write that died
+    assert tables.read_table_or_empty(spark, "t", store, "id bigint").count() == 0
+    for n in (2, 3, 4):
+        tables.replace_table(rows(n), "t", store)
+        assert tables.read_table(spark, "t", store).count() == n
+    tables.replace_table(tables.read_table(spark, "t", store).where("id > 0"), "t", store)
+    assert tables.read_table(spark, "t", store).count() == 3
+    assert tables._versions(spark, f"{store['path']}/t") == [3, 4]
+
+
 def test_readers_on_files(spark, tmp_path):
     (tmp_path / "wearable.json").write_text(json.dumps({"activities-distance": [
         {"dateTime": "2018-03-10", "value": "1.5"}, {"dateTime": "2018-03-11", "value": "0"}]}, indent=1))
