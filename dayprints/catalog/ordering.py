@@ -58,8 +58,11 @@ def wifi_vectors(spark, sf):
 
 
 def wifi_within_60s(spark, sf):
-    """Positions of a service with the nearest wifi scan; empty text if there is none."""
-    positions = points(spark, sf).where("wifis is null").select("service", "event_id", "ts")
+    """Positions of a service with the nearest wifi scan; empty text if there is none.
+
+    A position that carries wifi itself finds a scan of its own time.
+    """
+    positions = points(spark, sf).select("service", "event_id", "ts")
     out = wifi.nearest_scan(positions, _scans(spark, sf), ["service"],
                             F.struct("event_id", sensors.top_wifis("wifis").alias("hashes")))
     return out.select("event_id", F.coalesce("scan.payload.event_id", F.lit(-1)).alias("scan_id"),
@@ -150,7 +153,7 @@ ORACLES = {
           lambda i: case when list_contains(ones, i) then 1 else 0 end), '') as vector
         from o join z using ("user")""",
     "wifi_within_60s": _TOP5 + """, p as (
-          select service, event_id, epoch_us(ts) // 1000 as t from dp where wifi is null),
+          select service, event_id, epoch_us(ts) // 1000 as t from dp),
         c as (
           select p.event_id, s.event_id as scan_id, s.top, epoch_us(s.ts) // 1000 as st, p.t
           from p join sc s on s.service = p.service and abs(epoch_us(s.ts) // 1000 - p.t) <= 60000),

@@ -33,7 +33,7 @@ def dbscan(spark, sf):
 def _place_points(spark, sf):
     """Slow positions of a service with the wifi seen within a minute of them."""
     rows = points(spark, sf)
-    positions = filters.place(rows.where("wifis is null")).select(
+    positions = filters.place(rows).select(
         "service", "event_id", "ts", "longitude", "latitude", "altitude")
     return db.place_points(positions, rows.where("wifis is not null"), "service")
 
@@ -54,12 +54,14 @@ def denstream_init(spark, sf):
 
 
 def _places(spark, sf):
-    """Sums of the places a user is known at, before any clustering run."""
-    rows = points(spark, sf).where("event_id % 17 <> 0").select(
-        "user", "user_id", "event_id", "ts", "longitude", "latitude",
-        (F.col("event_id") % 5).alias("label"), epoch_seconds("ts").alias("t"))
-    return mc.cluster_summary(rows).withColumn(
-        "type_cluster", F.when(F.col("label") < 3, mc.POTENTIAL).otherwise(mc.OUTLIER))
+    """Sums of the density clusters of all of a user's positions, typed by their weight."""
+    rows = _track(spark, sf).select("user", "event_id", "ts", "longitude", "latitude",
+                                    epoch_seconds("ts").alias("t"))
+    labels = db.dbscan(db.plain_points(rows), db.Euclidean(EPS))
+    sums = mc.cluster_summary(rows.join(labels.select("event_id", "label"), on="event_id"))
+    heavy = F.col("weight") >= mc.Params().core_weight
+    return cut_lineage(sums.withColumn(
+        "type_cluster", F.when(heavy, mc.POTENTIAL).otherwise(mc.OUTLIER)))
 
 
 SUMS = ["weight", "LS1", "LS2", "SS1", "SS2", "longitude", "latitude"]
@@ -82,15 +84,14 @@ def auto_params(spark, sf):
 
 
 def cluster_upsert(spark, sf):
-    """Places of service 1 are updated, all others stay."""
-    stored = _places(spark, sf).select("user", "type_cluster", "label", "N")
-    updated = (stored.where("cast(user as bigint) % 3 = 1 and type_cluster = 'pMicroCluster'")
-               .withColumn("N", F.col("N") + 100))
-    return mc.cluster_upsert(stored, updated)
+    """What a check keeps replaces the stored places of the same user and type."""
+    stored = _places(spark, sf)
+    updated = mc.prune(stored, F.lit(PRUNED_AT).cast("bigint"))
+    return mc.cluster_upsert(stored, updated).select("user", "type_cluster", "label", "N")
 
 
 def load_user_clusters(spark, sf):
-    samples = points(spark, sf).where("day > date'2024-01-12'").select(
+    samples = points(spark, sf).select(
         "user", F.col("event_id").alias("seq"), F.col("longitude").alias("x"),
         F.col("latitude").alias("y"))
     out = den.load_user_clusters(samples, _places(spark, sf), "user")
@@ -108,10 +109,12 @@ def denstream(spark, sf):
 
 
 def clusters_out(spark, sf):
-    """Two runs: the first days, then the rest merged into the saved clusters."""
+    """Two runs: the first days, then the rest merged; other users keep what was saved."""
     rows = _track(spark, sf)
     saved = cut_lineage(den.denstream(rows.where("day <= date'2024-01-12'")))
-    return den.clusters_out(den.denstream(rows.where("day > date'2024-01-12'"), saved))
+    later = rows.where("day > date'2024-01-12'")
+    merged = den.denstream(later, saved)
+    return den.clusters_out(merged.unionByName(den.untouched(saved, later, "user")))
 
 
 PRUNED_AT = 1706000000  # 2024-01-23
@@ -156,7 +159,7 @@ _LABELS = _LABEL_CTES + """
 _PLACES = _TOP5 + """, g as (
       select service, event_id, epoch_us(ts) // 1000 as t, longitude as x, latitude as y,
         case when altitude = 0 then 600 else altitude end as z
-      from dp where wifi is null and longitude <> -1 and latitude <> -1 and accuracy < 90
+      from dp where longitude <> -1 and latitude <> -1 and accuracy < 90
         and speed < 0.5),
     c as (
       select g.event_id, s.event_id as scan_id, s.top, epoch_us(s.ts) // 1000 as st, g.t
@@ -176,19 +179,26 @@ _PLACES = _TOP5 + """, g as (
           - 0.001::double)) <= 0.3::double / 6371),
     core as (select a from pr group by a having count(*) >= 6)"""
 
-_SUMS = SQL + """, pl as (
-      select *, event_id % 5 as label, pow(2::double, -1e-5::double * (row_number() over (
-        partition by "user", event_id % 5 order by ts desc, event_id desc) - 1)) as w
-      from dp where event_id % 17 <> 0),
+_SUMS = (_PAIRS.replace("with ", "with recursive ", 1).replace(
+    'event_id, "user", longitude', 'event_id, "user", ts, longitude') + _LABEL_CTES + """,
+    pl as (
+      select p.*, lab.label, pow(2::double, -1e-5::double * (row_number() over (
+        partition by "user", lab.label order by ts desc, event_id desc) - 1)) as w
+      from p join lab on lab.a = p.event_id),
     a as (
       select "user", label, count(*) as n, cast(max(floor(epoch(ts))) as bigint) as created,
-        sum(w) as weight, sum(longitude * w) as ls1, sum(latitude * w) as ls2,
-        sum(longitude * longitude * w) as ss1, sum(latitude * latitude * w) as ss2
+        sum(w) as weight, sum(x * w) as ls1, sum(y * w) as ls2,
+        sum(x * x * w) as ss1, sum(y * y * w) as ss2
       from pl group by "user", label),
     r as (
       select *, greatest(sqrt(abs(ss1 / weight - pow(ls1 / weight, 2))),
         sqrt(abs(ss2 / weight - pow(ls2 / weight, 2)))) as radius,
-        case when label < 3 then 'pMicroCluster' else 'oMicroCluster' end as type_cluster from a)"""
+        case when weight >= 6 then 'pMicroCluster' else 'oMicroCluster' end as type_cluster from a)""")
+
+_STAYS = f"""weight >= case
+          when type_cluster = 'pMicroCluster' then 6 else
+          (pow(2::double, -1e-5::double * ({PRUNED_AT} - created + 1400)) - 1) /
+          (pow(2::double, -1e-5::double * 1400) - 1) end"""
 
 ORACLES = {
     "eps_neighbours": _PAIRS + """
@@ -220,18 +230,15 @@ ORACLES = {
           round(ls2, 6) as "LS2", round(ss1, 6) as "SS1", round(ss2, 6) as "SS2",
           round(ls1 / weight, 6) as longitude, round(ls2 / weight, 6) as latitude from r""",
     "denstream_prune": _SUMS + f"""
-        select "user", label, type_cluster, n as "N" from r where weight >= case
-          when type_cluster = 'pMicroCluster' then 6 else
-          (pow(2::double, -1e-5::double * ({PRUNED_AT} - created + 1400)) - 1) /
-          (pow(2::double, -1e-5::double * 1400) - 1) end""",
+        select "user", label, type_cluster, n as "N" from r where {_STAYS}""",
     "auto_params": _SUMS + """
         select "user", round(arg_min(radius, label) * 1.2, 6) as epsilon,
           round(1 / (1 - pow(2::double, -1e-5::double)), 3) as mu from r group by "user\"""",
-    "cluster_upsert": _SUMS + """
-        select "user", type_cluster, label, n + case when cast("user" as bigint) % 3 = 1
-          and type_cluster = 'pMicroCluster' then 100 else 0 end as "N" from r""",
+    "cluster_upsert": _SUMS + f""", k as (select *, {_STAYS} as stays from r)
+        select "user", type_cluster, label, n as "N" from k
+        qualify stays or not bool_or(stays) over (partition by "user", type_cluster)""",
     "load_user_clusters": _SUMS + """,
-        sm as (select "user", event_id, longitude, latitude from dp where day > date '2024-01-12')
+        sm as (select "user", event_id, longitude, latitude from dp)
         select "user", event_id as seq, round(longitude, 6) as x, round(latitude, 6) as y,
           0::bigint as n from sm
         union all select "user", 0, round(ls1 / weight, 6), round(ls2 / weight, 6), n from r

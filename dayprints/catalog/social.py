@@ -146,8 +146,9 @@ ORACLES = {
         select "user", week, row_number() over (partition by "user", week order by ts, event_id)
           as pos, cast(al[1] as integer) as place from p where len(al) > 0""",
     "collect_per_key": SQL + """
-        select "user", day, 0::bigint as piece,
-          string_agg(duration, ',' order by ts, event_id) as listed from dp group by "user", day""",
+        select "user", day, piece, string_agg(duration, ',' order by ts, event_id) as listed
+        from (select *, (row_number() over (partition by "user", day order by ts, event_id) - 1)
+          // 10000 as piece from dp) group by "user", day, piece""",
     "zip_explode": SQL + """
         select event_id, app, app_ms // 1000 as time from dp
         union all select event_id, 'maps', ((event_id * 97) % 3000) // 1000 from dp""",

@@ -98,16 +98,16 @@ class Clusters:
         return POTENTIAL if near else OUTLIER
 
 
-def farthest_merge(p: Params, samples_between_checks: Column) -> Column:
+def farthest_merge(p: Params, samples_between_checks: Column, heaviest: Column) -> Column:
     """Distance beyond which no cluster can take a sample, on any axis.
 
     A cluster of weight w taking a sample at distance d gets a deviation of at
     least d * sqrt(w) / (w + 1), which must stay within eps. Weights lie between
-    what a single sample fades to before the next check and their limit.
+    what a single sample fades to before the next check and ``heaviest``.
     """
     bound = lambda w: (w + 1) / F.sqrt(w)
     lightest = faded(F.lit(1.0), p.lam, samples_between_checks)
-    return F.lit(p.eps) * F.greatest(bound(F.lit(p.heaviest)), bound(lightest))
+    return F.lit(p.eps) * F.greatest(bound(heaviest), bound(lightest))
 
 
 def _clocked(samples: DataFrame, saved: DataFrame | None, p: Params, by: str) -> DataFrame:
@@ -142,21 +142,32 @@ def _clocked(samples: DataFrame, saved: DataFrame | None, p: Params, by: str) ->
 
 
 def _with_side(rows: DataFrame, saved: DataFrame | None, p: Params, by: str) -> DataFrame:
-    """Add the width of the empty gap that separates regions of the key."""
-    widest = F.lit(p.eps)
+    """Add the width of the empty gap that separates regions of the key.
+
+    A sample adds 1 to a weight at most, so the key's saved weight and its samples
+    bound every weight; this is far below the limit for all but the longest keys.
+    """
+    widest, saved_weight = F.lit(p.eps), F.lit(0.0)
+    # in both clocks one row of ``rows`` is a sample or a saved cluster
     if p.clock == "steps":
+        n = rows.groupBy(by).agg(F.count(F.lit(1)).alias("samples"))
         busiest = F.lit(p.tp)
     else:
         period = F.floor(F.col("t") / p.tp)
         n = (rows.groupBy(by, period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
-             .groupBy(by).agg(F.max("n").alias("busiest")))
-        rows, busiest = rows.join(measured(n), on=by), F.col("busiest")
+             .groupBy(by).agg(F.sum("n").alias("samples"), F.max("n").alias("busiest")))
+        busiest = F.col("busiest")
     if saved is not None:
-        rows = rows.join(saved.groupBy(by).agg(F.max(radius_of()).alias("widest")),
-                         on=by, how="left")
+        shape = saved.groupBy(by).agg(F.max(radius_of()).alias("widest"),
+                                      F.max("weight").alias("saved_weight"))
+        n = n.join(shape, on=by, how="left")
         widest = F.greatest(F.coalesce("widest", widest), widest)
-    side = rows.withColumn("side", farthest_merge(p, busiest) + widest)
-    return side.drop("busiest", "widest")
+        saved_weight = F.coalesce("saved_weight", saved_weight)
+    rows = rows.join(measured(n), on=by)
+    # one sample more than there are, so that the bound is not met exactly
+    heaviest = F.least(F.lit(p.heaviest), saved_weight + F.col("samples") + 1)
+    side = rows.withColumn("side", farthest_merge(p, busiest, heaviest) + widest)
+    return side.drop("busiest", "widest", "samples", "saved_weight")
 
 
 def _regions(rows: DataFrame, by: str) -> DataFrame:
@@ -193,6 +204,12 @@ def load_user_clusters(samples: DataFrame, saved: DataFrame, by: str) -> DataFra
     return samples.unionByName(mine, allowMissingColumns=True)
 
 
+def untouched(saved: DataFrame, samples: DataFrame, by: str = "user") -> DataFrame:
+    """Saved clusters of users without samples in this run; they stay as they are."""
+    users = samples.select(F.col(by).alias("__by")).distinct()
+    return saved.join(users, on=F.col(by).eqNullSafe(F.col("__by")), how="left_anti")
+
+
 _SAVED = ["weight", "LS1", "LS2", "SS1", "SS2", "N", "creationTimeStamp", "type_cluster"]
 
 
