@@ -118,6 +118,14 @@ RULES = [
     ("All-Rights-Reserved", ["AllRights"]),
 ]
 
+# Short forms of the Creative Commons licences, each version that was published.
+for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+    for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        _name = f"ShortCc {_kind} {_version}"
+        SENTENCES[_name] = f"Licensed under CC {_kind} {_version}"
+        SENTENCES[f"Work{_name}"] = f"This work is licensed under CC {_kind} {_version}"
+        RULES += [(f"CC-{_kind}-{_version}", [_name]), (f"CC-{_kind}-{_version}", [f"Work{_name}"])]
+
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 _SIGNS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*", re.M)
 _STOP = re.compile(r"[.?!;](?=\s|$)|\n[ \t]*(?=\n)|\n")

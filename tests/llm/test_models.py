@@ -239,3 +239,27 @@ def test_rules_stand_in_order_and_bridge_small_gaps():
     assert scanner.licences("A a. x. B b. C c.") == [("long", 0)]
     assert scanner.licences("A a. B b. x. x. x. C c. B b.") == [("short", 0), ("one", 6)]
     assert scanner.licences("C c. A a.") == []
+
+
+LICENCE_WORDS = (r"(?i)licen[sc]ed? |rights reserved|public domain|creative commons|\bcc[ -]by|"
+                 r"\bgpl\b|redistribut")
+UNKNOWN_NOTICES: set = set()  # sentences of the given documents that no rule names
+
+
+def test_every_notice_of_the_documents_is_known(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = docs.select(F.explode(F.split("text", r"\n|(?<=[.?!;])\s")).alias("line"))
+    notices = {r["line"].strip() for r in
+               lines.where(F.col("line").rlike(LICENCE_WORDS)).distinct().collect()}
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    assert "Licensed under CC BY-NC 4.0." in notices
+    assert {n for n in notices if not scanner.licences(n)} == UNKNOWN_NOTICES
+
+
+def test_short_creative_commons_notices():
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        assert scanner.licences(f"Words. Licensed under CC {kind} 4.0.\nMore.") == [
+            (f"CC-{kind}-4.0", 1)]
+    assert scanner.licences("Licensed under CC BY-NC 3.0.") == [("CC-BY-NC-3.0", 0)]
+    assert scanner.licences("Licensed under CC BY-XX 4.0.") == []
