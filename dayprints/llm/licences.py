@@ -1,7 +1,8 @@
 """Licence scans by sentence rules.
 
 A text is cut into sentences at full stops, question and exclamation marks, semicolons and blank
-lines; comment signs at line starts are dropped. A normalised sentence (lower case, words only)
+lines; comment signs at line starts are dropped. The stop of an abbreviation ("v. 2.0", "e.g.") or
+of a list number at a line start ends no sentence. A normalised sentence (lower case, words only)
 that is a known licence sentence gets its identifier, any other one none. Known sentences may
 run over lines or share a line's end with other words only behind a stop. The sequence of
 identifiers is then read from left to right: at each place the first rule in order whose
@@ -34,6 +35,14 @@ SENTENCES = {
                 "subject to the following conditions: The above copyright notice and this "
                 "permission notice shall be included in all copies or substantial portions of the "
                 "Software",
+    "MitPermission": "Permission is hereby granted, free of charge, to any person obtaining a copy "
+                     "of this software and associated documentation files (the \"Software\"), to "
+                     "deal in the Software without restriction, including without limitation the "
+                     "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or "
+                     "sell copies of the Software, and to permit persons to whom the Software is "
+                     "furnished to do so, subject to the following conditions:",
+    "MitNotice": "The above copyright notice and this permission notice shall be included in all "
+                 "copies or substantial portions of the Software",
     "AsIsUpper": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
                  "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
                  "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
@@ -63,6 +72,10 @@ SENTENCES = {
                        "modification, are permitted provided that the following conditions are "
                        "met: Redistributions of source code must retain the above copyright "
                        "notice, this list of conditions and the following disclaimer",
+    "BsdConditions": "Redistribution and use in source and binary forms, with or without "
+                     "modification, are permitted provided that the following conditions are met:",
+    "BsdSource": "Redistributions of source code must retain the above copyright notice, this list "
+                 "of conditions and the following disclaimer",
     "BsdBinary": "Redistributions in binary form must reproduce the above copyright notice, this "
                  "list of conditions and the following disclaimer in the documentation and/or "
                  "other materials provided with the distribution",
@@ -77,10 +90,19 @@ SENTENCES = {
     "CcBy3": "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
     "Cc0": "To the extent possible under law, the author has waived all copyright and related or "
            "neighboring rights to this work",
+    "Cc0Dedicated": "To the extent possible under law, the author(s) have dedicated all copyright "
+                    "and related and neighboring rights to this software to the public domain "
+                    "worldwide",
     "Unlicense": "This is free and unencumbered software released into the public domain",
     "PublicDomain": "This work is in the public domain",
     "Epl2": "This program and the accompanying materials are made available under the terms of "
             "the Eclipse Public License 2.0",
+    "Epl2At": "This program and the accompanying materials are made available under the terms of "
+              "the Eclipse Public License 2.0 which is available at "
+              "https://www.eclipse.org/legal/epl-2.0/",
+    "Epl2AtHttp": "This program and the accompanying materials are made available under the terms "
+                  "of the Eclipse Public License 2.0 which is available at "
+                  "http://www.eclipse.org/legal/epl-2.0",
     "Boost": "Distributed under the Boost Software License, Version 1.0",
     "AllRights": "All rights reserved",
 }
@@ -89,6 +111,8 @@ SENTENCES = {
 RULES = [
     ("MIT", ["MitGrant", "AsIsUpper"]),
     ("MIT", ["MitGrant"]),
+    ("MIT", ["MitPermission", "MitNotice", "AsIsUpper"]),
+    ("MIT", ["MitPermission", "MitNotice"]),
     ("MIT", ["ReleasedMit"]),
     ("MIT", ["LicensedMit"]),
     ("ISC", ["IscGrant"]),
@@ -105,19 +129,42 @@ RULES = [
     ("GPL-2.0", ["WorkGpl2"]),
     ("MPL-2.0", ["Mpl2"]),
     ("BSD-3-Clause", ["BsdRedistribute", "BsdBinary", "BsdNames"]),
+    ("BSD-3-Clause", ["BsdConditions", "BsdSource", "BsdBinary", "BsdNames"]),
     ("BSD-2-Clause", ["BsdRedistribute", "BsdBinary"]),
+    ("BSD-2-Clause", ["BsdConditions", "BsdSource", "BsdBinary"]),
     ("BSD", ["UseBsd"]),
     ("CC-BY-SA-4.0", ["CcBySa4"]),
     ("CC-BY-4.0", ["CcBy4"]),
     ("CC-BY-3.0", ["CcBy3"]),
     ("CC0-1.0", ["Cc0"]),
+    ("CC0-1.0", ["Cc0Dedicated"]),
     ("Unlicense", ["Unlicense"]),
     ("Public-Domain", ["PublicDomain"]),
     ("EPL-2.0", ["Epl2"]),
+    ("EPL-2.0", ["Epl2At"]),
+    ("EPL-2.0", ["Epl2AtHttp"]),
     ("BSL-1.0", ["Boost"]),
     ("All-Rights-Reserved", ["AllRights"]),
 ]
 
+# The notices of the GNU licences join their parts by a colon and a comma or by semicolons.
+SENTENCES["FreeLibrary"] = "This library is free software"
+for _terms, _either, _licence in (("Gpl2Plus", "Either3", "GPL-3.0-or-later"),
+                                  ("Gpl2Plus", "Either2", "GPL-2.0-or-later"),
+                                  ("LgplTerms", "Either21", "LGPL-2.1-or-later"),
+                                  ("LgplTerms", "Either3", "LGPL-3.0-or-later"),
+                                  ("AgplTerms", "Either3", "AGPL-3.0-or-later")):
+    for _free in ("FreeSoftware", "FreeLibrary"):
+        _parts = [_free, _terms, _either]
+        for _cut in ([1, 1, 1], [1, 2], [2, 1], [3]):
+            _at, _names = 0, []
+            for _n in _cut:
+                _names.append("+".join(_parts[_at:_at + _n]))
+                SENTENCES[_names[-1]] = " ".join(SENTENCES[k] for k in _parts[_at:_at + _n])
+                _at += _n
+            if (_licence, _names) not in RULES:
+                RULES.append((_licence, _names))
+
 # Short forms of the Creative Commons licences, each version that was published.
 for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
     for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
@@ -127,8 +174,13 @@ for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
         RULES += [(f"CC-{_kind}-{_version}", [_name]), (f"CC-{_kind}-{_version}", [f"Work{_name}"])]
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
-_SIGNS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*", re.M)
-_STOP = re.compile(r"[.?!;](?=\s|$)|\n[ \t]*(?=\n)|\n")
+_SIGNS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*"
+                    r"(?:\((?:\d{1,2}|[a-z])\)[ \t]+|(?:\d{1,2}|[a-z])\)[ \t]+)?", re.M)
+_NUMBER = re.compile(r"[ \t]*(?:\d{1,2}|[a-z])", re.I)
+_NUMBERED = "|".join(rf"(?<=\b{a}\.)" for a in ("v", "ver", "vers", "no", "nr", "sec", "art"))
+_STOP = re.compile(  # abbreviations before a number, and those that end no sentence, do not stop
+    rf"[.?!;](?=\s|$)(?!(?:{_NUMBERED})\s+\d)(?<!\be\.g\.)(?<!\bi\.e\.)(?<!\bcf\.)(?<!\bvs\.)"
+    r"|\n[ \t]*(?=\n)|\n", re.I)
 
 
 def normalised(sentence: str) -> str:
@@ -151,20 +203,27 @@ class Scanner:
 
         A line break is a stop only if the sentence it would end, or the one that would begin
         behind it, is known: pieces are joined over line breaks as long as that gives, or may
-        still give, a known sentence.
+        still give, a known sentence. A number and a full stop at a line start are passed over
+        where they begin a list item; they end a sentence only if that makes it a known one.
         """
         pieces = []  # (words, ends at a stop)
-        at = 0
+        numbers = set()  # pieces that may be a list number
+        at, fresh = 0, True  # fresh: at a line start
         clean = _SIGNS.sub("", text)
         for match in _STOP.finditer(clean):
             words = normalised(clean[at:match.start()])
             hard = clean[match.start()] != "\n" or match.group() != "\n"
             if words or hard:
+                if fresh and match.group() == "." and _NUMBER.fullmatch(clean, at, match.start()):
+                    numbers.add(len(pieces))
                 pieces.append((words, hard))
-            at = match.end()
+            at, fresh = match.end(), match.group()[0] == "\n"
         pieces.append((normalised(clean[at:]), True))
         out, i, number = [], 0, 0
         while i < len(pieces):
+            if i in numbers:
+                i += 1
+                continue
             joined, hard = pieces[i]
             end, found = i, self.known.get(joined)
             if joined.split(" ", 1)[0] in self.first:

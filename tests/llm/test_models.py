@@ -263,3 +263,125 @@ def test_short_creative_commons_notices():
             (f"CC-{kind}-4.0", 1)]
     assert scanner.licences("Licensed under CC BY-NC 3.0.") == [("CC-BY-NC-3.0", 0)]
     assert scanner.licences("Licensed under CC BY-XX 4.0.") == []
+
+
+GNU = """This {what} is free software{a} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{b} either version {v} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {kind}General Public License for more details.
+"""
+BSD = """Copyright (c) 2020, Somebody
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{a} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{gap}{b} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS".
+"""
+BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+PUBLISHED = [
+    *[(name, GNU.format(what=what, kind=kind, v=v, a=a, b=b)) for name, what, kind, v, a, b in (
+        ("GPL-3.0-or-later", "program", "", "3", ":", ","),
+        ("GPL-2.0-or-later", "program", "", "2", ";", ";"),
+        ("GPL-2.0-or-later", "program", "", "2", ":", ","),
+        ("LGPL-2.1-or-later", "library", "Lesser ", "2.1", ";", ";"),
+        ("LGPL-3.0-or-later", "program", "Lesser ", "3", ":", ","),
+        ("LGPL-3.0-or-later", "library", "Lesser ", "3", ":", ";"),
+        ("AGPL-3.0-or-later", "program", "Affero ", "3", ":", ","))],
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\n"
+                "License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+                "file, You can obtain one at https://mozilla.org/MPL/2.0/.\n"),
+    *[(name, BSD.format(a=a, b=b, gap=gap, third=third)) for a, b in (
+        ("1.", "2."), ("(1)", "(2)"), ("a)", "b)"), ("*", "*"), ("-", "-")) for gap in ("", "\n")
+      for name, third in (("BSD-2-Clause", ""), ("BSD-3-Clause", BSD_THIRD))],
+    ("MIT", """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.
+"""),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\n"
+            "purpose with or without fee is hereby granted, provided that the above\n"
+            "copyright notice and this permission notice appear in all copies.\n\n"
+            "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES."),
+    ("Apache-2.0", """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the\n"
+                "terms of the Eclipse Public License 2.0 which is available at\n"
+                "http://www.eclipse.org/legal/epl-2.0.\n\nSPDX-License-Identifier: EPL-2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made\n"
+                "available under the terms of the Eclipse Public License 2.0\n"
+                "which is available at https://www.eclipse.org/legal/epl-2.0/\n\n"
+                "SPDX-License-Identifier: EPL-2.0"),
+    ("BSL-1.0", "         Copyright Joe Coder 2004 - 2006.\n"
+                "Distributed under the Boost Software License, Version 1.0.\n"
+                "   (See accompanying file LICENSE_1_0.txt or copy at\n"
+                "         https://www.boost.org/LICENSE_1_0.txt)"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright\n"
+                "and related and neighboring rights to this software to the public domain\n"
+                "worldwide. This software is distributed without any warranty."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\n"
+                  "Anyone is free to copy, modify, publish this software."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International "
+                  "License. To view a copy of this license, visit a page."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                     "International License."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+]
+
+
+def test_published_notices_are_found():
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    for name, text in PUBLISHED:
+        for sign in ("", " * ", "# ", "// "):
+            notice = "".join(f"{sign}{line}\n" for line in text.split("\n"))
+            assert [n for n, _ in scanner.licences(notice)] == [name], (name, notice)
+    known = {"GPL-3.0", "GPL-2.0", "BSD", "Public-Domain", "All-Rights-Reserved"}  # one sentence
+    short = {n for n, _ in licences.RULES if n.startswith("CC-")}  # see the test of short forms
+    assert {n for n, _ in licences.RULES} == known | short | {n for n, _ in PUBLISHED}
+
+
+def test_abbreviations_and_list_numbers_end_no_sentence():
+    scanner = licences.Scanner({"A": "see part v. 2 of a", "B": "b version 3", "C": "c c"},
+                               [("a", ["A"]), ("b", ["B"]), ("c", ["C"])])
+    assert scanner.licences("Words. See part v. 2 of a. 1. C c.") == [("a", 1), ("c", 3)]
+    assert scanner.licences("B version\n3. C c.") == [("b", 0), ("c", 1)]  # a line break, no list
+    assert scanner.licences("Words.\n1. C c.\n12. C c.") == [("c", 1), ("c", 2)]
+    assert scanner.licences("Some Inc. C c. I said no. C c.") == [("c", 1), ("c", 3)]
