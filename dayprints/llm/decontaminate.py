@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare word n-grams as seeds, local alignment as the judge.
+"""Benchmark decontamination: word n-grams as seeds, local alignment as the judge.
 
 The benchmark is the query set; it is taken in blocks of bounded size, each of which is broadcast
-and compared with all documents. First the document frequency of every n-gram of the block is
-counted over the whole corpus. An item's seeds are its n-grams that are at most ``RARE`` times as
-frequent as its median n-gram: common phrases are out, every item has seeds whatever the corpus,
-and copies of an item do not make its own n-grams too frequent. Where a document holds a seed, the
-passage around it is aligned with the item (Smith-Waterman over words: match 2, mismatch -1,
-gap -1). The score is the alignment's share of a perfect copy's; edited copies lose 1.5 times the
-share of words changed.
+and compared with all documents. Every n-gram that a document shares with an item is a seed,
+however frequent it is: the result for a document does not depend on the rest of the corpus. Common
+phrases cost little, as a passage can reach the threshold only if it holds that share of the
+item's words; this is counted before anything is aligned, over the document and then over the
+passage. The passage around a seed is aligned with the item (Smith-Waterman over words: match 2,
+mismatch -1, gap -1). The score is the alignment's share of a perfect copy's; edited copies lose
+1.5 times the share of words changed.
 
 Words are runs of letters, digits and underscores, case-folded. Null and empty texts match
 nothing; items of fewer than four words take no part. Repeated documents are judged row by row,
@@ -30,7 +30,7 @@ from dayprints.llm.texts import lean
 N = 4
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
-RARE = 4
+PAIRS = 1 << 20  # seeds of a document looked at together
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -105,25 +105,6 @@ class Index:
         return places[right], at[right]
 
 
-def _frequencies(texts: DataFrame, shared, size: int) -> np.ndarray:
-    """In how many documents each n-gram of the block occurs."""
-    def count(batches):
-        index = _index(shared)
-        total = np.zeros(size, np.int64)
-        for batch in lean(batches):
-            for value in batch.column(0):
-                _, grams = index.hits(index.ids(value.as_py()))
-                total[np.unique(grams)] += 1
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["gram", "n"])
-
-    rows = texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(size, np.int64)
-    for row in rows.collect():  # at most the n-grams of the block
-        out[row["gram"]] = row["n"]
-    return out
-
-
 def _index(shared) -> Index:
     kept = shared.value
     if "index" not in kept:
@@ -151,33 +132,76 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 class Judge:
     """Finds the items that a text holds."""
 
-    def __init__(self, index: Index, frequency: np.ndarray):
+    def __init__(self, index: Index):
         self.index = index
-        pairs = []
-        for number, grams in enumerate(index.of_item):
-            usual = max(1.0, float(np.median(frequency[np.unique(grams)])))
-            rare = frequency[grams] <= RARE * usual
-            pairs += [(g, number, p) for p, g in enumerate(grams) if rare[p]]
-        pairs.sort()
-        self.gram = np.array([g for g, _, _ in pairs], np.int64)
-        self.item = np.array([i for _, i, _ in pairs], np.int64)
-        self.place = np.array([p for _, _, p in pairs], np.int64)
+        sizes = np.array([len(grams) for grams in index.of_item], np.int64)
+        gram = np.concatenate(index.of_item)
+        order = np.argsort(gram, kind="stable")
+        self.gram = gram[order]
+        self.item = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.place = (np.arange(len(gram)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
+        self.words = np.concatenate([item for _, item in index.items]).astype(np.int64)
+        self.size = np.array([len(item) for _, item in index.items], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.held = np.zeros(len(index.number) + 1, bool)  # words of a passage; else all False
+
+    def _postings(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``gram``, ``item`` and ``place`` for each n-gram, and how many each one has."""
+        first = np.searchsorted(self.gram, grams, "left")
+        many = np.searchsorted(self.gram, grams, "right") - first
+        return np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum()), many
+
+    def _likely(self, ids: np.ndarray, grams: np.ndarray, threshold: float) -> np.ndarray:
+        """A flag for each item that shares an n-gram and enough words with the document."""
+        flags = np.zeros(len(self.size), bool)
+        items = np.unique(self.item[self._postings(np.unique(grams))[0]])
+        sizes = self.size[items]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.begin[items] - ends + sizes, sizes) + np.arange(ends[-1])
+        known = ids[ids != 0].astype(np.int64)
+        self.held[known] = True
+        shared = np.add.reduceat(self.held[self.words[at]].astype(np.int64), ends - sizes)
+        self.held[known] = False
+        flags[items[shared >= threshold * sizes]] = True
+        return flags
+
+    def _holds(self, item: np.ndarray, passage: np.ndarray, threshold: float) -> bool:
+        """Does a passage hold enough of an item's words to reach the threshold?"""
+        known = passage[passage != 0].astype(np.int64)
+        self.held[known] = True
+        shared = np.count_nonzero(self.held[item.astype(np.int64)])
+        self.held[known] = False
+        return shared >= threshold * len(item)
+
+    def _anchors(self, ids: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of items, and where in the text each would begin; in order, without repeats."""
+        places, grams = self.index.hits(ids)
+        none = np.empty(0, np.int64)
+        if not len(places):
+            return none, none
+        likely = self._likely(ids, grams, threshold)
+        if not likely.any():
+            return none, none
+        spread = np.searchsorted(self.gram, grams, "right") - np.searchsorted(self.gram, grams)
+        cuts = np.flatnonzero(np.diff(np.cumsum(spread) // PAIRS)) + 1
+        pairs = np.empty((2, 0), np.int64)
+        for part, there in zip(np.split(grams, cuts), np.split(places, cuts), strict=True):
+            rows, many = self._postings(part)
+            kept = likely[self.item[rows]]
+            anchors = np.repeat(there, many)[kept] - self.place[rows[kept]]
+            pairs = np.concatenate((pairs, (self.item[rows[kept]], anchors)), axis=1)
+        items, anchors = pairs
+        order = np.lexsort((anchors, items))
+        items, anchors = items[order], anchors[order]
+        new = np.ones(len(items), bool)
+        new[1:] = (items[1:] != items[:-1]) | (anchors[1:] != anchors[:-1])
+        return items[new], anchors[new]
 
     def found(self, text: str | None, threshold: float) -> list[dict]:
         ids = self.index.ids(text)
-        places, grams = self.index.hits(ids)
-        if not len(places):
-            return []
-        first = np.searchsorted(self.gram, grams, "left")
-        many = np.searchsorted(self.gram, grams, "right") - first
-        if not many.any():
-            return []
-        rows = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-        anchors = np.repeat(places, many) - self.place[rows]  # where the item would begin
-        order = np.lexsort((anchors, self.item[rows]))
         out, open_item, until, best = [], -1, 0, None
-        for number, start in zip(self.item[rows][order].tolist(), anchors[order].tolist(),
-                                 strict=True):
+        items, anchors = self._anchors(ids, threshold)
+        for number, start in zip(items.tolist(), anchors.tolist(), strict=True):
             item_id, item = self.index.items[number]
             if number != open_item:
                 open_item, until, best = number, -len(ids) - len(item), None
@@ -187,6 +211,8 @@ class Judge:
             low = max(0, start - slack)
             until = start + len(item) // 2
             high = min(len(ids), until + len(item) + slack)
+            if not self._holds(item, ids[low:high], threshold):
+                continue
             score, end = align(item, ids[low:high])
             share = score / (MATCH * len(item))
             if share >= threshold and (best is None or share > best["score"]):
@@ -197,23 +223,18 @@ class Judge:
         return out
 
 
-def found_items(text: Column, benchmark: DataFrame, documents: DataFrame, doc_text: str = "text",
-                threshold: float = THRESHOLD, item_id: str = "item_id",
-                item_text: str = "text") -> Column:
+def found_items(text: Column, benchmark: DataFrame, threshold: float = THRESHOLD,
+                item_id: str = "item_id", item_text: str = "text") -> Column:
     """array<struct(item_id, score, end_word)> of the items that each text holds.
 
-    ``documents`` is the corpus over which frequencies are counted. ``end_word`` counts words of
-    the document up to the end of the aligned passage.
+    ``end_word`` counts words of the document up to the end of the aligned passage.
     """
-    spark = documents.sparkSession
+    spark = benchmark.sparkSession
     kind = benchmark.schema[item_id].dataType.simpleString()
     columns = []
     for block in blocks(benchmark, item_id, item_text):
         shared = spark.sparkContext.broadcast({"block": block})
-        index = Index(block)
-        frequency = _frequencies(documents.select(doc_text), shared, len(index.grams))
-        counted = spark.sparkContext.broadcast({"block": block, "frequency": frequency})
-        columns.append(_found(text, counted, kind, threshold))
+        columns.append(_found(text, shared, kind, threshold))
     empty = F.array().cast(f"array<struct<item_id:{kind},score:double,end_word:bigint>>")
     return F.concat(*columns) if columns else empty
 
@@ -229,7 +250,7 @@ def _found(text: Column, shared, kind: str, threshold: float) -> Column:
     def find(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kept = shared.value
         if "judge" not in kept:
-            kept["judge"] = Judge(_index(shared), kept["frequency"])
+            kept["judge"] = Judge(_index(shared))
         judge = kept["judge"]
         for part in lean(parts):
             yield pa.array([judge.found(v.as_py(), threshold) for v in part], arrow)
@@ -240,7 +261,7 @@ def _found(text: Column, shared, kind: str, threshold: float) -> Column:
 def contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                  text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, end_word): a row for each item that a document holds."""
-    found = found_items(F.col("_text"), benchmark, documents, text, threshold)
+    found = found_items(F.col("_text"), benchmark, threshold)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     return rows.select("doc_id", F.explode(found).alias("hit")).select("doc_id", "hit.*")
 
@@ -248,5 +269,4 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
 def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
     """The documents, all columns, that hold no item of the benchmark."""
-    return documents.where(
-        F.size(found_items(F.col(text), benchmark, documents, text, threshold)) == 0)
+    return documents.where(F.size(found_items(F.col(text), benchmark, threshold)) == 0)

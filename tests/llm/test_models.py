@@ -385,3 +385,32 @@ def test_abbreviations_and_list_numbers_end_no_sentence():
     assert scanner.licences("B version\n3. C c.") == [("b", 0), ("c", 1)]  # a line break, no list
     assert scanner.licences("Words.\n1. C c.\n12. C c.") == [("c", 1), ("c", 2)]
     assert scanner.licences("Some Inc. C c. I said no. C c.") == [("c", 1), ("c", 3)]
+
+
+def test_repeated_edited_copies_are_found_however_many(spark, docs):
+    item = [f"w{i}" for i in range(20)]
+    edited = ["new" if i in (5, 10, 15) else w for i, w in enumerate(item)]
+    half, other = " ".join(item[:11]), " ".join(item[9:])
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for copies in (3, 5, 1000):
+        for passage in (" ".join(edited), half):
+            rows = [(i, f"before {passage} after it") for i in range(copies)]
+            found = decontaminate.contaminated(docs([*rows, (-1, other)]), benchmark).collect()
+            assert {r["doc_id"] for r in found} == {-1, *range(copies)}
+    far = " ".join(item[:4]) + " x" * 60 + " " + " ".join(edited)  # a rarer seed elsewhere
+    found = decontaminate.contaminated(docs([(1, far), *((2, " ".join(edited)),) * 50]), benchmark)
+    assert found.count() == 51
+
+
+def test_seeds_in_many_parts_change_nothing(monkeypatch):
+    rnd = random.Random(3)
+    block = [(i, [rnd.choice("abcdef") for _ in range(rnd.randrange(4, 20))]) for i in range(30)]
+    judge = decontaminate.Judge(decontaminate.Index(block))
+    texts = [" ".join(rnd.choice("abcdefg") for _ in range(80)) for _ in range(20)]
+    whole = [judge.found(t, 0.5) for t in texts]
+    assert any(whole)
+    monkeypatch.setattr(decontaminate, "PAIRS", 7)
+    assert [judge.found(t, 0.5) for t in texts] == whole
+    monkeypatch.setattr(judge, "_holds", lambda *_: True)  # counting words loses nothing
+    monkeypatch.setattr(judge, "_likely", lambda *_: np.ones(len(block), bool))
+    assert [judge.found(t, 0.5) for t in texts] == whole
