@@ -9,8 +9,10 @@ passage. The passage around a seed is aligned with the item (Smith-Waterman over
 mismatch -1, gap -1). The score is the alignment's share of a perfect copy's; edited copies lose
 1.5 times the share of words changed.
 
-Words are runs of letters, digits and underscores, case-folded. Null and empty texts match
-nothing; items of fewer than four words take no part. Repeated documents are judged row by row,
+Words are runs of letters, digits and underscores, case-folded; in scripts without spaces (Han,
+Kana, Thai, Lao, Khmer, Burmese) each character is a word. An item of fewer than four words is one
+seed as a whole and is found where its words stand in a row, also a single word. Null and empty
+texts and items without words match nothing. Repeated documents are judged row by row,
 repeated item ids item by item. A document is read whole; only a few rows of the alignment are
 in memory, for windows of some item lengths.
 """
@@ -33,32 +35,40 @@ BLOCK_CHARS = 8_000_000
 PAIRS = 1 << 20  # seeds of a document looked at together
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"\w+")
+_UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029"
+             "\u3031-\u3035\u303b\u303c\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+             "\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f"
+             "\U00020000-\U0003ffff")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD_OR_SIGN = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").casefold())
+    folded = (text or "").casefold()
+    spaced = folded.isascii() or not _ANY_UNSPACED.search(folded)
+    return (_WORD if spaced else _WORD_OR_SIGN).findall(folded)
 
 
-def gram_keys(ids: np.ndarray) -> np.ndarray:
+def gram_keys(ids: np.ndarray, n: int = N) -> np.ndarray:
     """A number for the n-gram that starts at each word; ids are 64-bit and not 0."""
-    if len(ids) < N:
+    if len(ids) < n:
         return np.empty(0, np.uint64)
-    size = len(ids) - N + 1
+    size = len(ids) - n + 1
     key = ids[:size].copy()
-    for i in range(1, N):
+    for i in range(1, n):
         key = (key * _FACTOR) ^ (key >> np.uint64(29))
         key += ids[i:i + size]
     return key
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
-    """(item_id, words) of the items with enough words, a bounded number of characters at a time."""
+    """(item_id, words) of the items with any words, a bounded number of characters at a time."""
     block, size = [], 0
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t is not null")
     for row in rows.orderBy("i", "t").toLocalIterator():
         found = words(row["t"])
-        if len(found) >= N:
+        if found:
             block.append((row["i"], found))
             size += len(row["t"])
         if size >= BLOCK_CHARS:
@@ -78,9 +88,16 @@ class Index:
                 self.number.setdefault(word, len(self.number) + 1)
         self.items = [(i, np.array([self.number[w] for w in found], np.uint64))
                       for i, found in block]
-        keys = [gram_keys(ids) for _, ids in self.items]
+        keys = [gram_keys(ids) for _, ids in self.items]  # none for short items
         self.grams = np.unique(np.concatenate(keys))
         self.of_item = [np.searchsorted(self.grams, k) for k in keys]
+        self.short: dict[tuple, list] = {}  # words of an item below N: its numbers
+        for number, (_, ids) in enumerate(self.items):
+            if len(ids) < N:
+                self.short.setdefault(tuple(ids.tolist()), []).append(number)
+        self.short_keys = {n: np.unique(np.array([gram_keys(np.array(k, np.uint64), n)[0]
+                                                  for k in self.short if len(k) == n]))
+                           for n in sorted({len(k) for k in self.short})}
 
     def ids(self, text: str | None) -> np.ndarray:
         get = self.number.get
@@ -89,7 +106,7 @@ class Index:
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a text, and the n-grams of the block that stand there."""
-        if len(ids) < N:
+        if len(ids) < N or not len(self.grams):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         known = ids != 0
         size = len(ids) - N + 1
@@ -104,6 +121,19 @@ class Index:
         right = self.grams[at] == keys
         return places[right], at[right]
 
+    def short_hits(self, ids: np.ndarray) -> dict[int, int]:
+        """Numbers of the short items that stand in a text as a whole, and the first place."""
+        out: dict[int, int] = {}
+        for n, sought in self.short_keys.items():
+            keys = gram_keys(ids, n)
+            at = np.minimum(np.searchsorted(sought, keys), len(sought) - 1)
+            places = np.flatnonzero(sought[at] == keys)
+            _, first = np.unique(keys[places], return_index=True)
+            for place in places[first].tolist():
+                for number in self.short.get(tuple(ids[place:place + n].tolist()), ()):
+                    out[number] = place
+        return out
+
 
 def _index(shared) -> Index:
     kept = shared.value
@@ -220,6 +250,9 @@ class Judge:
                     best = {}
                     out.append(best)
                 best.update(item_id=item_id, score=share, end_word=low + end)
+        for number, place in sorted(self.index.short_hits(ids).items()):
+            item_id, item = self.index.items[number]
+            out.append({"item_id": item_id, "score": 1.0, "end_word": place + len(item)})
         return out
 
 

@@ -414,3 +414,29 @@ def test_seeds_in_many_parts_change_nothing(monkeypatch):
     monkeypatch.setattr(judge, "_holds", lambda *_: True)  # counting words loses nothing
     monkeypatch.setattr(judge, "_likely", lambda *_: np.ones(len(block), bool))
     assert [judge.found(t, 0.5) for t in texts] == whole
+
+
+def test_short_and_unspaced_items(spark, docs):
+    chinese, japanese = "中华人民共和国的首都是北京市。", "日本の首都は、東京です。"
+    items = [(1, "Too short"), (2, "one, two; three"), (3, "Zebra"), (4, chinese), (5, japanese),
+             (6, "two three"), (6, "北京"), (7, " .?! "), (8, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    edited = "中华人民共和国首都是北平市"
+    rows = [(1, "this is TOO\nshort, I say"), (2, "one two three"), (3, "zebras; a zebra"),
+            (4, f"他说{chinese}对不对"), (5, f"x{japanese}y"), (6, "too very short two, one three"),
+            (7, edited), (8, "short too"), (9, "two"), (10, "")]
+    found = decontaminate.contaminated(docs([*rows, *EDGE[:1]]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {
+        (1, 1), (2, 2), (2, 6), (3, 3), (4, 4), (4, 6), (5, 5), (7, 4)}
+    ends = {(r["doc_id"], r["item_id"]): r["end_word"] for r in found}
+    assert ends[1, 1] == 4 and ends[2, 2] == 3 and ends[3, 3] == 3 and ends[2, 6] == 3
+    assert all(r["score"] == 1 for r in found if r["doc_id"] != 7)
+    only = spark.createDataFrame(items[:3], "item_id long, text string")
+    kept = decontaminate.clean(docs(rows), only).collect()
+    assert {r["doc_id"] for r in kept} == {4, 5, 6, 7, 8, 9, 10}
+
+
+def test_words_of_unspaced_scripts_are_characters():
+    assert decontaminate.words("Über 東京 2024年, ไทย한국어 𠀀𠀁x_1") == [
+        "über", "東", "京", "2024", "年", "ไ", "ท", "ย", "한국어", "𠀀", "𠀁", "x_1"]
+    assert decontaminate.words("plain words’ end") == ["plain", "words", "end"]
