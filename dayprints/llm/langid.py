@@ -1,11 +1,13 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Training counts every character 4-gram of all training texts; discounts, continuation counts
-and context weights follow as grouped sums. The model is one pair of sorted arrays (slot, log
-probability) per language and order, and one (slot, log weight) per context length. A slot is a
-gram's number modulo a prime, so an array holds at most ``SLOTS[order]`` entries whatever the
-corpus: that bounds the broadcast to 25 MB a language in theory. Languages are scored in blocks
-of ``LANGUAGES_A_PASS``, each block with a broadcast of its own.
+and context weights follow as grouped sums. The model is one pair of sorted arrays (gram, log
+probability) per language and order, and one (gram, log weight) per context length. Grams are
+whole numbers of ``BITS`` a character and are looked up exactly, so the model grows with the
+distinct grams of the corpus: 12 bytes each. Languages are scored in blocks of at most
+``LANGUAGES_A_PASS`` languages and ``PASS_BYTES``, each with a broadcast of its own; a language
+beyond that is divided by the character before a gram's last one, and the sums of its parts are
+added. The driver and a worker process hold all blocks.
 
 Letters are lower-cased, everything else is one space. A text's language is the one with the
 lowest cross-entropy per character, ties by name. A text without letters is ``und``. A text is
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +31,9 @@ from dayprints.session import cut_lineage
 ORDER = 4
 BITS = 15
 ALPHABET = 32_749  # characters are folded modulo this prime; below it they are exact
-SLOTS = {4: 1_048_573, 3: 1_048_573, 2: 65_521, 1: 32_749}
 BLOCK = 1 << 20  # characters of a text looked at together
 LANGUAGES_A_PASS = 16
+PASS_BYTES = 64 << 20
 CALIBRATION_ROWS = 20_000
 MARGIN = 0.5  # nats per character above the language's mean that are always accepted
 UNKNOWN = "und"
@@ -124,7 +127,7 @@ def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFr
 
 
 def _model_rows(counts: DataFrame) -> DataFrame:
-    """(lang, kind, size, slot, value): log probabilities of grams and log weights of contexts."""
+    """(lang, kind, size, gram, value): log probabilities of grams and log weights of contexts."""
     low = {n: F.col("gram").bitwiseAND((1 << BITS * n) - 1) for n in range(1, ORDER)}
     by_size = {ORDER: cut_lineage(counts)}
     for n in range(ORDER - 1, 0, -1):  # how many different characters stand before the n-gram
@@ -152,35 +155,38 @@ def _model_rows(counts: DataFrame) -> DataFrame:
             F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
             + F.col("weight") * F.col("q")).alias("p")))
         out.append(shorter.select("lang", F.lit("gram").alias("kind"), F.lit(n).alias("size"),
-                                  (F.col("gram") % SLOTS[n]).alias("slot"),
-                                  F.log("p").alias("value")))
-        size = max(1, n - 1)
+                                  "gram", F.log("p").alias("value")))
         out.append(context.select("lang", F.lit("context").alias("kind"),
                                   F.lit(n - 1).alias("size"),
-                                  (F.col("context") % SLOTS[size]).alias("slot"),
-                                  F.log("weight").alias("value")))
+                                  F.col("context").alias("gram"), F.log("weight").alias("value")))
     union = out[0]
     for part in out[1:]:
         union = union.unionByName(part)
-    return union.groupBy("lang", "kind", "size", "slot").agg(F.max("value").alias("value"))
+    return union.withColumn("value", F.col("value").cast("float"))
 
 
 def train(df: DataFrame, lang: str = "lang", text: str = "text") -> dict:
     """The model: per language its sorted arrays and its calibration. {} without training texts."""
     rows = _model_rows(gram_counts(df, lang, text))
     model: dict = {}
-    table = rows.toArrow().sort_by([("lang", "ascending"), ("kind", "ascending"),
-                                    ("size", "ascending"), ("slot", "ascending")])
-    names, kinds, sizes = (np.asarray(table[c].to_pylist(), dtype=object)
-                           for c in ("lang", "kind", "size"))
-    slots = table["slot"].to_numpy().astype(np.uint32)
-    values = table["value"].to_numpy().astype(np.float32)
-    if len(names):
-        new = (names[1:] != names[:-1]) | (kinds[1:] != kinds[:-1]) | (sizes[1:] != sizes[:-1])
-        edges = [0, *(np.flatnonzero(new) + 1), len(names)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            model.setdefault(names[a], {"arrays": {}})["arrays"][kinds[a], sizes[a]] = (
-                slots[a:b], values[a:b])
+    table = rows.toArrow().combine_chunks()
+    if not table.num_rows:
+        return model
+    kinds = ["context", "gram"]
+    coded = table["lang"].combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    group = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 * (ORDER + 1)
+    group += pc.equal(table["kind"], "gram").to_numpy().astype(np.int64) * (ORDER + 1)
+    group += table["size"].to_numpy()
+    keys, values = table["gram"].to_numpy().astype(np.uint64), table["value"].to_numpy()
+    order = np.lexsort((keys, group))
+    group, keys, values = group[order], keys[order], values[order].astype(np.float32)
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        rest, size = divmod(int(group[a]), ORDER + 1)
+        lang_number, kind = divmod(rest, 2)
+        own = model.setdefault(names[lang_number], {"arrays": {}})
+        own["arrays"][kinds[kind], size] = keys[a:b].copy(), values[a:b].copy()
     return _calibrated(model, df, lang, text)
 
 
@@ -213,35 +219,113 @@ def _calibrated(model: dict, df: DataFrame, lang: str, text: str) -> dict:
 
 # ---------------------------------------------------------------- scoring
 
+def passes(model: dict) -> list[dict]:
+    """Blocks of the model: languages, or parts of one, whose arrays take ``PASS_BYTES`` at most.
+
+    Part k of n has the grams whose last character but one is k modulo n, and all single
+    characters; it scores the characters behind such a one. A part is larger than the bound only
+    where the grams around one character are.
+    """
+    out: list[dict] = []
+    room = names = 0
+    for name in sorted(model):
+        arrays = model[name]["arrays"]
+        size = sum(k.nbytes + v.nbytes for k, v in arrays.values())
+        parts = -(-size // PASS_BYTES)
+        if parts > 1:
+            out += [{"arrays": {name: {"arrays": _part(arrays, k, parts)}}, "part": k,
+                     "parts": parts} for k in range(parts)]
+            room = 0
+            continue
+        if size > room or names == LANGUAGES_A_PASS:
+            out.append({"arrays": {}, "part": 0, "parts": 1})
+            room, names = PASS_BYTES, 0
+        out[-1]["arrays"][name] = {"arrays": arrays}
+        room, names = room - size, names + 1
+    return out
+
+
+def _part(arrays: dict, part: int, parts: int) -> dict:
+    out = {}
+    for (kind, size), (keys, values) in arrays.items():
+        if size > (kind == "gram"):
+            char = keys >> np.uint64(BITS) if kind == "gram" else keys
+            own = (char & np.uint64((1 << BITS) - 1)) % np.uint64(parts) == part
+            keys, values = keys[own], values[own]
+        out[kind, size] = keys, values
+    return out
+
+
+class Rows:
+    """A number for each known key, by open addressing; ``absent`` for the others."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.rows = np.full(1 << bits, len(keys), np.int32)
+        self.absent = len(keys)
+        left, at = np.arange(len(keys), dtype=np.int32), self._first(keys)
+        while len(left):
+            free = self.rows[at] == self.absent
+            self.rows[at[free]] = left[free]  # of several for one place, one wins
+            won = self.rows[at] == left
+            self.keys[at[won]] = keys[left[won]]
+            left, at = left[~won], (at[~won] + 1) & self.mask
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self._first(keys)
+        out = self.rows[at]
+        wrong = np.flatnonzero((self.keys[at] != keys) & (out != self.absent))
+        at = at[wrong]
+        while len(wrong):
+            at = (at + 1) & self.mask
+            out[wrong] = self.rows[at]
+            more = (self.keys[at] != keys[wrong]) & (out[wrong] != self.absent)
+            wrong, at = wrong[more], at[more]
+        return out
+
+
 class Scorer:
-    """The arrays of some languages, laid out by slot for direct look-up in this process."""
+    """The arrays of a block's languages; a gram is looked up once for all of them."""
 
-    def __init__(self, model: dict):
+    def __init__(self, block: dict):
         self.letters = Letters()
-        self.tables = {}
-        for name, own in model.items():
-            laid = {}
-            for (kind, size), (slots, values) in own["arrays"].items():
+        self.part, self.parts = block["part"], block["parts"]
+        model = block["arrays"]
+        none = np.empty(0, np.uint64), np.empty(0, np.float32)
+        self.rows, self.tables = {}, {name: {} for name in model}
+        for size in range(ORDER + 1):
+            held = {(name, kind): own["arrays"].get((kind, size), none)
+                    for name, own in model.items() for kind in ("gram", "context")}
+            keys = np.unique(np.concatenate([k for k, _ in held.values()]))
+            self.rows[size] = Rows(keys)
+            for (name, kind), (own_keys, values) in held.items():
                 fill = np.nan if kind == "gram" else 0.0  # an unseen context has weight 1
-                table = np.full(SLOTS[max(1, size)], fill, np.float32)
-                table[slots] = values
-                laid[kind, size] = table
-            self.tables[name] = laid
+                table = np.full(len(keys) + 1, fill, np.float32)
+                table[np.searchsorted(keys, own_keys)] = values
+                self.tables[name][kind, size] = table
 
-    def surprisals(self, slots: dict, laid: dict) -> np.ndarray:
+    def surprisals(self, rows: dict, laid: dict) -> np.ndarray:
         """-log p of every character under one language."""
-        out = laid["gram", ORDER][slots[ORDER, "gram"]]
+        out = laid["gram", ORDER][rows[ORDER, "gram"]]
         missing = np.flatnonzero(np.isnan(out))
         if not len(missing):
             return -out
         weight = np.zeros(len(missing), np.float32)
         where = missing
         for n in range(ORDER, 0, -1):  # back off while the gram is unseen
-            weight = weight + laid["context", n - 1][slots[n, "context"][where]]
+            weight = weight + (laid["context", n - 1][rows[n - 1, "context"][where]] if n > 1
+                               else laid["context", 0][0])
             if n == 1:
                 out[where] = weight - np.float32(math.log(ALPHABET))
                 break
-            value = laid["gram", n - 1][slots[n - 1, "gram"][where]]
+            value = laid["gram", n - 1][rows[n - 1, "gram"][where]]
             found = ~np.isnan(value)
             out[where[found]] = weight[found] + value[found]
             where, weight = where[~found], weight[~found]
@@ -250,18 +334,19 @@ class Scorer:
         return -out
 
     def sums(self, text: str) -> tuple[int, dict[str, tuple[float, float]]]:
-        """Characters, and per language the sum of surprisals and of their squares."""
+        """Characters of this part, and per language the sum of surprisals and of their squares."""
         n, total = 0, {name: [0.0, 0.0] for name in self.tables}
         for block in self.letters.blocks(text):
-            slots = {}
-            for k in range(1, ORDER + 1):
-                key = grams(block, k)
-                slots[k, "gram"] = (key % np.uint64(SLOTS[k])).astype(np.int32)
-                context = key >> np.uint64(BITS)
-                slots[k, "context"] = (context % np.uint64(SLOTS[max(1, k - 1)])).astype(np.int32)
-            n += len(key)
+            rows = {(ORDER, "gram"): self.rows[ORDER].of(grams(block, ORDER))}
+            for k in range(1, ORDER):  # a context is the gram that ends one character before
+                found = self.rows[k].of(grams(np.concatenate((block[:1], block)), k))
+                rows[k, "gram"], rows[k, "context"] = found[1:], found[:-1]
+            if self.parts > 1:
+                own = np.flatnonzero(block[ORDER - 2:-1] % np.uint64(self.parts) == self.part)
+                rows = {key: found[own] for key, found in rows.items()}
+            n += len(rows[ORDER, "gram"])
             for name, laid in self.tables.items():
-                values = self.surprisals(slots, laid).astype(np.float64)
+                values = self.surprisals(rows, laid).astype(np.float64)
                 total[name][0] += float(values.sum())
                 total[name][1] += float(values @ values)
         return n, {k: tuple(v) for k, v in total.items()}
@@ -278,11 +363,8 @@ def identified(text: Column, model: dict) -> Column:
     40 characters; 0 for ``und``. ``und`` is never accepted. Without a model all is ``und``.
     """
     spark = SparkSession.active()
-    names = sorted(model)
-    shared = [spark.sparkContext.broadcast(
-        {"arrays": {k: {"arrays": model[k]["arrays"]} for k in names[i:i + LANGUAGES_A_PASS]}})
-        for i in range(0, len(names), LANGUAGES_A_PASS)]
-    limits = {k: model[k].get("limit") for k in names}
+    shared = [spark.sparkContext.broadcast(block) for block in passes(model)]
+    limits = {k: own.get("limit") for k, own in model.items()}
 
     sums = [_sums(text, block) for block in shared]
 
@@ -317,7 +399,7 @@ def _sums(text: Column, shared) -> Column:
 def _block_sums(parts, shared):
     kept = shared.value
     if "scorer" not in kept:
-        kept["scorer"] = Scorer(kept["arrays"])
+        kept["scorer"] = Scorer(kept)
     scorer = kept["scorer"]
     item = pa.struct([("lang", pa.string()), ("n", pa.int64()), ("total", pa.float64()),
                       ("squares", pa.float64())])
@@ -331,14 +413,17 @@ def _block_sums(parts, shared):
 
 
 def _decision(found: list[dict], limits: dict) -> tuple:
-    n = found[0]["n"] if found else 0
+    sums: dict = {}
+    for x in found:  # a language may come in parts
+        n, total, squares = sums.get(x["lang"], (0, 0.0, 0.0))
+        sums[x["lang"]] = n + x["n"], total + x["total"], squares + x["squares"]
+    n = next(iter(sums.values()))[0] if sums else 0
     if not n:
         return UNKNOWN, 0.0, None, None, 0, False
-    entropy = {x["lang"]: x["total"] / n for x in found}
+    entropy = {name: total / n for name, (_, total, _) in sums.items()}
     best = min(entropy, key=lambda k: (entropy[k], k))
     shares = [math.exp(min(n, 40) * (entropy[best] - v)) for v in entropy.values()]
-    squares = next(x["squares"] for x in found if x["lang"] == best)
-    variance = max(0.0, squares / n - entropy[best] ** 2)
+    variance = max(0.0, sums[best][2] / n - entropy[best] ** 2)
     accepted = True
     if limits[best]:
         mean, chars, spread, most = limits[best]

@@ -440,3 +440,36 @@ def test_words_of_unspaced_scripts_are_characters():
     assert decontaminate.words("Über 東京 2024年, ไทย한국어 𠀀𠀁x_1") == [
         "über", "東", "京", "2024", "年", "ไ", "ท", "ย", "한국어", "𠀀", "𠀁", "x_1"]
     assert decontaminate.words("plain words’ end") == ["plain", "words", "end"]
+
+
+def test_grams_are_looked_up_exactly():
+    rnd = np.random.default_rng(4)
+    keys = np.unique(rnd.integers(0, 1 << 60, 300_000, dtype=np.uint64))
+    rows = langid.Rows(keys)
+    assert (rows.of(keys) == np.arange(len(keys))).all()
+    others = np.setdiff1d(rnd.integers(0, 1 << 60, 300_000, dtype=np.uint64), keys)
+    assert (rows.of(others) == rows.absent).all()
+    many = rnd.integers(0, 1 << 60, 1_500_000, dtype=np.uint64)  # once, more than all slots
+    arrays = {("gram", 4): (np.unique(many), np.zeros(len(np.unique(many)), np.float32)),
+              ("context", 0): (np.zeros(1, np.uint64), np.zeros(1, np.float32))}
+    scorer = langid.Scorer(langid.passes({"xx": {"arrays": arrays}})[0])
+    n, sums = scorer.sums("unseen grams borrow nothing")
+    assert abs(sums["xx"][0] / n - np.log(langid.ALPHABET)) < 1e-4
+
+
+def test_languages_in_parts_score_the_same(spark, monkeypatch):
+    model = langid.train(corpus(spark))
+    rnd = random.Random(4)
+    texts = [speech(rnd, lang, 30) for lang in SYLLABLES] + ["", "12", "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+
+    def scored():
+        return [r["s"] for r in df.select("text", langid.identified(F.col("text"), model)
+                                          .alias("s")).orderBy("text").collect()]
+
+    whole = scored()
+    monkeypatch.setattr(langid, "PASS_BYTES", 1500)
+    assert max(b["parts"] for b in langid.passes(model)) > 2
+    for one, other in zip(whole, scored(), strict=True):
+        assert one["lang_pred"] == other["lang_pred"] and one["n_chars"] == other["n_chars"]
+        assert one["entropy"] is None or abs(one["entropy"] - other["entropy"]) < 1e-6
