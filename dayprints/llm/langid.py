@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayprints.llm.texts import bounded_sample, code_points, is_letter, lean, struct_array
+from dayprints.llm.texts import code_points, is_letter, lean, struct_array
 from dayprints.session import cut_lineage
 
 ORDER = 4
@@ -34,7 +34,8 @@ ALPHABET = 32_749  # characters are folded modulo this prime; below it they are
 BLOCK = 1 << 20  # characters of a text looked at together
 LANGUAGES_A_PASS = 16
 PASS_BYTES = 64 << 20
-CALIBRATION_ROWS = 20_000
+ENOUGH = 20  # texts of 20 or more characters from which a language's limit is taken
+USUAL = (2.5, 4.0, 0.05, 8.0)  # the limit where no language has that many
 MARGIN = 0.5  # nats per character above the language's mean that are always accepted
 UNKNOWN = "und"
 
@@ -193,27 +194,34 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text") -> dict:
 def _calibrated(model: dict, df: DataFrame, lang: str, text: str) -> dict:
     """How far a text's cross-entropy may lie above its language's mean.
 
-    Measured on at most ``CALIBRATION_ROWS`` training texts. A text's cross-entropy varies by
-    the spread between texts and by that between its characters; the limit is the larger of 8
-    such deviations and 1.25 times the largest one seen, and at least ``MARGIN``.
+    Measured on all training texts of 20 or more characters that are predicted as their own
+    language. A text's cross-entropy varies by the spread between texts and by that between its
+    characters; the limit is the larger of 8 such deviations and twice the 95 % quantile of those
+    seen, and at least ``MARGIN``. All figures are medians and quantiles, which a few percent of
+    wrongly labelled texts hardly move. A language with fewer than ``ENOUGH`` texts takes the
+    medians of the others' figures, or ``USUAL``.
     """
     if not model:
         return model
     some = df.select(F.col(lang).alias("_lang"), F.col(text).alias("_text")).dropna()
-    some = bounded_sample(some, "_text", CALIBRATION_ROWS)
     scored = some.select("_lang", identified(F.col("_text"), model).alias("s")).select(
-        "_lang", "s.*").where("lang_pred = _lang")
-    pdf = scored.select("_lang", "entropy", "variance", "n_chars").toPandas()
+        "_lang", "s.*").where("lang_pred = _lang and n_chars >= 20")
+    scored = cut_lineage(scored.select("_lang", "entropy", "variance", "n_chars"))
+    middle = scored.groupBy("_lang").agg(
+        F.percentile_approx("entropy", 0.5).alias("mean"), F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("variance", 0.5).alias("chars")).where(F.col("n") >= ENOUGH)
+    middle = F.broadcast(cut_lineage(middle))  # one row a language, as the next ones
+    away = F.col("entropy") - F.col("mean")
+    spread = scored.join(middle, "_lang").groupBy("_lang", "mean", "chars").agg(
+        (F.percentile_approx(away * away, 0.5) * 2.2).alias("spread"))
+    spread = F.broadcast(cut_lineage(spread))
+    deviation = away / F.sqrt(F.col("spread") + F.col("chars") / F.col("n_chars") + 1e-4)
+    limits = scored.join(spread, "_lang").groupBy("_lang", "mean", "chars", "spread").agg(
+        F.greatest(F.lit(8.0), 2 * F.percentile_approx(deviation, 0.95)).alias("most"))
+    found = {row["_lang"]: tuple(row)[1:] for row in limits.collect()}
+    usual = tuple(np.median(list(found.values()), axis=0).tolist()) if found else USUAL
     for name, own in model.items():
-        rows = pdf[pdf["_lang"] == name]
-        rows = rows[rows["n_chars"] >= 20]
-        if rows.empty:
-            continue
-        mean = float(rows["entropy"].median())
-        chars = float(rows["variance"].mean())
-        spread = float(((rows["entropy"] - mean) ** 2).median()) * 2.2
-        deviations = (rows["entropy"] - mean) / np.sqrt(spread + chars / rows["n_chars"] + 1e-4)
-        own["limit"] = (mean, chars, spread, max(8.0, 1.25 * float(deviations.max())))
+        own["limit"] = found.get(name, usual)
     return model
 
 
@@ -364,7 +372,7 @@ def identified(text: Column, model: dict) -> Column:
     """
     spark = SparkSession.active()
     shared = [spark.sparkContext.broadcast(block) for block in passes(model)]
-    limits = {k: own.get("limit") for k, own in model.items()}
+    limits = {k: own.get("limit", USUAL) for k, own in model.items()}
 
     sums = [_sums(text, block) for block in shared]
 
@@ -424,9 +432,7 @@ def _decision(found: list[dict], limits: dict) -> tuple:
     best = min(entropy, key=lambda k: (entropy[k], k))
     shares = [math.exp(min(n, 40) * (entropy[best] - v)) for v in entropy.values()]
     variance = max(0.0, sums[best][2] / n - entropy[best] ** 2)
-    accepted = True
-    if limits[best]:
-        mean, chars, spread, most = limits[best]
-        allowed = max(MARGIN, most * math.sqrt(spread + chars / n + 1e-4))
-        accepted = entropy[best] - mean <= allowed
+    mean, chars, spread, most = limits[best]
+    allowed = max(MARGIN, most * math.sqrt(spread + chars / n + 1e-4))
+    accepted = entropy[best] - mean <= allowed
     return best, 1.0 / sum(shares), entropy[best], variance, n, accepted

@@ -473,3 +473,23 @@ def test_languages_in_parts_score_the_same(spark, monkeypatch):
     for one, other in zip(whole, scored(), strict=True):
         assert one["lang_pred"] == other["lang_pred"] and one["n_chars"] == other["n_chars"]
         assert one["entropy"] is None or abs(one["entropy"] - other["entropy"]) < 1e-6
+
+
+def test_labelled_noise_does_not_make_noise_acceptable(spark):
+    rnd = random.Random(12)
+
+    def noise():
+        return " ".join("".join(rnd.choice("bcdfghjkpqsvwxy") for _ in range(rnd.randrange(3, 9)))
+                        for _ in range(30))
+
+    train = corpus(spark).unionByName(spark.createDataFrame(
+        [(1000 + i, noise(), "xx") for i in range(2)]
+        + [(2000 + i, "ελα να δω τι κανεις", "few") for i in range(2)],
+        "doc_id long, text string, lang string"))
+    model = langid.train(train)
+    assert all(len(own["limit"]) == 4 for own in model.values())  # also of few texts
+    tests = [(noise(), False) for _ in range(10)] + [(speech(rnd, "xx"), True) for _ in range(10)]
+    tests += [("ψξφ θβγ ζχπ ωσρ " * 4, False)]  # falls to the language of few texts
+    rows = spark.createDataFrame(tests, "text string, good boolean").select(
+        "good", langid.identified(F.col("text"), model).alias("s")).collect()
+    assert all(r["s"]["accepted"] == r["good"] for r in rows), rows
