@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayprints.llm import (decontaminate, jaccard, langid, licences, neighbours, quality, tokens,
-                           toxicity, urls)
+from dayprints.llm import (decontaminate, divergence, jaccard, langid, licences, neighbours,
+                           oracles, quality, sharding, tokens, toxicity, urls, vectorcodes)
 from dayprints.llm.texts import fold, table
+from dayprints.session import cut_lineage
 
 ENCODING = "byte_bpe_multi_50k.tiktoken"
 COUNTING = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+SHARDS = 8
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"),
              ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
              ("com", "/de/", "block")]
@@ -82,6 +84,24 @@ def toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = cut_lineage(table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.text_size("text").alias("size"), F.crc32(text).alias("text_crc32")))
+    placed = sharding.sharded(rows, SHARDS, [F.col("doc_id"), F.col("text_crc32")], F.col("size"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.coded(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": encode,
     "op2_quality_rules": quality_scores,
@@ -93,6 +113,9 @@ QUERIES = {
     "op8_jaccard_join": near_copies,
     "op9_licence_scan": licence_scan,
     "op10_toxicity": toxic_severity,
+    "op11_byte_shards": byte_shards,
+    "op12_vector_codes": vector_codes,
+    "op13_source_divergence": source_divergence,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -118,4 +141,7 @@ best as (
 select b.page_id, b.host, b.path, best.rule, coalesce(best.rverdict, 'allow') as verdict
 from b left join best on b.page_id is not distinct from best.page_id and b.host = best.host
   and b.path = best.path""",
+    "op11_byte_shards": oracles.byte_shards(SHARDS),
+    "op12_vector_codes": oracles.vector_codes(),
+    "op13_source_divergence": oracles.source_divergence(),
 }
