@@ -17,8 +17,8 @@ def step_distance(spark, sf):
 
 def haar_detail(spark, sf):
     rows = filters.moving(points(spark, sf)).select("event_id", "user", "ts", "longitude", "latitude")
-    steps = trajectory.step_distance(rows, ["user"])
-    return trajectory.haar_detail(steps, ["user"], "step").select(
+    return trajectory.haar_detail(
+        rows, ["user"], trajectory.step, trajectory.POSITION, reach=1).select(
         "event_id", rnd("detail").alias("detail"), rnd("smooth").alias("smooth"))
 
 

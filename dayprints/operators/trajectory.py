@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayprints.functions.geo import euclid
 from dayprints.functions.time import epoch_millis
-from dayprints.operators.ordered import previous, row_numbers
+from dayprints.operators.ordered import neighbours, previous, row_numbers
 
 ORDER = ["ts", "event_id"]
+POSITION = ["longitude", "latitude"]
+
+
+def step(at: Callable[..., Column]) -> Column:
+    """Distance of a point to the one before; ``at(column, offset)`` gives a row's neighbours."""
+    return euclid(at("longitude") - at("longitude", -1), at("latitude") - at("latitude", -1))
+
+
+def _at(shift: int) -> Callable[..., Column]:
+    return lambda c, offset=0: F.col(f"__{c}{offset + shift}" if offset + shift else c)
+
+
+def _offsets(columns: Sequence[str], offsets: Sequence[int]) -> dict[str, tuple[int, Column]]:
+    return {f"__{c}{o}": (o, F.col(c)) for c in columns for o in offsets}
 
 
 def step_distance(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distance of each point to the one before; a key's first point has none."""
-    out = previous(df, keys, ORDER, {"px": F.col("longitude"), "py": F.col("latitude")})
-    step = euclid(F.col("longitude") - F.col("px"), F.col("latitude") - F.col("py"))
-    return out.withColumn("step", step).where("step is not null").drop("px", "py")
+    out = neighbours(df, keys, ORDER, _offsets(POSITION, [-1]))
+    return out.select(*df.columns, step(_at(0)).alias("step")).where("step is not null")
 
 
-def haar_detail(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def haar_detail(df: DataFrame, keys: list[str], value: str | Callable[..., Column],
+                columns: Sequence[str] = (), reach: int = 0) -> DataFrame:
     """Level-1 Haar detail and smooth of a series, as absolute values.
 
-    Both are symmetric three-point filters; the series is closed into a ring.
+    Both are symmetric three-point filters; the series is closed into a ring. The series is a
+    column, or a function of ``at(column, offset)`` over ``columns`` of the row and of up to
+    ``reach`` rows before it, like ``step``: then a key's first ``reach`` rows have no value, and
+    one pass gives the series and both of its neighbours. Rows with a null are left out first.
     """
-    x = F.col(value)
-    out = previous(df, keys, ORDER, {"before": x}, ring=True)
-    out = previous(out, keys, ORDER, {"after": x}, descending=True, ring=True)
-    around = F.col("before") + F.col("after")
-    return out.withColumns({
-        "detail": F.abs((2 * x - around) / 4),
-        "smooth": F.abs((2 * x + around) / 4),
-    }).drop("before", "after")
+    if isinstance(value, str):
+        columns, series = [value], lambda at: at(value)
+    else:
+        series = value
+    x, before, after = (series(_at(shift)) for shift in (0, -1, 1))
+    rows = neighbours(df.dropna(subset=list(columns)), keys, ORDER,
+                      _offsets(columns, [*range(-reach - 1, 0), 1]),
+                      ends={"__first": ("first", x), "__last": ("last", x)})
+    around = F.coalesce(before, "__last") + F.coalesce(after, "__first")
+    return rows.where(x.isNotNull()).select(
+        *df.columns, F.abs((2 * x - around) / 4).alias("detail"),
+        F.abs((2 * x + around) / 4).alias("smooth"))
 
 
 def tail_slice(df: DataFrame, keys: list[str], far: int = 1100, near: int = 900) -> DataFrame:
