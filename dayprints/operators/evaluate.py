@@ -6,32 +6,60 @@ type ("single" or "multiple"), online. Clear intervals: name, start_ms, end_ms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayprints.functions.sensors import hop_distance
 from dayprints.functions.student import half_width
 from dayprints.functions.time import epoch_millis
 from dayprints.operators.ordered import running
-from dayprints.session import cut_lineage
+from dayprints.session import cut_lineage, measured
 
-BUCKET_MS = 3_600_000
+GRANULE_MS = 1 << 20  # about 17 minutes
+LEVELS = 40
+
+
+def _dyadic(start: str, end: str) -> Column:
+    """(level, place) of the segments that make up the granules start .. end - 1.
+
+    A segment of level l holds 2 ** l granules and begins at a multiple of them. Each level has
+    two at most, so an interval of any length has some tens.
+    """
+    def at(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+        low = F.ceil(F.col(start) / size)
+        high = F.floor(F.col(end) / size)
+        odd_low, odd_high = (F.pmod(x, F.lit(2)) == 1 for x in (low, high))
+        first = F.when(odd_low & (low < high), low)
+        last = F.when(odd_high & (low + odd_low.cast("int") < high), high - 1)
+        return F.transform(F.array_compact(F.array(first, last)), lambda place: F.struct(
+            level.alias("level"), place.cast("bigint").alias("place")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at))
 
 
 def interval_join(samples: DataFrame, intervals: DataFrame, open_start: bool = False,
-                  bucket_ms: int = BUCKET_MS) -> DataFrame:
+                  granule_ms: int = GRANULE_MS) -> DataFrame:
     """Samples inside intervals, both with times in ms.
 
-    Intervals are repeated for each time bucket they touch, so this is an equi-join
-    on the bucket plus a range test. Events include their start, clears do not;
-    both include their end.
+    Intervals are cut into dyadic segments of whole granules around them, some tens for any
+    length; a sample looks up the one segment that holds it on each level in use, then its time
+    is tested. The segments are written, so the optimiser knows whether they can be broadcast;
+    else AQE splits the samples of a busy segment. Events include their start, clears do not;
+    both include their end. Intervals that end before they start hold nothing.
     """
-    bucket = lambda c: F.floor(F.col(c) / bucket_ms)
-    spread = intervals.withColumn(
-        "__b", F.explode(F.sequence(bucket("start_ms"), bucket("end_ms"))))
-    rows = samples.withColumn("__b", bucket("ms")).join(spread, on="__b").drop("__b")
+    granule = lambda c: F.floor(F.col(c) / granule_ms)
+    spread = intervals.where("start_ms <= end_ms").withColumns(
+        {"__from": granule("start_ms"), "__to": granule("end_ms") + 1})
+    segments = measured(spread.select(*intervals.columns, F.inline(_dyadic("__from", "__to")))
+                        .withColumnsRenamed({"level": "__level", "place": "__place"}))
+    levels = segments.agg(F.array_sort(F.collect_set("__level"))).scalar()
+    size = F.call_function("shiftleft", F.lit(granule_ms).cast("bigint"), F.col("__level"))
+    rows = samples.withColumn("__level", F.explode(levels)).withColumn(
+        "__place", F.floor(F.col("ms") / size))
+    joined = rows.join(segments, on=["__level", "__place"])
     start = F.col("ms") > F.col("start_ms") if open_start else F.col("ms") >= F.col("start_ms")
-    return rows.where(start & (F.col("ms") <= F.col("end_ms")))
+    return joined.where(start & (F.col("ms") <= F.col("end_ms"))).drop("__level", "__place")
 
 
 def flagged(samples: DataFrame) -> DataFrame:

@@ -91,3 +91,30 @@ def test_no_nested_loops_in_interval_join(table):
     span = table([("x", 1000, 2000)], CLEARS)
     plan = evaluate.interval_join(evaluate.flagged(samples), span)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("granule", [1, 1000, 1 << 20])
+def test_intervals_of_any_length_equal_a_range_test(spark, granule):
+    rng = np.random.default_rng(granule)
+    year = 366 * 86_400_000
+    spans = [(0, year), (5, 5), (9, 3), (1 << 20, 1 << 21), (-7_000, 12_345), (999, 1000)]
+    spans += [tuple(sorted(rng.integers(0, year, 2).tolist())) for _ in range(20)]
+    times = sorted({0, 5, 1000, -7_000, year, *rng.integers(-10_000, year, 300).tolist()})
+    samples = spark.createDataFrame([("n", t) for t in times], "node string, ms bigint")
+    df = spark.createDataFrame([(f"i{i}", *s) for i, s in enumerate(spans)], CLEARS)
+    for open_start in (False, True):
+        got = evaluate.interval_join(samples, df, open_start, granule)
+        want = {(f"i{i}", t) for i, (a, b) in enumerate(spans) for t in times
+                if (a < t if open_start else a <= t) and t <= b}
+        rows = [(r["name"], r["ms"]) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_a_year_long_interval_is_some_tens_of_segments(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(7_000, 37_003)], "a bigint, b bigint")  # granules of a year
+    found = df.select(F.inline(evaluate._dyadic("a", "b"))).collect()
+    assert len(found) < 32
+    covered = sorted(g for level, place in found
+                     for g in range(place << level, (place + 1) << level))
+    assert covered == list(range(7_000, 37_003))
