@@ -4,9 +4,11 @@ Points fall into cells so small that any two points of a cell are neighbours.
 
 * A cell with at least ``min_pts`` points is dense: its points are all core and
   in one cluster, whatever their number. No pairs inside it are looked at.
-* Points of other cells (fewer than ``min_pts`` per cell) are sparse. Their
-  neighbours are found by an equi-join on cells as wide as the farthest
-  neighbour, and counted per (point, cell) before the shuffle.
+* Points of other cells (fewer than ``min_pts`` per cell) are sparse. They meet
+  other sparse points in an equi-join on cells as wide as the farthest neighbour.
+  The members of a dense cell are counted through its boxes: a box within reach
+  of the point counts as a whole, one beyond it not at all, and only boxes that
+  straddle the point's circle are opened into the finer ones inside.
 * Two dense cells are linked when a pair of their points is near. Bounding boxes
   decide most pairs; undecided ones are split into eighths until boxes decide or
   shrink to single positions, so only aggregated boxes are ever compared.
@@ -132,6 +134,11 @@ def _box_aggregates() -> list[Column]:
             F.first("vocab").alias("vocab")]
 
 
+def _box(name: str) -> Column:
+    return F.struct(*[f"{c}{i}" for c in ("x", "y", "z", "sig") for i in (0, 1)],
+                    "vocab").alias(name)
+
+
 def _box_bounds(metric, a: str, b: str) -> tuple[Column, Column]:
     """Smallest and largest possible distance between points of two boxes."""
     p, q = F.col(a), F.col(b)
@@ -195,17 +202,41 @@ class _Grid:
         """
         sparse = self.points.where(~F.col("dense")).select(
             "by", "id", F.col("node").alias("own"), self._point("p"), *_around())
-        others = self.points.select("by", "rx", "ry", "dense", "node", self._point("q"))
-        other = F.when(~F.col("dense"), F.col("q.id")).alias("other")
+        others = self.points.where(~F.col("dense")).select("by", "rx", "ry", "node",
+                                                           self._point("q"))
         pairs = sparse.join(others, on=["by", "rx", "ry"]).where(_near(self.metric, "p", "q"))
-        return pairs.groupBy("id", "own", "node", other).agg(F.count(F.lit(1)).alias("n"))
+        each = pairs.groupBy("id", "own", "node", F.col("q.id").alias("other")).agg(
+            F.count(F.lit(1)).alias("n"))
+        return each.unionByName(self._dense_counts(sparse))
+
+    def _dense_counts(self, sparse: DataFrame) -> DataFrame:
+        """(id, own, node, other = null, n): members of dense cells near each sparse point."""
+        p = F.col("p")
+        spot = F.struct(*[p[c].alias(f"{c}{i}") for c in ("x", "y", "z", "sig") for i in (0, 1)],
+                        p["vocab"].alias("vocab")).alias("a")
+        keep = ["id", "own", "node", "n", "a"]
+        cells = self.cells.where("dense").select("by", "rx", "ry", "node", "n", _box("b"))
+        pairs = sparse.select("by", "id", "own", "rx", "ry", spot).join(cells, ["by", "rx", "ry"])
+        state = cut_lineage(_decided(self.metric, pairs, keep))
+        counted = state.where("linked").select("id", "own", "node", "n")
+        open_ = state.where(~F.col("linked")).withColumn("up", F.array().cast("array<bigint>"))
+        level = 0
+        while not open_.isEmpty():
+            level += 1
+            boxes = self._boxes(open_.select("node", "up").distinct(), level)
+            pairs = open_.select("id", "own", "node", "up", "a").join(
+                boxes.select("node", "up", "sub", "n", _box("b")), ["node", "up"])
+            state = cut_lineage(_decided(self.metric, pairs, [*keep, "sub"]))
+            counted = counted.unionByName(state.where("linked").select("id", "own", "node", "n"))
+            open_ = state.where(~F.col("linked")).withColumnRenamed("sub", "up")
+        return counted.groupBy("id", "own", "node", F.lit(None).cast("bigint").alias("other")).agg(
+            F.sum("n").alias("n"))
 
     def dense_links(self) -> DataFrame:
         """Pairs of dense cells holding a pair of neighbours, as (a, b) nodes."""
         dense = self.cells.where("dense")
-        box = F.struct(*[f"{c}{i}" for c in ("x", "y", "z", "sig") for i in (0, 1)], "vocab")
-        left = dense.select("by", F.col("node").alias("an"), box.alias("a"), *_around())
-        right = dense.select("by", "rx", "ry", F.col("node").alias("bn"), box.alias("b"))
+        left = dense.select("by", F.col("node").alias("an"), _box("a"), *_around())
+        right = dense.select("by", "rx", "ry", F.col("node").alias("bn"), _box("b"))
         pairs = left.join(right, on=["by", "rx", "ry"]).where("an < bn")
         state = cut_lineage(_decided(self.metric, pairs, ["an", "bn"]))
         links = state.where("linked").select("an", "bn")
@@ -229,19 +260,22 @@ class _Grid:
                       F.xxhash64("sig") if level > 1 else F.lit(0).cast("bigint")]
         return F.array(*[c.cast("bigint") for c in inner])
 
+    def _boxes(self, wanted: DataFrame, level: int) -> DataFrame:
+        """The boxes of a level, with their numbers of points, inside the wanted (node, up)."""
+        up = self._sub_cell(level - 1) if level > 1 else F.array().cast("array<bigint>")
+        rows = self.points.where("dense").withColumns({"up": up, "sub": self._sub_cell(level)})
+        return cut_lineage(rows.join(wanted, on=["node", "up"], how="left_semi")
+                           .groupBy("node", "up", "sub")
+                           .agg(F.count(F.lit(1)).alias("n"), *_box_aggregates()))
+
     def _split(self, open_: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
         """Split the boxes of undecided pairs; returns (still undecided, new links)."""
         wanted = open_.select(F.col("an").alias("node"), F.col("sa").alias("up")).unionByName(
             open_.select(F.col("bn").alias("node"), F.col("sb").alias("up"))).distinct()
-        up = self._sub_cell(level - 1) if level > 1 else F.array().cast("array<bigint>")
-        rows = self.points.where("dense").withColumns({"up": up, "sub": self._sub_cell(level)})
-        boxes = cut_lineage(
-            rows.join(wanted, on=["node", "up"], how="left_semi")
-            .groupBy("node", "up", "sub").agg(*_box_aggregates()))
-        box = F.struct(*[f"{c}{i}" for c in ("x", "y", "z", "sig") for i in (0, 1)], "vocab")
+        boxes = self._boxes(wanted, level)
         side = lambda n, s, name: boxes.select(
             F.col("node").alias(n), F.col("up").alias(s), F.col("sub").alias(f"{s}2"),
-            box.alias(name))
+            _box(name))
         pairs = (open_.join(side("an", "sa", "a"), on=["an", "sa"])
                  .join(side("bn", "sb", "b"), on=["bn", "sb"]))
         state = cut_lineage(_decided(self.metric, pairs, ["an", "bn", "sa2", "sb2"]))

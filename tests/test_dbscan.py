@@ -146,3 +146,34 @@ def test_silhouette_blocks(spark, block):
                                      "latitude double, label bigint")
     got = silhouette.silhouette(df, "user", block=block).first()["silhouette"]
     assert got == pytest.approx(np.mean(want))
+
+
+def test_sparse_points_open_few_boxes_of_a_crowded_cell(spark, monkeypatch):
+    """100,000 points in a cell and 200 scattered ones: far fewer rows than pairs."""
+    rng = np.random.default_rng(3)
+    crowd = rng.uniform(0.02, 0.48, (100_000, 2))
+    # scattered over the cells around, few in each of them, most of them close to eps
+    cells = [(i, j) for i in range(-3, 4) for j in range(-3, 4) if (i, j) != (0, 0)]
+    spread = np.array([(i / 2 + a, j / 2 + b) for i, j in cells
+                       for a, b in rng.uniform(0.02, 0.48, (5, 2))])[:200]
+    rows = [("u", i, float(x), float(y)) for i, (x, y) in enumerate(np.vstack([crowd, spread]))]
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame(
+        rows, columns=["user", "event_id", "longitude", "latitude"])).repartition(4)
+    compared = []
+
+    def counting(metric, pairs, keep, decide=db._decided):
+        if "a" in keep:
+            compared.append(pairs.count())
+        return decide(metric, pairs, keep)
+
+    monkeypatch.setattr(db, "_decided", counting)
+    got = db.core_points(db.plain_points(df), db.Euclidean(1.0), min_pts=6).collect()
+    core = {r["event_id"]: r["core"] for r in got}
+    near = np.sqrt(((spread[:, None, :] - crowd[None]) ** 2).sum(axis=2)) <= 1.0
+    among = np.sqrt(((spread[:, None, :] - spread[None]) ** 2).sum(axis=2)) <= 1.0
+    want = (near.sum(axis=1) + among.sum(axis=1)) >= 6
+    assert [core[100_000 + i] for i in range(200)] == want.astype(int).tolist()
+    assert all(core[i] == 1 for i in range(100_000))
+    assert sum(compared) < 1_000_000  # all pairs would be 20 million
+    print("pairs of points and boxes:", compared)
