@@ -44,10 +44,10 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
     model = langid.train(documents.where(~held_out))
-    return documents.select(
+    rows = langid.identified(documents, model, ~held_out)
+    return rows.select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        langid.identified(F.col("text"), model).alias("s")).select(
-        "doc_id", "held_out", "s.lang_pred", "s.score", "s.accepted")
+        "language.lang_pred", "language.score", "language.accepted")
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,18 +46,26 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string")) % parts
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows at most, chosen by a hash of ``key``; all rows if there are fewer.
 
-    The choice depends on the keys alone, so it repeats. The hash keeps each row with
-    probability 0.95 * bound / rows, which stays below the bound at any size that matters,
-    and ``limit`` makes it certain.
+    The choice depends on the keys alone, so it repeats. A row is kept if its whole 64-bit hash
+    lies in the first 0.95 * bound / rows of all hashes, however small that share is; this stays
+    below the bound at any size that matters, and ``limit`` makes it certain.
     """
     rows = df.count()
     if rows <= bound:
         return df
-    kept = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000))
-    return df.where(kept < int(950_000 * bound / rows)).limit(bound)
+    below = (2**64 * 19 * bound) // (20 * rows) - 2**63
+    return df.where(F.xxhash64(F.lit("sample"), F.col(key)) < below).limit(bound)
 
 
 def code_points(text: str) -> np.ndarray:
@@ -75,7 +83,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     """(doc_id, text, label, weight) of at most ``per_class`` labelled documents of each label.
 
     ``weight`` makes up for the classes' different shares. Null labels and ids are left out;
-    ``keep`` is a condition on the column ``doc_id``. The ids, of a bounded number, are broadcast.
+    ``keep`` is a condition on the column ``doc_id``. The ids, of a bounded number, are broadcast;
+    of documents that share an id one stands for it, that with the smallest text.
     """
     rows = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).dropna()
     rows = rows.where(keep) if keep is not None else rows
@@ -89,4 +98,6 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     for part in parts:
         chosen = chosen.unionByName(part)
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text")).select(
+        "doc_id", "text", "label", "weight")

@@ -22,6 +22,12 @@ def corpus(spark, n=240):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string")
 
 
+def judged(df, model, train):
+    """df with its language, the limits being those of the training rows."""
+    limits = langid.limits(langid.scored(train, model))
+    return langid.judged(langid.scored(df, model), limits)
+
+
 def brute_entropy(texts, text):
     """Interpolated Kneser-Ney over dictionaries, as the module defines it."""
     from collections import Counter
@@ -68,8 +74,7 @@ def test_language_models_are_kneser_ney(spark):
     rnd = random.Random(9)
     tests = [(i, speech(rnd, lang), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 4)]
     df = spark.createDataFrame(tests, "doc_id long, text string, lang string")
-    rows = df.select("*", langid.identified(F.col("text"), model).alias("s")).select(
-        "text", "lang", "s.*").collect()
+    rows = judged(df, model, train).select("text", "lang", "language.*").collect()
     own = {lang: [r["text"] for r in train.where(F.col("lang") == lang).collect()]
            for lang in SYLLABLES}
     for row in rows:
@@ -81,10 +86,9 @@ def test_language_edge_cases(spark, docs, monkeypatch):
     train = corpus(spark).unionByName(spark.createDataFrame(
         [(900, None, "xx"), (901, "kalo", None), (902, "", "ww")], "doc_id long, text string, lang string"))
     model = langid.train(train)
-    assert sorted(model) == ["xx", "yy", "zz"]  # a language without letters has no grams
+    assert model.languages == ["xx", "yy", "zz"]  # a language without letters has no grams
     df = docs([*EDGE, (7, "12 !? 34"), (8, "ξενος λογος και αλλα " * 5), (10, "KA-lo5MI rate kalo")])
-    whole = {r["text"]: r["s"] for r in df.select(
-        "text", langid.identified(F.col("text"), model).alias("s")).collect()}
+    whole = {r["text"]: r["language"] for r in judged(df, model, train).collect()}
     for nothing in (None, "", "  \n\t ", "12 !? 34"):
         assert whole[nothing]["lang_pred"] == "und" and whole[nothing]["score"] == 0
         assert not whole[nothing]["accepted"]
@@ -92,13 +96,40 @@ def test_language_edge_cases(spark, docs, monkeypatch):
     assert whole["KA-lo5MI rate kalo"]["lang_pred"] == "xx"
     monkeypatch.setattr(langid, "BLOCK", 7)  # the same in small blocks and language by language
     monkeypatch.setattr(langid, "LANGUAGES_A_PASS", 1)
-    split = {r["text"]: r["s"] for r in df.where("length(text) < 1000 or text is null").select(
-        "text", langid.identified(F.col("text"), model).alias("s")).collect()}
+    model = langid.train(train)
+    assert len(model.blocks) == 3
+    split = {r["text"]: r["language"] for r in langid.scored(
+        df.where("length(text) < 1000 or text is null"), model).collect()}
     for text, s in split.items():
         assert s["lang_pred"] == whole[text]["lang_pred"] and s["n_chars"] == whole[text]["n_chars"]
         assert s["entropy"] is None or abs(s["entropy"] - whole[text]["entropy"]) < 1e-5
-    none = docs(EDGE).select(langid.identified(F.col("text"), langid.train(train.limit(0))).alias("s"))
-    assert {r["s"]["lang_pred"] for r in none.collect()} == {"und"}
+    none = judged(docs(EDGE), langid.train(train.limit(0)), train)
+    assert {r["language"]["lang_pred"] for r in none.collect()} == {"und"}
+    nothing = langid.identified(docs(EDGE).limit(0).withColumn("lang", F.lit("xx")), model)
+    assert nothing.collect() == []
+    twice = docs([(1, "kalo mirate"), (1, "kalo mirate"), (None, "kalo mirate")]).withColumns(
+        {"lang": F.lit("xx"), "language": F.lit("clash"), "name": F.lit(1), "row": F.lit(2)})
+    rows = langid.identified(twice, model).collect()
+    assert [r["language"]["lang_pred"] for r in rows] == ["xx"] * 3
+    assert {(r["name"], r["row"]) for r in rows} == {(1, 2)}
+
+
+def test_letters_of_all_scripts_stay_apart(spark):
+    letters = langid.Letters()
+    texts = ["ab", "聎聏", "耍", "한국", "\U00020000\U00020001", "\U0001d4d0", "ǅ", " "]
+    units = [np.concatenate(list(letters.blocks(t)) or [np.empty(0, np.uint64)]).tolist()
+             for t in texts]
+    assert len({tuple(u) for u in units}) == len(texts)
+    wide = np.concatenate(list(letters.blocks(texts[4])))
+    assert wide[3:-4].astype("<u2").tobytes().decode("utf-16-le") == texts[4]
+    rnd = random.Random(1)
+    rows = [(i, "".join(rnd.choice("聎聏耍耎") for _ in range(60)), "han") for i in range(30)]
+    rows += [(i, "".join(rnd.choice("ab") for _ in range(60)), "ab") for i in range(30)]
+    rows += [(i, "".join(rnd.choice("\U00020000\U00020001\U00020002") for _ in range(60)), "wide")
+             for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identified(df, langid.train(df)).collect()
+    assert all(r["language"]["lang_pred"] == r["lang"] and r["language"]["accepted"] for r in got)
 
 
 def test_quality_rules(spark, docs):
@@ -445,6 +476,7 @@ def test_words_of_unspaced_scripts_are_characters():
 def test_grams_are_looked_up_exactly():
     rnd = np.random.default_rng(4)
     keys = np.unique(rnd.integers(0, 1 << 60, 300_000, dtype=np.uint64))
+    keys = langid.by_hash(keys)
     rows = langid.Rows(keys)
     assert (rows.of(keys) == np.arange(len(keys))).all()
     others = np.setdiff1d(rnd.integers(0, 1 << 60, 300_000, dtype=np.uint64), keys)
@@ -452,24 +484,24 @@ def test_grams_are_looked_up_exactly():
     many = rnd.integers(0, 1 << 60, 1_500_000, dtype=np.uint64)  # once, more than all slots
     arrays = {("gram", 4): (np.unique(many), np.zeros(len(np.unique(many)), np.float32)),
               ("context", 0): (np.zeros(1, np.uint64), np.zeros(1, np.float32))}
-    scorer = langid.Scorer(langid.passes({"xx": {"arrays": arrays}})[0])
+    scorer = langid.Scorer({"arrays": {"xx": arrays}, "part": 0, "parts": 1})
     n, sums = scorer.sums("unseen grams borrow nothing")
     assert abs(sums["xx"][0] / n - np.log(langid.ALPHABET)) < 1e-4
 
 
 def test_languages_in_parts_score_the_same(spark, monkeypatch):
-    model = langid.train(corpus(spark))
+    train = corpus(spark)
     rnd = random.Random(4)
     texts = [speech(rnd, lang, 30) for lang in SYLLABLES] + ["", "12", "a"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
 
     def scored():
-        return [r["s"] for r in df.select("text", langid.identified(F.col("text"), model)
-                                          .alias("s")).orderBy("text").collect()]
+        rows = langid.scored(df, langid.train(train)).orderBy("text").collect()
+        return [r["language"] for r in rows]
 
     whole = scored()
     monkeypatch.setattr(langid, "PASS_BYTES", 1500)
-    assert max(b["parts"] for b in langid.passes(model)) > 2
+    assert max(parts for _, _, parts in langid.train(train).blocks) > 2
     for one, other in zip(whole, scored(), strict=True):
         assert one["lang_pred"] == other["lang_pred"] and one["n_chars"] == other["n_chars"]
         assert one["entropy"] is None or abs(one["entropy"] - other["entropy"]) < 1e-6
@@ -487,9 +519,9 @@ def test_labelled_noise_does_not_make_noise_acceptable(spark):
         + [(2000 + i, "ελα να δω τι κανεις", "few") for i in range(2)],
         "doc_id long, text string, lang string"))
     model = langid.train(train)
-    assert all(len(own["limit"]) == 4 for own in model.values())  # also of few texts
+    limits = langid.limits(langid.scored(train, model))
+    assert set(limits) == {"xx", "yy", "zz", None} and all(len(v) == 4 for v in limits.values())
     tests = [(noise(), False) for _ in range(10)] + [(speech(rnd, "xx"), True) for _ in range(10)]
     tests += [("ψξφ θβγ ζχπ ωσρ " * 4, False)]  # falls to the language of few texts
-    rows = spark.createDataFrame(tests, "text string, good boolean").select(
-        "good", langid.identified(F.col("text"), model).alias("s")).collect()
-    assert all(r["s"]["accepted"] == r["good"] for r in rows), rows
+    rows = judged(spark.createDataFrame(tests, "text string, good boolean"), model, train).collect()
+    assert all(r["language"]["accepted"] == r["good"] for r in rows), rows
