@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dayprints.llm import decontaminate, jaccard, langid, tokens, toxicity
 from dayprints.llm.queries import ENCODING
-from dayprints.llm.texts import table
+from dayprints.llm.texts import free_name, table
 from dayprints.session import cut_lineage
 
 TOXIC = 0.5
@@ -21,8 +21,9 @@ TOXIC = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is accepted as one of the corpus's languages."""
-    model = langid.train(docs)
-    return docs.where(langid.identified(F.col("text"), model)["accepted"])
+    out = free_name(docs, "language")
+    rows = langid.identified(docs, langid.train(docs), out=out)
+    return rows.where(F.col(f"{out}.accepted")).drop(out)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
