@@ -103,9 +103,18 @@ def _track(spark, sf):
     return filters.no_sentinel(filters.geo(points(spark, sf)))
 
 
+def plain(c, digits=6):
+    """Rounded, and 0 for what rounds to -0."""
+    return F.when(rnd(c, digits) == 0, 0.0).otherwise(rnd(c, digits))
+
+
+def _rounded(df, columns):
+    return df.withColumns({c: plain(c) for c in columns})
+
+
 def denstream(spark, sf):
     """Clusters of each user after all samples, from none."""
-    return den.denstream(_track(spark, sf))
+    return _rounded(den.denstream(_track(spark, sf)), SUMS[:5])
 
 
 def clusters_out(spark, sf):
@@ -114,7 +123,8 @@ def clusters_out(spark, sf):
     saved = cut_lineage(den.denstream(rows.where("day <= date'2024-01-12'")))
     later = rows.where("day > date'2024-01-12'")
     merged = den.denstream(later, saved)
-    return den.clusters_out(merged.unionByName(den.untouched(saved, later, "user")))
+    out = den.clusters_out(merged.unionByName(den.untouched(saved, later, "user")))
+    return _rounded(out, SUMS).withColumn("radius", plain("radius", 5))
 
 
 PRUNED_AT = 1706000000  # 2024-01-23
@@ -200,7 +210,102 @@ _STAYS = f"""weight >= case
           (pow(2::double, -1e-5::double * ({PRUNED_AT} - created + 1400)) - 1) /
           (pow(2::double, -1e-5::double * 1400) - 1) end"""
 
+_RADIUS = ("sqrt(greatest(abs({c}.s1 / {c}.w - pow({c}.l1 / {c}.w, 2)), "
+           "abs({c}.s2 / {c}.w - pow({c}.l2 / {c}.w, 2))))")
+_PLACE = "struct(w double, l1 double, l2 double, s1 double, s2 double, n bigint, t0 bigint)"
+_FADE = "pow(2::double, -1e-5::double)"
+
+
+def _nearest(group: str) -> str:
+    away = ("lambda c: sqrt(pow(x - c.l1 / c.w, 2) + pow(y - c.l2 / c.w, 2)) - "
+            + _RADIUS.format(c="c"))
+    return f"list_transform({group}, {away})"
+
+
+def _grown(c: str) -> str:
+    return (f"{{'w': {c}.w * f + 1, 'l1': {c}.l1 * f + x, 'l2': {c}.l2 * f + y, "
+            f"'s1': {c}.s1 * f + x * x, 's2': {c}.s2 * f + y * y, 'n': {c}.n + 1, 't0': {c}.t0}}")
+
+
+_FADED = ("{'w': c.w * f, 'l1': c.l1 * f, 'l2': c.l2 * f, 's1': c.s1 * f, 's2': c.s2 * f, "
+          "'n': c.n, 't0': c.t0}")
+
+
+def _after(group: str, kept: str, at: str, grown: str) -> str:
+    """A group after a sample: faded, with the member that took it, if one did."""
+    return (f"list_transform({group}, lambda c, j: case when {kept} and j = {at} then {grown} "
+            f"else {_FADED} end)")
+
+
+# every user's samples one by one, all users at once: clusters are lists in the user's row
+_STATES = SQL.replace("with ", "with recursive ", 1) + f""", tr as (
+      select "user", longitude as x, latitude as y, row_number() over (
+        partition by "user" order by ts, event_id) as k
+      from dp where {GEO_SQL} and longitude <> -1 and latitude <> -1),
+    st("user", k, pot, outl) as (
+      select distinct "user", 0::bigint, []::{_PLACE}[], []::{_PLACE}[] from tr
+      union all
+      select "user", k,
+        case when k % 1400 = 0 then list_filter(pot2, lambda c: c.w >= 6) else pot2 end,
+        case when k % 1400 = 0 then list_filter(outl2, lambda c: c.w >=
+          (pow(2::double, -1e-5::double * (k - c.t0 + 1400)) - 1)
+          / (pow(2::double, -1e-5::double * 1400) - 1)) else outl2 end
+      from (
+        select "user", k,
+          case when fits_p then {_after("pot", "true", "pi", "pg")}
+            when fits_o and og.w > 6 then list_append({_after("pot", "false", "0", "c")}, og)
+            when not fits_o and near then list_append({_after("pot", "false", "0", "c")}, fresh)
+            else {_after("pot", "false", "0", "c")} end as pot2,
+          case when not fits_p and fits_o and og.w > 6
+              then list_filter({_after("outl", "false", "0", "c")}, lambda c, j: j <> oi)
+            when not fits_p and fits_o then {_after("outl", "true", "oi", "og")}
+            when not fits_p and not near then list_append({_after("outl", "false", "0", "c")}, fresh)
+            else {_after("outl", "false", "0", "c")} end as outl2
+        from (
+          select *, coalesce({_RADIUS.format(c="pg")} <= {EPS}::double, false) as fits_p,
+            coalesce({_RADIUS.format(c="og")} <= {EPS}::double, false) as fits_o,
+            len(list_filter(pot, lambda c: sqrt(pow(x - c.l1 / c.w, 2) + pow(y - c.l2 / c.w, 2))
+              < 2 * {EPS}::double)) > 0 as near,
+            {{'w': 1::double, 'l1': x, 'l2': y, 's1': x * x, 's2': y * y, 'n': 1::bigint,
+              't0': k}} as fresh
+          from (
+            select *, case when pi is not null then {_grown("pot[pi]")} end as pg,
+              case when oi is not null then {_grown("outl[oi]")} end as og
+            from (
+              select *, list_position(pd, list_min(pd)) as pi, list_position(od, list_min(od)) as oi
+              from (
+                select st."user", tr.k, tr.x, tr.y, st.pot, st.outl, {_FADE} as f,
+                  {_nearest("st.pot")} as pd, {_nearest("st.outl")} as od
+                from st join tr on tr."user" is not distinct from st."user"
+                  and tr.k = st.k + 1)))))),
+    ends as (select "user", max(k) as k from tr group by "user"),
+    fin as (select st.* from st join ends on ends."user" is not distinct from st."user"
+      and ends.k = st.k),
+    cl as (
+      select "user", k, c.*, 'pMicroCluster' as type_cluster
+      from (select "user", k, unnest(pot) as c from fin)
+      union all select "user", k, c.*, 'oMicroCluster'
+      from (select "user", k, unnest(outl) as c from fin))"""
+
+
+
+def _plain(value: str, digits: int = 6) -> str:
+    return f"case when round({value}, {digits}) = 0 then 0 else round({value}, {digits}) end"
+
+
+_SUM_COLUMNS = ", ".join(f'{_plain(c)} as "{name}"' for c, name in zip(
+    ("w", "l1", "l2", "s1", "s2"), ("weight", "LS1", "LS2", "SS1", "SS2"), strict=True))
+_STATE_SQL = f""" select "user", {_SUM_COLUMNS}, n as "N", t0 as "creationTimeStamp",
+          type_cluster, k as updated"""
+
 ORACLES = {
+    "denstream": _STATES + _STATE_SQL + ", 0::bigint as last_step from cl",
+    "clusters_out": _STATES + f"""
+        select "user", t0 as "creationTimeStamp", {_plain("l1 / w")} as longitude,
+          {_plain("l2 / w")} as latitude, {_plain(_RADIUS.format(c="cl"), 5)} as radius,
+          {_SUM_COLUMNS}, n as "N", 2 as dimensions,
+          0::double as altitude, '' as wifi, '' as bluetooth, '' as activities, '' as places,
+          type_cluster from cl""",
     "eps_neighbours": _PAIRS + """
         select "user", event_id, cast(case when event_id in (select a from core) then 1 else 0 end
           as integer) as core from p""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dayprints.catalog import places
 from dayprints.catalog.common import SQL, rnd
 from dayprints.operators import filters
 from dayprints.session import scratch_path
@@ -36,7 +37,8 @@ def denstream_stream(spark, sf):
     rows = filters.no_sentinel(filters.geo(_stream(spark, sf)))
     path = scratch_path(spark, "clusters-out")
     den.run_available(den.denstream_stream(rows), path, scratch_path(spark, "clusters-state"))
-    return den.current_clusters(spark.read.schema(den.OUT_DDL + ", batch bigint").parquet(path))
+    found = den.current_clusters(spark.read.schema(den.OUT_DDL + ", batch bigint").parquet(path))
+    return found.drop("batch").withColumns({c: places.plain(c) for c in places.SUMS[:5]})
 
 
 QUERIES = {
@@ -52,4 +54,5 @@ ORACLES = {
         from w where slot_start + interval '30 minutes' <=
           (select date_trunc('millisecond', max(ts)) - interval '2 days' from dp)
         group by all""",
+    "denstream_stream": places._STATES + places._STATE_SQL + ", k as last_step from cl",
 }

@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayprints.functions.time import epoch_seconds
+from dayprints.operators.keyed import join_same
 from dayprints.operators.microclusters import (OUTLIER, POTENTIAL, Params, age_limit, as_table,
                                                centre, cluster_summary, faded, radius_of)
-from dayprints.operators.ordered import previous, row_numbers, running
+from dayprints.operators.ordered import previous, ranged, row_numbers, running
 from dayprints.session import cut_lineage, measured
 
 STATE = ("weight", "LS1", "LS2", "SS1", "SS2", "N", "creationTimeStamp", "last_step")
@@ -116,12 +117,12 @@ def _clocked(samples: DataFrame, saved: DataFrame | None, p: Params, by: str) ->
     A check happens between two samples when the clock enters a new period.
     """
     order = ["ts", "event_id"]
-    rows = row_numbers(samples, [by], order, "step")
+    rows = row_numbers(ranged(samples, [by], order), [by], order, "step")
     if saved is None:
         rows = rows.withColumn("updated", F.lit(None).cast("bigint"))
     else:
-        rows = rows.join(saved.groupBy(by).agg(F.max("updated").alias("updated")),
-                         on=by, how="left")
+        rows = join_same(rows, saved.groupBy(by).agg(F.max("updated").alias("updated")), [by],
+                         "left")
     if p.clock == "steps":
         # checks follow from the step number alone
         base = F.coalesce("updated", F.lit(0))
@@ -160,10 +161,10 @@ def _with_side(rows: DataFrame, saved: DataFrame | None, p: Params, by: str) ->
     if saved is not None:
         shape = saved.groupBy(by).agg(F.max(radius_of()).alias("widest"),
                                       F.max("weight").alias("saved_weight"))
-        n = n.join(shape, on=by, how="left")
+        n = join_same(n, shape, [by], "left")
         widest = F.greatest(F.coalesce("widest", widest), widest)
         saved_weight = F.coalesce("saved_weight", saved_weight)
-    rows = rows.join(measured(n), on=by)
+    rows = join_same(rows, measured(n), [by])
     # one sample more than there are, so that the bound is not met exactly
     heaviest = F.least(F.lit(p.heaviest), saved_weight + F.col("samples") + 1)
     side = rows.withColumn("side", farthest_merge(p, busiest, heaviest) + widest)
@@ -188,7 +189,7 @@ def _regions(rows: DataFrame, by: str) -> DataFrame:
 
     cells = rows.select(by, "cx", "cy").distinct()
     cells = cut(cut(cells, [by], "cx", "strip"), [by, "strip"], "cy", "region")
-    return rows.join(measured(cells), on=[by, "cx", "cy"]).drop("cx", "cy", "side")
+    return join_same(rows, measured(cells), [by, "cx", "cy"]).drop("cx", "cy", "side")
 
 
 def load_user_clusters(samples: DataFrame, saved: DataFrame, by: str) -> DataFrame:
@@ -197,7 +198,7 @@ def load_user_clusters(samples: DataFrame, saved: DataFrame, by: str) -> DataFra
     ``seq`` puts a user's clusters (0) before the samples (their step).
     """
     users = samples.select(by).distinct()
-    mine = saved.join(users, on=by, how="left_semi").select(
+    mine = join_same(saved, users, [by]).select(
         by, F.lit(0).cast("bigint").alias("seq"), "creationTimeStamp",
         centre("LS1").alias("x"), centre("LS2").alias("y"),
         "weight", "LS1", "LS2", "SS1", "SS2", "N", "type_cluster")
@@ -206,8 +207,7 @@ def load_user_clusters(samples: DataFrame, saved: DataFrame, by: str) -> DataFra
 
 def untouched(saved: DataFrame, samples: DataFrame, by: str = "user") -> DataFrame:
     """Saved clusters of users without samples in this run; they stay as they are."""
-    users = samples.select(F.col(by).alias("__by")).distinct()
-    return saved.join(users, on=F.col(by).eqNullSafe(F.col("__by")), how="left_anti")
+    return join_same(saved, samples.select(by).distinct(), [by], "left_anti")
 
 
 _SAVED = ["weight", "LS1", "LS2", "SS1", "SS2", "N", "creationTimeStamp", "type_cluster"]
@@ -224,6 +224,7 @@ def _follow(batches: Iterator[pd.DataFrame], by: str, p: Params, out_rows: int =
             batch = batch.fillna({"N": 0, "creationTimeStamp": 0, "t": 0, "check_step": -1,
                                   "check_t": 0, "type_cluster": ""})
         wanted = [by, "strip", "region", "seq", "x", "y", "t", "check_step", "check_t"]
+        batch[by] = batch[by].astype(object).where(batch[by].notna(), None)  # equal to itself
         lists = [batch[c].tolist() for c in wanted + (_SAVED if with_saved else [])]
         for user, strip, region, seq, x, y, t, check_step, check_t, *loaded in zip(*lists):
             if key != (user, strip, region):
@@ -251,7 +252,7 @@ def denstream(samples: DataFrame, saved: DataFrame | None = None, p: Params = Pa
 
     ``samples`` has by, event_id, ts, longitude, latitude; ``saved`` and the
     result have by, the state columns, type_cluster and ``updated`` (the clock at
-    the user's last sample).
+    the user's last sample). Samples without a user are those of one user like any other.
     """
     narrow = samples.select(by, "event_id", "ts", "longitude", "latitude")
     rows = cut_lineage(_clocked(narrow, saved, p, by).select(
@@ -267,7 +268,7 @@ def denstream(samples: DataFrame, saved: DataFrame | None = None, p: Params = Pa
     ends = rows.groupBy(by).agg(F.max("seq").alias("steps"), F.max("t").alias("updated"),
                                 F.max("check_step").alias("check_step"),
                                 F.max("check_t").alias("check_t"))
-    return _settled(followed.join(ends, on=by), p).select(*followed.columns, "updated")
+    return _settled(join_same(followed, ends, [by]), p).select(*followed.columns, "updated")
 
 
 def _schema(samples: DataFrame, by: str) -> str:
@@ -306,13 +307,13 @@ def initial_clusters(labelled: DataFrame, by: str = "user", p: Params = Params()
     """
     counts = labelled.groupBy(by).agg(F.count(F.lit(1)).alias("samples")).where(
         F.col("samples") >= p.sample_skip)
-    rows = labelled.join(measured(counts), on=by)
+    rows = join_same(labelled, measured(counts), [by])
     if p.clock == "steps":
         rows = row_numbers(rows, [by], ["ts", "event_id"], "t")
     else:
         rows = rows.withColumn("t", epoch_seconds("ts"))
     sums = cluster_summary(rows, by, p.lam)
     ends = rows.groupBy(by).agg(F.max("t").alias("updated"))
-    return sums.join(ends, on=by).select(
+    return join_same(sums, ends, [by]).select(
         by, *STATE[:-1], F.lit(0).cast("bigint").alias("last_step"),
         F.lit(POTENTIAL).alias("type_cluster"), "updated")

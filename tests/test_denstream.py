@@ -157,6 +157,19 @@ def test_two_batches_equal_one(spark, table, p):
     assert_same(collected(both.unionByName(kept)), direct(data, p))
 
 
+@pytest.mark.parametrize("p", [mc.Params(tp=60), mc.Params(clock="seconds", tp=20000)], ids=str)
+def test_samples_without_a_user_are_one_user(spark, table, p):
+    data = {None if user == "near" else user: v for user, v in tracks(n=60).items()}
+    df = frame(table, data, shuffle=2).cache()
+    assert_same(collected(den.denstream(df, None, p)), direct(data, p))
+    cut = F.lit(str(START + dt.timedelta(seconds=15000))).cast("timestamp_ntz")
+    saved = den.denstream(df.where(F.col("ts") < cut), None, p)
+    saved = spark.createDataFrame(saved.collect(), saved.schema)
+    later = df.where(F.col("ts") >= cut)
+    both = den.denstream(later, saved, p).unionByName(den.untouched(saved, later))
+    assert_same(collected(both), direct(data, p))
+
+
 def test_far_places_are_separate_regions(table):
     rows = frame(table, tracks()).select("user", F.col("longitude").alias("x"),
                                          F.col("latitude").alias("y"))
