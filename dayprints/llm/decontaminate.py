@@ -1,13 +1,15 @@
 """Benchmark decontamination: word n-grams as seeds, local alignment as the judge.
 
 The benchmark is the query set; it is taken in blocks of bounded size, each of which is broadcast
-and compared with all documents. Every n-gram that a document shares with an item is a seed,
-however frequent it is: the result for a document does not depend on the rest of the corpus. Common
+and compared with all documents. A seed is three words of an item in a row, or four around a gap
+(``SHAPES``), so that a copy in which every third or fourth word is another one keeps seeds too.
+Every seed that a document shares with an item counts, however frequent it is: the result for a
+document does not depend on the rest of the corpus. Common
 phrases cost little, as a passage can reach the threshold only if it holds that share of the
 item's words; this is counted before anything is aligned, over the document and then over the
 passage. The passage around a seed is aligned with the item (Smith-Waterman over words: match 2,
 mismatch -1, gap -1). The score is the alignment's share of a perfect copy's; edited copies lose
-1.5 times the share of words changed.
+1.5 times the share of words changed. It must be worth ``N`` words at least.
 
 Words are runs of letters, digits and underscores, case-folded; in scripts without spaces (Han,
 Kana, Thai, Lao, Khmer, Burmese) each character is a word. An item of fewer than four words is one
@@ -26,10 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from dayprints.llm.texts import lean
 
-N = 4
+N = 4  # shorter items are sought as a whole
+SHAPES = ((0, 1, 2), (0, 1, 3, 4))
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
 PAIRS = 1 << 20  # seeds of a document looked at together
@@ -50,13 +55,13 @@ def words(text: str | None) -> list[str]:
     return (_WORD if spaced else _WORD_OR_SIGN).findall(folded)
 
 
-def gram_keys(ids: np.ndarray, n: int = N) -> np.ndarray:
-    """A number for the n-gram that starts at each word; ids are 64-bit and not 0."""
-    if len(ids) < n:
+def gram_keys(ids: np.ndarray, places: tuple[int, ...] = SHAPES[0]) -> np.ndarray:
+    """A number for the words at ``places`` behind each word; ids are 64-bit and not 0."""
+    size = len(ids) - places[-1]
+    if size <= 0:
         return np.empty(0, np.uint64)
-    size = len(ids) - n + 1
-    key = ids[:size].copy()
-    for i in range(1, n):
+    key = ids[:size] + np.uint64(sum(1 << p for p in places) << 40)
+    for i in places[1:]:
         key = (key * _FACTOR) ^ (key >> np.uint64(29))
         key += ids[i:i + size]
     return key
@@ -78,8 +83,12 @@ def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple
         yield block
 
 
+def _row(n: int) -> tuple[int, ...]:
+    return tuple(range(n))
+
+
 class Index:
-    """A block of items: word numbers, n-grams in order, and where each n-gram stands."""
+    """A block of items: word numbers, seeds in order, and where each n-gram stands."""
 
     def __init__(self, block: list[tuple]):
         self.number: dict[str, int] = {}
@@ -88,14 +97,18 @@ class Index:
                 self.number.setdefault(word, len(self.number) + 1)
         self.items = [(i, np.array([self.number[w] for w in found], np.uint64))
                       for i, found in block]
-        keys = [gram_keys(ids) for _, ids in self.items]  # none for short items
+        keys, self.starts = [], []  # seeds of each item and where they begin
+        for _, ids in self.items:  # none for short items
+            own = [gram_keys(ids, shape) for shape in SHAPES]
+            keys.append(np.concatenate(own))
+            self.starts.append(np.concatenate([np.arange(len(k)) for k in own]))
         self.grams = np.unique(np.concatenate(keys))
         self.of_item = [np.searchsorted(self.grams, k) for k in keys]
         self.short: dict[tuple, list] = {}  # words of an item below N: its numbers
         for number, (_, ids) in enumerate(self.items):
             if len(ids) < N:
                 self.short.setdefault(tuple(ids.tolist()), []).append(number)
-        self.short_keys = {n: np.unique(np.array([gram_keys(np.array(k, np.uint64), n)[0]
+        self.short_keys = {n: np.unique(np.array([gram_keys(np.array(k, np.uint64), _row(n))[0]
                                                   for k in self.short if len(k) == n]))
                            for n in sorted({len(k) for k in self.short})}
 
@@ -105,27 +118,30 @@ class Index:
         return np.fromiter((get(w, 0) for w in found), np.uint64, len(found))
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a text, and the n-grams of the block that stand there."""
-        if len(ids) < N or not len(self.grams):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+        """Places in a text, and the seeds of the block that stand there."""
         known = ids != 0
-        size = len(ids) - N + 1
-        whole = known[:size].copy()
-        for i in range(1, N):
-            whole &= known[i:i + size]
-        places = np.flatnonzero(whole)
-        if not len(places):
-            return places, places
-        keys = gram_keys(ids)[places]
-        at = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
-        right = self.grams[at] == keys
-        return places[right], at[right]
+        none = np.empty(0, np.int64)
+        places, grams = [none], [none]
+        for shape in SHAPES if len(self.grams) else ():
+            size = len(ids) - shape[-1]
+            if size <= 0:
+                continue
+            whole = known[:size].copy()
+            for i in shape[1:]:
+                whole &= known[i:i + size]
+            there = np.flatnonzero(whole)
+            keys = gram_keys(ids, shape)[there]
+            at = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
+            right = self.grams[at] == keys
+            places.append(there[right])
+            grams.append(at[right])
+        return np.concatenate(places), np.concatenate(grams)
 
     def short_hits(self, ids: np.ndarray) -> dict[int, int]:
         """Numbers of the short items that stand in a text as a whole, and the first place."""
         out: dict[int, int] = {}
         for n, sought in self.short_keys.items():
-            keys = gram_keys(ids, n)
+            keys = gram_keys(ids, _row(n))
             at = np.minimum(np.searchsorted(sought, keys), len(sought) - 1)
             places = np.flatnonzero(sought[at] == keys)
             _, first = np.unique(keys[places], return_index=True)
@@ -169,7 +185,7 @@ class Judge:
         order = np.argsort(gram, kind="stable")
         self.gram = gram[order]
         self.item = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.place = (np.arange(len(gram)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
+        self.place = np.concatenate(index.starts)[order]
         self.words = np.concatenate([item for _, item in index.items]).astype(np.int64)
         self.size = np.array([len(item) for _, item in index.items], np.int64)
         self.begin = np.cumsum(self.size) - self.size
@@ -245,7 +261,7 @@ class Judge:
                 continue
             score, end = align(item, ids[low:high])
             share = score / (MATCH * len(item))
-            if share >= threshold and (best is None or share > best["score"]):
+            if share >= threshold and score >= MATCH * N and (best is None or share > best["score"]):
                 if best is None:
                     best = {}
                     out.append(best)
@@ -263,23 +279,24 @@ def found_items(text: Column, benchmark: DataFrame, threshold: float = THRESHOLD
     ``end_word`` counts words of the document up to the end of the aligned passage.
     """
     spark = benchmark.sparkSession
-    kind = benchmark.schema[item_id].dataType.simpleString()
+    kind = benchmark.schema[item_id].dataType
     columns = []
     for block in blocks(benchmark, item_id, item_text):
         shared = spark.sparkContext.broadcast({"block": block})
         columns.append(_found(text, shared, kind, threshold))
-    empty = F.array().cast(f"array<struct<item_id:{kind},score:double,end_word:bigint>>")
+    empty = F.array().cast(_result(kind))
     return F.concat(*columns) if columns else empty
 
 
-def _found(text: Column, shared, kind: str, threshold: float) -> Column:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
+def _result(kind: DataType) -> str:
+    return f"array<struct<item_id:{kind.simpleString()},score:double,end_word:bigint>>"
+
 
-    result = f"array<struct<item_id:{kind},score:double,end_word:bigint>>"
-    arrow = to_arrow_type(_parse_datatype_string(result))
+def _found(text: Column, shared, kind: DataType, threshold: float) -> Column:
+    arrow = pa.list_(pa.struct([("item_id", to_arrow_type(kind)), ("score", pa.float64()),
+                                ("end_word", pa.int64())]))
 
-    @F.arrow_udf(result)
+    @F.arrow_udf(_result(kind))
     def find(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kept = shared.value
         if "judge" not in kept:

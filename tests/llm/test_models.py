@@ -525,3 +525,49 @@ def test_labelled_noise_does_not_make_noise_acceptable(spark):
     tests += [("ψξφ θβγ ζχπ ωσρ " * 4, False)]  # falls to the language of few texts
     rows = judged(spark.createDataFrame(tests, "text string, good boolean"), model, train).collect()
     assert all(r["language"]["accepted"] == r["good"] for r in rows), rows
+
+
+def edited(rnd, words, share):
+    """A copy in which about this share of the words is another one."""
+    if isinstance(share, int):  # every share-th word
+        return [f"e{rnd.getrandbits(40)}" if (i + 1) % share == 0 else w
+                for i, w in enumerate(words)]
+    return [f"e{rnd.getrandbits(40)}" if rnd.random() < share else w for w in words]
+
+
+def test_edited_copies_equal_aligning_everything(spark):
+    rnd = random.Random(21)
+    stock = [f"w{i}" for i in range(400)]
+    items = [(i, [rnd.choice(stock) for _ in range(rnd.randrange(15, 45))]) for i in range(25)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items],
+                                      "item_id long, text string")
+    docs, kind = [], {}
+    for share in (0.1, 0.2, 0.25, 0.35, 0.5, 4, 3):
+        for i, words in items:
+            doc_id = len(docs)
+            kind[doc_id] = share, i
+            around = [rnd.choice(stock) for _ in range(60)]
+            docs.append((doc_id, " ".join(around[:30] + edited(rnd, words, share) + around[30:])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"]
+           for r in decontaminate.contaminated(df, benchmark).collect()}
+    number = {}
+    ids = {d: np.array([number.setdefault(w, len(number) + 1) for w in t.split()], np.uint64)
+           for d, t in docs}
+    own = {i: np.array([number.setdefault(w, len(number) + 1) for w in words], np.uint64)
+           for i, words in items}
+    want = {}
+    for d, passage in ids.items():
+        for i, item in own.items():
+            share = decontaminate.align(item, passage)[0] / (2 * len(item))
+            if share >= decontaminate.THRESHOLD:
+                want[d, i] = share
+    assert set(got) <= set(want)
+    recall = {}
+    for share in (0.1, 0.2, 0.25, 0.35, 0.5, 4, 3):
+        due = [k for k in want if kind[k[0]][0] == share]
+        recall[share] = sum(k in got for k in due) / max(1, len(due)), len(due)
+    print("recall by share of edits:", recall)
+    assert all(recall[share][0] >= 0.95 and recall[share][1] for share in (0.1, 0.2, 0.25, 4))
+    assert all(recall[share][0] >= 0.95 for share in (0.35, 3))
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
