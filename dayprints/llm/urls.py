@@ -21,6 +21,8 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayprints.session import measured
+
 LANE_ROWS = 200_000
 
 
@@ -65,11 +67,11 @@ def _stacks(rules: DataFrame) -> DataFrame:
 
 def matches(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) of the distinct addresses that a rule fits."""
-    stacks = _stacks(rules)
+    stacks = measured(_stacks(rules))  # its size is known: addresses stay where they are
     probes = addresses.select("host", "path", F.explode(_domains(F.col("host"))).alias("domain"))
-    probes = probes.join(stacks.select("domain").distinct(), "domain", "left_semi")
-    lanes = probes.groupBy("domain").agg(
-        F.ceil(F.count(F.lit(1)) / LANE_ROWS).cast("int").alias("lanes"))
+    probes = probes.join(stacks.select("domain"), "domain", "left_semi")
+    lanes = measured(probes.groupBy("domain").agg(
+        F.ceil(F.count(F.lit(1)) / LANE_ROWS).cast("int").alias("lanes")))
     own = stacks.join(lanes, "domain").select(
         "domain", "path", F.lit(None).cast("string").alias("host"), "stack",
         F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"))
