@@ -40,10 +40,11 @@ ROUNDS = 8
 
 
 def usable(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, vector) of the rows that take part."""
+    """(vec_id, vector) of the rows that take part; floats stay floats, all else is double."""
     v = F.col("vector")
-    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"),
-                     F.col(embedding).cast("array<float>").alias("vector"))
+    kept = df.schema[embedding].dataType.simpleString() == "array<float>"
+    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(
+        "array<float>" if kept else "array<double>").alias("vector"))
     rows = rows.where(v.isNotNull() & F.col("vec_id").isNotNull()
                       & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)
                                  & (F.abs(x) < float("inf")))
@@ -110,12 +111,13 @@ def assign(vectors: DataFrame, model: dict) -> DataFrame:
                     [*batch.columns, pa.array(lists.astype(np.int32))],
                     ["vec_id", "vector", "list"])
 
-    return cut_lineage(vectors.mapInArrow(put, "vec_id bigint, vector array<float>, list int"))
+    kind = vectors.schema["vector"].dataType.simpleString()
+    return cut_lineage(vectors.mapInArrow(put, f"vec_id bigint, vector {kind}, list int"))
 
 
 def build(assigned: DataFrame, sizes: dict[int, int], model: dict) -> DataFrame:
-    """(list, ids, plain, turned): blocks of about ``BLOCK_ROWS`` vectors, original and rotated
-    with each block of columns together. A list has as many blocks as it needs."""
+    """(list, part, ids, plain, turned): blocks of about ``BLOCK_ROWS`` vectors, original and
+    rotated with each block of columns together. A list has as many blocks as it needs."""
     spark = assigned.sparkSession
     rotation = spark.sparkContext.broadcast(model["rotation"])
 
@@ -125,14 +127,15 @@ def build(assigned: DataFrame, sizes: dict[int, int], model: dict) -> DataFrame:
         columns = b"".join(np.ascontiguousarray(turned[:, a:a + COLUMNS]).tobytes()
                            for a in range(0, turned.shape[1], COLUMNS))
         return pa.table({"list": pa.array([table["list"][0].as_py()], pa.int32()),
+                         "part": pa.array([table["part"][0].as_py()], pa.int32()),
                          "ids": pa.array([table["vec_id"].to_pylist()], pa.list_(pa.int64())),
-                         "plain": pa.array([plain.astype(np.float32).tobytes()], pa.binary()),
+                         "plain": pa.array([plain.tobytes()], pa.binary()),
                          "turned": pa.array([columns], pa.binary())})
 
     blocks = _parts(sizes, BLOCK_ROWS)
-    rows = assigned.withColumn("part", F.pmod(F.xxhash64("vec_id"), blocks(F.col("list"))))
-    return rows.groupBy("list", "part").applyInArrow(
-        pack, "list int, ids array<bigint>, plain binary, turned binary")
+    part = F.pmod(F.xxhash64("vec_id", "vector"), blocks(F.col("list"))).cast("int")
+    return assigned.withColumn("part", part).groupBy("list", "part").applyInArrow(
+        pack, "list int, part int, ids array<bigint>, plain binary, turned binary")
 
 
 def _parts(sizes: dict[int, int], rows: int):
@@ -163,7 +166,8 @@ def probes(queries: DataFrame, sizes: dict[int, int], model: dict, k: int) -> Da
                 [*batch.columns, pa.array(lists, pa.list_(pa.int32()))],
                 ["query_id", "query", "lists"])
 
-    chosen = queries.mapInArrow(choose, "query_id bigint, query array<float>, lists array<int>")
+    kind = queries.schema["query"].dataType.simpleString()
+    chosen = queries.mapInArrow(choose, f"query_id bigint, query {kind}, lists array<int>")
     return chosen.select("query_id", "query", F.explode("lists").alias("list"))
 
 
@@ -236,7 +240,11 @@ def nearest(df: DataFrame, is_query, k: int = K, vec_id: str = "vec_id",
              .groupBy("list", "part").agg(F.collect_list("query_id").alias("queries"),
                                           F.flatten(F.collect_list("query")).alias("vectors"))
              .drop("part"))
-    pairs = build(assigned, sizes, model).join(packs, "list")
+    # a pack meets each block of its list on a key of their own, so a large list is many keys
+    blocks = F.sequence(F.lit(0), _parts(sizes, BLOCK_ROWS)(F.col("list")) - 1)
+    packs = packs.withColumn("part", F.explode(blocks))
+    pairs = build(assigned, sizes, model).join(packs, ["list", "part"])
+    exact = np.float32 if "float" in vectors.schema["vector"].simpleString() else np.float64
     rotation = df.sparkSession.sparkContext.broadcast(model["rotation"])
 
     def search(batches):
@@ -256,7 +264,7 @@ def nearest(df: DataFrame, is_query, k: int = K, vec_id: str = "vec_id",
                 value = {n: batch.column(n)[row] for n in ("ids", "plain", "turned", "queries",
                                                           "vectors")}
                 ids = value["ids"].values.to_numpy()
-                plain = np.frombuffer(value["plain"].as_buffer(), np.float32).reshape(-1, size)
+                plain = np.frombuffer(value["plain"].as_buffer(), exact).reshape(-1, size)
                 packed = np.frombuffer(value["turned"].as_buffer(), np.float32)
                 columns, at = [], 0
                 for a in range(0, size, COLUMNS):
