@@ -3,7 +3,8 @@
 A text is cut into sentences at full stops, question and exclamation marks, semicolons and blank
 lines; comment signs at line starts are dropped. The stop of an abbreviation ("v. 2.0", "e.g.") or
 of a list number at a line start ends no sentence. A normalised sentence (lower case, words only)
-that is a known licence sentence gets its identifier, any other one none. Known sentences may
+that is a known licence sentence gets its identifier, and so does one that says that a work is
+licensed (released, ...) under a licence of a known name; any other one gets none. Known sentences may
 run over lines or share a line's end with other words only behind a stop. The sequence of
 identifiers is then read from left to right: at each place the first rule in order whose
 identifiers follow one another, with at most ``GAP`` unknown sentences between, is recognised and
@@ -173,7 +174,89 @@ for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
         SENTENCES[f"Work{_name}"] = f"This work is licensed under CC {_kind} {_version}"
         RULES += [(f"CC-{_kind}-{_version}", [_name]), (f"CC-{_kind}-{_version}", [f"Work{_name}"])]
 
+# Identifiers of the licences that are looked for, and what notices call them.
+NAMES = {
+    "MIT": ["MIT"], "ISC": ["ISC"], "Zlib": ["zlib"], "0BSD": ["0BSD", "Zero-Clause BSD"],
+    "Apache-2.0": ["Apache 2.0", "Apache 2", "Apache-2.0", "Apache License 2.0",
+                   "Apache License, Version 2.0", "Apache Software License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause", "BSD-2-Clause", "2-Clause BSD", "Simplified BSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "BSD-3-Clause", "3-Clause BSD", "New BSD", "Modified BSD"],
+    "MPL-2.0": ["MPL 2.0", "MPL-2.0", "Mozilla Public License 2.0",
+                "Mozilla Public License, version 2.0"],
+    "EPL-2.0": ["EPL 2.0", "EPL-2.0", "Eclipse Public License 2.0"],
+    "BSL-1.0": ["Boost Software", "BSL-1.0", "Boost Software License 1.0"],
+    "Unlicense": ["Unlicense"], "CC0-1.0": ["CC0", "CC0 1.0", "CC0-1.0"],
+}
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License",
+        "AGPL": "GNU Affero General Public License"}
+for _short, _versions in (("GPL", ("2.0", "3.0")), ("LGPL", ("2.1", "3.0")), ("AGPL", ("3.0",))):
+    for _version in _versions:
+        _number, _long = _version.removesuffix(".0"), _GNU[_short]
+        NAMES[f"{_short}-{_version}"] = [
+            name for v in dict.fromkeys((_version, _number)) for name in (
+                f"{_short}v{v}", f"{_short} v{v}", f"{_short} {v}", f"{_short}-{v}",
+                f"GNU {_short}v{v}", f"GNU {_short} v{v}", f"GNU {_short} version {v}",
+                f"{_long} v{v}", f"{_long} version {v}", f"{_long}, version {v}")]
+
+
+def _add(licence: str, text: str, *others: str) -> None:
+    """A rule for one sentence, or for sentences in a row."""
+    names = []
+    for sentence in (text, *others):
+        names.append(f"{licence}: {sentence}")
+        SENTENCES[names[-1]] = sentence
+    RULES.append((licence, names))
+
+
+# Identifiers behind SPDX's tag, with the GNU licences' own endings.
+for _licence in (*NAMES, *(f"CC-{_kind}-{_version}" for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND",
+                                                                 "BY-NC-SA", "BY-NC-ND")
+                          for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"))):
+    _add(_licence, f"SPDX-License-Identifier: {_licence}")
+    if _licence.split("-")[0] in _GNU:
+        for _end in ("only", "or-later"):
+            _add(f"{_licence}-{_end}" if _end == "or-later" else _licence,
+                 f"SPDX-License-Identifier: {_licence}-{_end}")
+        _add(f"{_licence}-or-later", f"SPDX-License-Identifier: {_licence}+")
+
+# Long forms of the Creative Commons licences.
+for _kind, _words in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"),
+                      ("BY-ND", "-NoDerivatives"), ("BY-ND", "-NoDerivs"),
+                      ("BY-NC-SA", "-NonCommercial-ShareAlike"),
+                      ("BY-NC-ND", "-NonCommercial-NoDerivatives"),
+                      ("BY-NC-ND", "-NonCommercial-NoDerivs")):
+    for _version, _place in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"),
+                             ("2.0", "Generic"), ("1.0", "Generic")):
+        for _the in ("a ", "the "):
+            for _where in (f" {_place}", ""):
+                _add(f"CC-{_kind}-{_version}", f"This work is licensed under {_the}Creative "
+                     f"Commons Attribution{_words} {_version}{_where} License")
+
+# The headings that the full texts begin with.
+for _licence, *_heading in (
+        ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"),
+        ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE", "Version 2, June 1991"),
+        ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"),
+        ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE", "Version 2.1, February 1999"),
+        ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE", "Version 3, 19 November 2007"),
+        ("Apache-2.0", "Apache License", "Version 2.0, January 2004"),
+        ("MPL-2.0", "Mozilla Public License Version 2.0"),
+        ("EPL-2.0", "Eclipse Public License - v 2.0"),
+        ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003")):
+    _add(_licence, *_heading)
+    if len(_heading) > 1:
+        _add(_licence, " ".join(_heading))
+
+# A notice with its tag behind it is one licence.
+RULES = [rule for licence, names in RULES for rule in (
+    [(licence, [*names, f"{licence}: SPDX-License-Identifier: {licence}"])]
+    if f"{licence}: SPDX-License-Identifier: {licence}" in SENTENCES
+    and not names[0].startswith(f"{licence}: SPDX") else []) + [(licence, names)]]
+
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+# "This project is licensed under the terms of the MIT license", "Released under GPLv3"
+_NOTICE = re.compile(r"(?:(?:this|the) (?:[\w-]+ ){1,3}is )?(?:licensed|released|distributed|"
+                     r"available) under (?:the terms of )?(?:the |an? )?(.+?)(?: licen[sc]e)?")
 _SIGNS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*"
                     r"(?:\((?:\d{1,2}|[a-z])\)[ \t]+|(?:\d{1,2}|[a-z])\)[ \t]+)?", re.M)
 _NUMBER = re.compile(r"[ \t]*(?:\d{1,2}|[a-z])", re.I)
@@ -188,15 +271,33 @@ def normalised(sentence: str) -> str:
 
 
 class Scanner:
-    """Finds licences in a text with the given sentences and rules."""
+    """Finds licences in a text with the given sentences, rules and names for notices."""
 
-    def __init__(self, sentences: dict[str, str], rules: list[tuple[str, list[str]]]):
+    def __init__(self, sentences: dict[str, str], rules: list[tuple[str, list[str]]],
+                 names: dict[str, list[str]] | None = None):
         self.known = {normalised(text): name for name, text in sentences.items()}
         self.longest = max(map(len, self.known), default=0)
         self.first = {text.split(" ", 1)[0] for text in self.known}
         self.rules: dict[str, list] = {}
-        for licence, names in rules:
-            self.rules.setdefault(names[0], []).append((licence, names))
+        for licence, ids in rules:
+            self.rules.setdefault(ids[0], []).append((licence, ids))
+        self.named = {}
+        for licence, own in (names or {}).items():
+            self.named |= {normalised(name): f"Under {licence}" for name in own}
+            self.rules[f"Under {licence}"] = [(licence, [f"Under {licence}"])]
+        if names:
+            self.first |= {"this", "the", "licensed", "released", "distributed", "available"}
+
+    def identifier(self, words: str) -> str | None:
+        """Of a known sentence, or of a notice that names a known licence."""
+        found = self.known.get(words)
+        if found is None and self.named and " under " in words:
+            notice = _NOTICE.fullmatch(words)
+            if notice:
+                name = notice[1]
+                found = self.named.get(name) or self.named.get(
+                    name.replace(" license", "").replace(" licence", ""))
+        return found
 
     def identifiers(self, text: str) -> list[tuple[int, str]]:
         """(number of the sentence, identifier) of the known sentences in order.
@@ -225,15 +326,16 @@ class Scanner:
                 i += 1
                 continue
             joined, hard = pieces[i]
-            end, found = i, self.known.get(joined)
+            end, found = i, self.identifier(joined)
             if joined.split(" ", 1)[0] in self.first:
                 j = i
                 while not hard and j + 1 < len(pieces) and len(joined) < self.longest:
                     j += 1
                     joined = f"{joined} {pieces[j][0]}".strip()
                     hard = pieces[j][1]
-                    if joined in self.known:
-                        end, found = j, self.known[joined]
+                    name = self.identifier(joined)
+                    if name:
+                        end, found = j, name
             if found:
                 out.append((number, found))
             i, number = end + 1, number + 1
@@ -256,17 +358,20 @@ class Scanner:
 
 
 def scanned(text: Column, sentences: dict[str, str] | None = None,
-            rules: list[tuple[str, list[str]]] | None = None) -> Column:
+            rules: list[tuple[str, list[str]]] | None = None,
+            names: dict[str, list[str]] | None = None) -> Column:
     """array<struct(licence, sentence)> of the licences in each text, in order."""
-    shared = SparkSession.active().sparkContext.broadcast(
-        {"sentences": sentences or SENTENCES, "rules": rules or RULES})  # tables of the caller
+    own = {"sentences": sentences, "rules": rules, "names": names}  # tables of the caller
+    if sentences is None:
+        own = {"sentences": SENTENCES, "rules": RULES, "names": NAMES}
+    shared = SparkSession.active().sparkContext.broadcast(own)
     item = pa.list_(pa.struct([("licence", pa.string()), ("sentence", pa.int32())]))
 
     @F.arrow_udf("array<struct<licence:string,sentence:int>>")
     def scan(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kept = shared.value
         if "scanner" not in kept:
-            kept["scanner"] = Scanner(kept["sentences"], kept["rules"])
+            kept["scanner"] = Scanner(kept["sentences"], kept["rules"], kept["names"])
         for part in parts:
             yield pa.array([[{"licence": a, "sentence": b} for a, b in
                              kept["scanner"].licences(v.as_py() or "")] for v in part], item)

@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dayprints.llm import decontaminate, langid, licences, quality, toxicity
@@ -282,13 +283,13 @@ def test_every_notice_of_the_documents_is_known(spark):
     lines = docs.select(F.explode(F.split("text", r"\n|(?<=[.?!;])\s")).alias("line"))
     notices = {r["line"].strip() for r in
                lines.where(F.col("line").rlike(LICENCE_WORDS)).distinct().collect()}
-    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES, licences.NAMES)
     assert "Licensed under CC BY-NC 4.0." in notices
     assert {n for n in notices if not scanner.licences(n)} == UNKNOWN_NOTICES
 
 
 def test_short_creative_commons_notices():
-    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES, licences.NAMES)
     for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
         assert scanner.licences(f"Words. Licensed under CC {kind} 4.0.\nMore.") == [
             (f"CC-{kind}-4.0", 1)]
@@ -399,14 +400,47 @@ AUTHORS BE LIABLE.
 
 
 def test_published_notices_are_found():
-    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES, licences.NAMES)
     for name, text in PUBLISHED:
         for sign in ("", " * ", "# ", "// "):
             notice = "".join(f"{sign}{line}\n" for line in text.split("\n"))
             assert [n for n, _ in scanner.licences(notice)] == [name], (name, notice)
     known = {"GPL-3.0", "GPL-2.0", "BSD", "Public-Domain", "All-Rights-Reserved"}  # one sentence
     short = {n for n, _ in licences.RULES if n.startswith("CC-")}  # see the test of short forms
-    assert {n for n, _ in licences.RULES} == known | short | {n for n, _ in PUBLISHED}
+    one = {n for n, names in licences.RULES if ": " in names[0]}  # tags and headings: next test
+    assert {n for n, _ in licences.RULES} == known | short | one | {n for n, _ in PUBLISHED}
+
+
+@pytest.mark.parametrize("text, licence", [
+    ("SPDX-License-Identifier: MIT", "MIT"),
+    ("// SPDX-License-Identifier: GPL-2.0-only\nint x;", "GPL-2.0"),
+    ("# SPDX-License-Identifier: GPL-3.0+\n", "GPL-3.0-or-later"),
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("Words. This library is released under the terms of the Apache License, Version 2.0.",
+     "Apache-2.0"),
+    ("Licensed under the GPLv3.", "GPL-3.0"),
+    ("The source code is available under the 3-Clause BSD\nlicense; see the file.", "BSD-3-Clause"),
+    ("This work is licensed under the Creative Commons Attribution 4.0 International License.",
+     "CC-BY-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 "
+     "Unported License.", "CC-BY-NC-SA-3.0"),
+    ("          GNU GENERAL PUBLIC LICENSE\n             Version 3, 29 June 2007\n\n Copyright",
+     "GPL-3.0"),
+    ("    Apache License\n    Version 2.0, January 2004\n    http://www.apache.org/licenses/\n",
+     "Apache-2.0"),
+    ("GNU Lesser General Public License\nVersion 2.1, February 1999\n", "LGPL-2.1"),
+])
+def test_tags_notices_and_headings(text, licence):
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES, licences.NAMES)
+    assert [n for n, _ in scanner.licences(text)] == [licence]
+
+
+@pytest.mark.parametrize("text", [
+    "It is sold under the Apache trail.", "The house is available under the terms of the sale.",
+    "This road is licensed under no rule.", "We spoke of the MIT license."])
+def test_words_about_licences_are_no_notice(text):
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES, licences.NAMES)
+    assert scanner.licences(text) == []
 
 
 def test_abbreviations_and_list_numbers_end_no_sentence():
