@@ -15,6 +15,7 @@ import gc
 import json
 import math
 import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -38,6 +39,7 @@ def read_ranks(path: str) -> dict:
 
 def _printable_bytes() -> dict[str, int]:
     """The byte for each printable stand-in of a byte-level vocabulary file."""
+    # fixed values of the file format: bytes that stand for themselves
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
@@ -74,7 +76,7 @@ class Merges:
         self._split: dict[bytes, tuple | None] = {}
         self._right: dict[bytes, list] = {}
         self._left: dict[bytes, list] = {}
-        self._fits: dict[int, bool] = {}
+        self.known_fits: dict[int, bool] = {}
 
     def replay(self, piece: bytes, down_to: int = 1) -> list[bytes]:
         """The parts of ``piece`` after merging, lowest rank first and leftmost on ties."""
@@ -122,11 +124,11 @@ class Merges:
         of equal ranks the left one goes first.
         """
         key = a << 24 | b
-        known = self._fits.get(key)
+        known = self.known_fits.get(key)
         if known is None:
-            if len(self._fits) > 300_000:  # a cache, not a table: it can be refilled
-                self._fits.clear()
-            known = self._fits[key] = self._derive(a, b)
+            if len(self.known_fits) > 300_000:  # a cache, not a table: it can be refilled
+                self.known_fits.clear()
+            known = self.known_fits[key] = self._derive(a, b)
         return known
 
     def _derive(self, a: int, b: int) -> bool:
@@ -155,18 +157,20 @@ class Trie:
     """The tokens by their bytes, as numbers: node 0 is the root, -1 stands for no token."""
 
     def __init__(self, merges: Merges):
-        self.step: dict[int, int] = {}  # node * 256 + byte -> node
-        self.token, self.depth, self.below = [-1], [0], [0]  # below: tokens that extend the node
+        self.below: list[dict[int, int]] = [{}]  # of a node: byte -> the node that extends it
+        self.token, self.depth = [-1], [0]
+        none: dict[int, int] = {}
         for token, number in merges.ids.items():
             node = 0
             for byte in token:
-                self.below[node] += 1
-                following = self.step.get(node << 8 | byte)
+                if self.below[node] is none:
+                    self.below[node] = {}
+                following = self.below[node].get(byte)
                 if following is None:
-                    following = self.step[node << 8 | byte] = len(self.token)
+                    following = self.below[node][byte] = len(self.token)
                     self.token.append(-1)
                     self.depth.append(self.depth[node] + 1)
-                    self.below.append(0)
+                    self.below.append(none)
                 node = following
             self.token[node] = number
 
@@ -194,14 +198,19 @@ class Encoder:
     when first used and kept in a bounded table.
 
     A token is emitted once every live path's chain of tokens holds it: what is pending reaches
-    back no further than tokens that may still change.
+    back no further than tokens that may still change. The chains are compared every
+    ``LOOKAHEAD`` bytes, and at the end of a piece.
+
+    States and moves are forgotten when there are too many: there are at most ``MAX_STATES`` and
+    ``MAX_MOVES``, and ``LEARN`` more of each during a step.
     """
 
     MAX_STATES = 160_000
+    MAX_MOVES = 320_000
+    LEARN = 50_000  # pieces that step through the machine side by side
     MAX_PIECES = 100_000
-    TOGETHER = 2_000_000
-    MAX_PIECE_BYTES = 64
-    PENDING = 4096
+    TOGETHER = 1_000_000
+    LOOKAHEAD = 64
 
     def __init__(self, vocabulary: dict, pattern: str):
         self.merges = Merges(vocabulary)
@@ -217,12 +226,23 @@ class Encoder:
         self._old: dict[str, list[int]] = {}
 
     def _reset(self) -> None:
-        self._paths: list[tuple[int, ...]] = []
-        self._number: dict[tuple[int, ...], int] = {}
+        self._paths: list[bytes] = []  # packed, as tuples of numbers take thrice the room
+        self._number: dict[bytes, int] = {}
         self._moves: dict[int, int] = {}  # state * 256 + byte -> state << 32 | token
-        self._state((START,))
+        self._state(self._packed([START]))
+
+    def _full(self) -> bool:
+        return len(self._paths) > self.MAX_STATES or len(self._moves) > self.MAX_MOVES
 
-    def _state(self, paths: tuple[int, ...]) -> int:
+    @staticmethod
+    def _packed(paths: list[int]) -> bytes:
+        return struct.pack(f"{len(paths)}q", *paths)
+
+    @staticmethod
+    def _unpacked(paths: bytes) -> tuple[int, ...]:
+        return struct.unpack(f"{len(paths) // 8}q", paths)
+
+    def _state(self, paths: bytes) -> int:
         """A state's number; a path is node << 24 | token, and a token of all ones stands for the
         start of the text."""
         number = self._number.get(paths)
@@ -232,44 +252,45 @@ class Encoder:
         return number
 
     def _move(self, state: int, byte: int) -> int:
-        step, token, below = self.trie.step, self.trie.token, self.trie.below
-        fits, alive, done = self.merges.fits, [], -1
-        for path in self._paths[state]:
-            child = step.get(path >> 16 & ~0xFF | byte)
+        token, below = self.trie.token, self.trie.below
+        known, alive, done = self.merges.known_fits, [], -1
+        for path in self._unpacked(self._paths[state]):
+            child = below[path >> 24].get(byte)
             if child is None:
                 continue
             last = path & 0xFFFFFF
-            if done < 0 and token[child] >= 0 and fits(last, token[child]):
-                done = token[child]
+            ended = token[child]
+            if done < 0 and ended >= 0:
+                good = known.get(last << 24 | ended)
+                if good or good is None and self.merges.fits(last, ended):
+                    done = ended
             if below[child]:
                 alive.append(child << 24 | last)
         if done < 0:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         alive.append(done)  # a path at the root
-        move = self._moves[state << 8 | byte] = self._state(tuple(alive)) << 32 | done
+        move = self._moves[state << 8 | byte] = self._state(self._packed(alive)) << 32 | done
         return move
 
     def encode_bytes(self, piece: bytes) -> list[int]:
         """Token ids of one piece, read once from left to right."""
         if self.whole and (known := self.merges.ids.get(piece)) is not None:
             return [known]
-        if len(self._paths) > self.MAX_STATES:
-            self._reset()
-        moves, state = self._moves, 0
+        state = 0
         out: list[int] = []
         ends: list[int] = []  # the token that ends at each pending byte
         for byte in piece:
-            move = moves.get(state << 8 | byte)
+            move = self._moves.get(state << 8 | byte)
             if move is None:
                 move = self._move(state, byte)
+                if self._full():
+                    paths = self._paths[move >> 32]
+                    self._reset()
+                    move = self._state(paths) << 32 | move & 0xFFFFFFFF
             state = move >> 32
             ends.append(move & 0xFFFFFFFF)
-            if len(ends) >= self.PENDING:
-                out += self._emit(ends, self._paths[state])
-                if len(self._paths) > 2 * self.MAX_STATES:
-                    paths = self._paths[state]
-                    self._reset()
-                    moves, state = self._moves, self._state(paths)
+            if len(ends) >= self.LOOKAHEAD:
+                out += self._emit(ends, self._unpacked(self._paths[state]))
         return out + self._chain(ends, len(ends))
 
     def _chain(self, ends: list[int], at: int) -> list[int]:
@@ -296,35 +317,41 @@ class Encoder:
         return out
 
     def _learn(self, raws: list[bytes]) -> list[list[int]]:
-        """Token ids of many short pieces, which step through the machine side by side, so that
+        """Token ids of some short pieces, which step through the machine side by side, so that
         every move is looked up once for all pieces that make it."""
-        if len(self._paths) > self.MAX_STATES:
-            self._reset()
         lengths = np.fromiter(map(len, raws), np.int64, len(raws))
         order = np.argsort(-lengths, kind="stable")
-        lengths = lengths[order]
         data = np.frombuffer(b"".join(raws), np.uint8)
-        starts = np.concatenate(([0], np.cumsum([len(r) for r in raws])[:-1]))[order]
+        starts = (np.cumsum(lengths) - lengths)[order]
+        lengths = lengths[order]
         ends = np.zeros((len(raws), int(lengths[0])), np.int32)
         state = np.zeros(len(raws), np.int64)
-        moves = self._moves
         for k in range(ends.shape[1]):
             n = int(np.searchsorted(-lengths, -k, "left"))  # pieces longer than k
+            if self._full():
+                live, place = np.unique(state[:n], return_inverse=True)
+                paths = [self._paths[x] for x in live.tolist()]
+                self._reset()
+                state[:n] = np.array([self._state(p) for p in paths], np.int64)[place]
+            moves = self._moves
             keys, place = np.unique(state[:n] << 8 | data[starts[:n] + k], return_inverse=True)
             made = np.fromiter((self._move(x >> 8, x & 255) if (m := moves.get(x)) is None else m
                                 for x in keys.tolist()), np.int64, len(keys))[place]
             state[:n] = made >> 32
             ends[:n, k] = made & 0xFFFFFFFF
+        if self._full():
+            self._reset()
         columns, at, row = [], lengths, np.arange(len(raws))
         while at.any():  # chains of tokens from the ends of the pieces
-            token = np.where(at > 0, ends[row, at - 1], -1)
+            token = np.where(at > 0, ends[row, at - 1], np.int32(-1))
             columns.append(token)
             at = at - np.where(at > 0, self._sizes[token], 0)
-        matrix = np.array(columns[::-1]).T
-        first = (matrix < 0).sum(axis=1)
+        matrix = np.stack(columns[::-1], axis=1)
+        real = matrix >= 0
+        flat, bounds = matrix[real].tolist(), np.cumsum(real.sum(axis=1)).tolist()
         found: list = [None] * len(raws)
-        for i, ids, a in zip(order.tolist(), matrix.tolist(), first.tolist(), strict=True):
-            found[i] = ids[a:]
+        for i, a, b in zip(order.tolist(), [0, *bounds], bounds):
+            found[i] = flat[a:b]
         return found
 
     def encode_many(self, texts: list[str]) -> list[list[int]]:
@@ -341,14 +368,15 @@ class Encoder:
             raw = piece.encode("utf-8")
             if self.whole and raw in ids:
                 known[piece] = [ids[raw]]
-            elif len(raw) > self.MAX_PIECE_BYTES:
+            elif len(raw) > self.LOOKAHEAD:
                 known[piece] = self.encode_bytes(raw)
                 long.append(piece)
             else:
                 fresh.append(piece)
                 raws.append(raw)
-        if fresh:
-            known.update(zip(fresh, self._learn(raws), strict=True))
+        for at in range(0, len(fresh), self.LEARN):
+            part = slice(at, at + self.LEARN)
+            known.update(zip(fresh[part], self._learn(raws[part]), strict=True))
         out = [list(chain.from_iterable(map(known.__getitem__, f))) for f in found]
         for piece in long:
             del known[piece]
@@ -496,7 +524,7 @@ class PrefixCounter:
 
     def piece_counts(self, piece: bytes) -> list[int]:
         """Tokens of piece[:k] for k = 0 .. len(piece)."""
-        fits, known = self.merges.fits, self.merges._fits.get
+        fits, known = self.merges.fits, self.merges.known_fits.get
         count = [0] + [-1] * len(piece)
         last = [START] * (len(piece) + 1)
         for end, (size, token) in self.endings.iter(piece.decode("latin-1")):

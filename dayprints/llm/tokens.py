@@ -80,10 +80,9 @@ def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
             texts = (v.as_py() for v in part)
             for value, ids in zip(part, encoder.encode_all(texts), strict=True):
                 shown = ",".join(map(written.__getitem__, ids))
-                back = decoder.text(ids)
                 rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(),
-                             hashlib.sha256(back.encode("utf-8")).hexdigest(),
-                             back == (value.as_py() or "")))
+                             hashlib.sha256(decoder.to_bytes(ids)).hexdigest(),
+                             decoder.text(ids) == (value.as_py() or "")))
                 if with_ids:
                     kept.append(np.array(ids, np.int32))
             n, a, b, exact = zip(*rows, strict=True) if rows else ((), (), (), ())
@@ -91,7 +90,9 @@ def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
                 "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()),
                 "decoded_sha256": pa.array(b, pa.string()), "exact": pa.array(exact, pa.bool_())}
             if with_ids:
-                columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
+                ends = np.cumsum([0, *map(len, kept)], dtype=np.int32)
+                flat = np.concatenate(kept) if kept else np.empty(0, np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield struct_array(columns)
 
     return digest(text)

@@ -127,3 +127,25 @@ def test_small_caches_change_no_ids():
         texts = ["".join(chance.choice("abc dé 漢字😀1\n'") for _ in range(chance.randrange(90)))
                  for _ in range(5)] + ["x" * chance.randrange(200), ""]
         assert small.encode_many(texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_states_and_moves_stay_bounded_on_random_letters():
+    small = bpe.Encoder(VOCABULARY, P.PATTERN)
+    small.MAX_STATES, small.MAX_MOVES, small.LEARN, small.TOGETHER = 2_000, 3_000, 500, 20_000
+    rnd = random.Random(6)
+    texts = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé中")
+                              for _ in range(rnd.choice([3, 9, 20, 300])))
+                      for _ in range(40)) for _ in range(60)]
+    most = [0, 0]
+
+    def watched(step):
+        def move(*args):
+            out = step(*args)
+            most[:] = max(most[0], len(small._paths)), max(most[1], len(small._moves))
+            return out
+        return move
+
+    small._move = watched(small._move)
+    assert list(small.encode_all(texts)) == [ENCODER.encode(t) for t in texts]
+    assert most[0] <= small.MAX_STATES + 2 * small.LEARN + 2
+    assert most[1] <= small.MAX_MOVES + 2 * small.LEARN + 2
