@@ -21,8 +21,7 @@ def at_home_slots(spark, sf):
 
 def slot_vector(spark, sf):
     """48 half-hour distances of each user-day and source."""
-    long = slots.distance_slots(new_rows(spark, sf)).withColumn("value", rnd("value"))
-    return slots.slot_vector(long, [*KEY, "source"], "mean")
+    return slots.distance_vector(new_rows(spark, sf))
 
 
 def slot_vector_var(spark, sf):

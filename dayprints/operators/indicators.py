@@ -125,8 +125,9 @@ def zscore(df: DataFrame, keys: list[str], value: str, ddof: int = 1) -> DataFra
     """(x - mean) / std within ``keys``, or over all rows if there are none."""
     mean, std = F.avg(value), F.stddev_samp(value) if ddof else F.stddev_pop(value)
     if not keys:
-        mean, std = df.agg(mean).scalar(), df.agg(std).scalar()
-        return df.withColumn("z", F.when(std > 0, (F.col(value) - mean) / std))
+        of_all = df.agg(F.struct(mean.alias("mean"), std.alias("std"))).scalar()  # one pass for both
+        z = F.when(of_all["std"] > 0, (F.col(value) - of_all["mean"]) / of_all["std"])
+        return df.withColumn("z", z)
     stats = measured(df.groupBy(*keys).agg(mean.alias("__mean"), std.alias("__std")))
     z = F.when(F.col("__std") > 0, (F.col(value) - F.col("__mean")) / F.col("__std"))
     return df.join(stats, on=keys).withColumn("z", z).drop("__mean", "__std")

@@ -76,16 +76,28 @@ def fold_sources(base: DataFrame) -> DataFrame:
         F.when(F.sum("home_n") * 2 >= F.sum("rows"), 1).otherwise(0).alias("home"))
 
 
+def _wide(df: DataFrame, keys: Sequence[str], kind: str, of_slot) -> DataFrame:
+    """``slot1 .. slot48`` by one aggregate over ``keys``; ``of_slot`` gives a slot's value."""
+    default = -1.0 if kind == "mean" else 0.0
+    wide = df.groupBy(*keys).agg(*[of_slot(F.col("slot") == i).cast("double").alias(f"slot{i + 1}")
+                                   for i in range(SLOTS)])
+    names = [f"slot{i + 1}" for i in range(SLOTS)]
+    value = (lambda c: F.when(F.col(c) > 0, F.col(c))) if kind == "mean" else F.col
+    return wide.select(*keys, F.lit(kind).alias("type"),
+                       *[F.coalesce(value(c), F.lit(default)).alias(c) for c in names])
+
+
 def slot_vector(slots: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
-    """``slot1 .. slot48`` columns out of (keys, slot, value).
+    """``slot1 .. slot48`` columns out of (keys, slot, value), one row for each slot.
 
     ``mean`` keeps positive values only and marks the rest -1; ``var`` and
     ``home`` fill with 0.
     """
-    default = -1.0 if kind == "mean" else 0.0
-    kept = slots.withColumn("value", F.col("value").cast("double"))
-    if kind == "mean":
-        kept = kept.withColumn("value", F.when(F.col("value") > 0, F.col("value")))
-    wide = kept.groupBy(*keys).pivot("slot", list(range(SLOTS))).agg(F.first("value"))
-    return wide.select(*keys, F.lit(kind).alias("type"), *[
-        F.coalesce(F.col(f"`{i}`"), F.lit(default)).alias(f"slot{i + 1}") for i in range(SLOTS)])
+    return _wide(slots, keys, kind, lambda here: F.max(F.when(here, F.col("value"))))
+
+
+def distance_vector(df: DataFrame, digits: int = 6) -> DataFrame:
+    """The vectors of ``distance_slots`` straight from the samples: one shuffle of partial sums."""
+    rows = with_slot(df).withColumn("source", source_label("source"))
+    return _wide(rows, [*DAY, "source"], "mean", lambda here: F.round(
+        F.sum(F.when(here, F.col("distance"))), digits))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dayprints.functions.sensors import top_wifis
 from dayprints.functions.time import epoch_millis
-from dayprints.operators.ordered import row_numbers
+from dayprints.operators.ordered import ranged, row_numbers
 from dayprints.session import cut_lineage, measured
 
 
@@ -52,30 +52,44 @@ def dense_vectors(scans: DataFrame, keys: list[str], order: str = "strongest") -
 
 
 def nearest_scan(points: DataFrame, scans: DataFrame, keys: list[str], payload: Column,
-                 seconds: int = 60, bucket: int = 600) -> DataFrame:
+                 seconds: int = 60) -> DataFrame:
     """Add ``scan``: payload and time of the nearest scan within ``seconds``, or null.
 
-    Ties go to the earlier scan. Points and scans are merged in time order inside
-    (key, bucket); scans close to a border also go to the neighbouring bucket, so
-    no pairs are formed and no bucket needs another one.
+    Ties go to the earlier scan. Points and scans are merged in time order over ranges of about
+    equal size, so a busy minute of a key is several tasks. The last scan of the ranges before,
+    and the first of those behind, stand as carried rows at the two ends of each range; no pairs
+    are formed and nothing is joined.
     """
-    reach, width = seconds * 1000, bucket * 1000
-    at = lambda shift: F.floor((F.col("__t") + shift) / width)
-    left = (points.withColumn("__t", epoch_millis("ts")).withColumn("__b", at(0))
-            .withColumn("__scan", F.lit(None)).withColumn("__kind", F.lit(1))
-            .withColumn("__id", F.col("event_id")))
-    right = scans.select(*keys, epoch_millis("ts").alias("__t"), F.col("event_id").alias("__id"),
-                         payload.alias("payload"))
-    right = (right.withColumn("__scan", F.struct(F.col("__t").alias("t"), "payload"))
-             .withColumn("__b", F.explode(F.array_distinct(F.array(at(-reach), at(0), at(reach)))))
-             .withColumn("__kind", F.lit(0)).drop("payload"))
-    both = left.drop("__scan").unionByName(right, allowMissingColumns=True)
-    window = Window.partitionBy(*keys, "__b").orderBy("__t", "__kind", "__id")
+    order = ["__t", "__kind", "__id"]
+    left = points.withColumns({"__t": epoch_millis("ts"), "__kind": F.lit(1),
+                               "__id": F.col("event_id")})
+    right = scans.select(*keys, epoch_millis("ts").alias("__t"), F.lit(0).alias("__kind"),
+                         F.col("event_id").alias("__id"), payload.alias("payload"))
+    right = right.withColumn("__scan", F.struct(F.col("__t").alias("t"), "payload"))
+    both = ranged(left.unionByName(right.drop("payload"), allowMissingColumns=True), keys, order)
+
+    at = F.when(F.col("__kind") == 0, F.struct("__t", "__id"))
+    ends = both.groupBy(*keys, "__range").agg(F.max_by("__scan", at).alias("__last"),
+                                              F.min_by("__scan", at).alias("__first"))
+    of_key = Window.partitionBy(*keys).orderBy("__range")
+    ends = ends.select(
+        *keys, "__range",
+        F.last("__last", ignorenulls=True).over(
+            of_key.rowsBetween(Window.unboundedPreceding, -1)).alias("__last"),
+        F.first("__first", ignorenulls=True).over(
+            of_key.rowsBetween(1, Window.unboundedFollowing)).alias("__first"))
+    carried = ends.select(*keys, "__range", F.inline(F.array(
+        F.struct(F.lit(-1).alias("__end"), F.col("__last").alias("__scan")),
+        F.struct(F.lit(1).alias("__end"), F.col("__first").alias("__scan")))))
+    every = both.withColumn("__end", F.lit(0)).unionByName(carried, allowMissingColumns=True)
+
+    window = Window.partitionBy(*keys, "__range").orderBy("__end", *order)
     before = F.last("__scan", ignorenulls=True).over(
         window.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("__scan", ignorenulls=True).over(
         window.rowsBetween(0, Window.unboundedFollowing))
-    out = both.withColumns({"__before": before, "__after": after}).where("__kind = 1")
+    out = every.withColumns({"__before": before, "__after": after}).where("__kind = 1")
+    reach = seconds * 1000
     back = F.col("__t") - F.col("__before.t")
     ahead = F.col("__after.t") - F.col("__t")
     best = (F.when((back <= reach) & (back <= F.coalesce(ahead, back)), F.col("__before"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dayprints import schemas
@@ -65,16 +65,20 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     stored_marks = read_table_or_empty(spark, "last_modification", store, schemas.MARKS)
     out = slot_tables(points, stored_marks, as_of)
 
-    header = cut_lineage(out.header.select("service", "user", "date").distinct())
+    days = Observation("user-days")
+    header = cut_lineage(out.header.select("service", "user", "date").distinct()
+                         .observe(days, F.count(F.lit(1)).alias("n")))
     stored = read_table_or_empty(spark, "mobility_summary", store, header.schema)
     write_table(marks.new_headers(header, stored), "mobility_summary", store)
     written = {}
     for name, rows, key in (("distance", out.distance, [*PARENT, "source", "type"]),
                             ("speed", out.speed, [*PARENT, "type"])):
         stored = read_table_or_empty(spark, name, store, rows.schema)
-        fresh = cut_lineage(marks.unstored(rows, stored, key))
-        written[name] = fresh.count()
+        seen = Observation(name)  # the count comes with the write
+        fresh = cut_lineage(marks.unstored(rows, stored, key)
+                            .observe(seen, F.count(F.lit(1)).alias("n")))
+        written[name] = seen.get["n"]
         write_table(fresh, name, store, partition_by="day")
     replace_table(out.marks, "last_modification", store)
-    return {"rows": written["distance"], "user_days": header.count(),
+    return {"rows": written["distance"], "user_days": days.get["n"],
             "seconds": time.monotonic() - began}

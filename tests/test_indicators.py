@@ -130,3 +130,37 @@ def test_list_pieces_give_the_whole_list(spark):
     pieces = [r["values"] for r in got.orderBy("piece").collect()]
     assert max(map(len, pieces)) == 64
     assert sum(pieces, []) == sorted(range(1000), key=lambda i: (i * 37) % 1000)
+
+
+def test_a_busy_minute_of_scans_spreads(spark, monkeypatch):
+    """Half of the points and scans of one key stand in a minute; several ranges share it."""
+    from pyspark.sql import functions as F
+
+    from dayprints.operators import wifi
+    start = 1_704_067_200_000
+    rows = spark.range(6_000).select(
+        F.col("id").alias("event_id"), F.lit("u").alias("user"),
+        F.timestamp_millis(F.lit(start) + F.when(F.col("id") % 2 == 0, F.col("id") * 10).otherwise(
+            F.col("id") * 977 * 60)).cast("timestamp_ntz").alias("ts"))
+    points, scans = rows.where("event_id % 5 > 0"), rows.where("event_id % 5 = 0")
+    seen = []
+    real = wifi.ranged
+
+    def watched(df, keys, order):
+        out = real(df, keys, order, ranges=64)
+        seen.extend(r["count"] for r in out.groupBy("__range").count().collect())
+        return out
+
+    monkeypatch.setattr(wifi, "ranged", watched)
+    got = {r["event_id"]: r["scan"] for r in wifi.nearest_scan(
+        points, scans, ["user"], F.col("event_id")).collect()}
+    assert len(seen) > 32 and max(seen) < 600
+    at = {r["event_id"]: r["ts"] for r in rows.collect()}
+    times = sorted((at[i], i) for i in at if i % 5 == 0)
+    for i, scan in got.items():
+        before = max((t for t in times if t[0] <= at[i]), default=None)
+        after = min((t for t in times if t[0] >= at[i]), default=None)
+        gaps = [(abs((t[0] - at[i]).total_seconds()), k, t[1])
+                for k, t in enumerate((before, after)) if t]
+        gap, _, scan_id = min(gaps)
+        assert (scan["payload"] == scan_id) if gap <= 60 else scan is None
