@@ -26,8 +26,7 @@ def slots_stream(spark, sf):
                                      F.col("ts").cast("timestamp").alias("event_time"))
     path = scratch_path(spark, "slots-out")
     slots.run_available(slots.slot_stream(rows), path, scratch_path(spark, "slots-state"))
-    out = spark.read.schema("service string, user string, slot_start timestamp, value double, "
-                            "samples bigint").parquet(path)
+    out = slots.emitted(spark, path, slots.CLOSED)
     return out.withColumns({"slot_start": F.col("slot_start").cast("timestamp_ntz"),
                             "value": rnd("value")})
 

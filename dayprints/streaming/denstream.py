@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from dayprints.functions.time import epoch_seconds
 from dayprints.operators.denstream import STATE, STATE_DDL, Clusters
 from dayprints.operators.microclusters import Params
+from dayprints.streaming import state
 
 OUT_DDL = f"user string, {STATE_DDL}, updated bigint, version bigint"
 
@@ -31,12 +32,12 @@ class PlaceProcessor(StatefulProcessor):
             "progress", "step bigint, t bigint, check_step bigint, version bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        p, state = self.p, Clusters(self.p)
+        p, places = self.p, Clusters(self.p)
         step, last_t, check_step, version = 0, None, -1, 0
         if self.progress.exists():
             step, last_t, check_step, version = self.progress.get()
             for row in self.clusters.get():
-                state.load(row[:8], row[8])
+                places.load(row[:8], row[8])
         batch = pd.concat(list(rows)).sort_values(["ts", "event_id"])
         offset = 1 if p.clock == "steps" else 0
         for x, y, seconds in zip(batch["longitude"], batch["latitude"], batch["seconds"]):
@@ -44,12 +45,12 @@ class PlaceProcessor(StatefulProcessor):
             t = step if p.clock == "steps" else int(seconds)
             period = (t - offset) // p.tp
             if last_t is not None and period > (last_t - offset) // p.tp:
-                state.prune(step - 1, period * p.tp)
-            state.add(float(x), float(y), step, t)
+                places.prune(step - 1, period * p.tp)
+            places.add(float(x), float(y), step, t)
             last_t = t
         if p.clock == "steps" and last_t % p.tp == 0:
-            state.prune(step, last_t)
-        faded = [self._fade(c, step) for c in state.dump()]
+            places.prune(step, last_t)
+        faded = [self._fade(c, step) for c in places.dump()]
         self.clusters.put([tuple(c) for c in faded])
         self.progress.update((step, last_t, check_step, version + 1))
         # a user without clusters still gets a row, or an older version would count
@@ -86,19 +87,5 @@ def current_clusters(emitted: DataFrame) -> DataFrame:
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what has arrived, appending every emitted state to a Parquet folder.
-
-    Each micro-batch writes its own folder, so a repeated batch replaces itself.
-    """
-    spark = stream.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(
-        provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        query = (stream.writeStream.outputMode("update")
-                 .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"))
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
+    """Process what has arrived, appending every emitted state to a Parquet folder."""
+    state.run_available(stream, path, checkpoint)

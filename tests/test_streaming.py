@@ -35,7 +35,7 @@ def test_slots_in_micro_batches(spark, folder):
     rows = _stream(spark, folder).withColumn("event_time", F.col("ts").cast("timestamp"))
     out = scratch_path(spark, "slots")
     slots.run_available(slots.slot_stream(rows), out, scratch_path(spark, "slots-cp"))
-    got = spark.read.parquet(out)
+    got = slots.emitted(spark, out, slots.CLOSED)
     points = events.datapoints(spark, SF)
     end = points.agg(F.max("ts")).first()[0]
     start = F.window("ts", "30 minutes")["start"]
@@ -48,6 +48,41 @@ def test_slots_in_micro_batches(spark, folder):
     assert got.count() > 100
 
 
+@pytest.mark.parametrize("order", [(2, 0, 1), (1, 2, 0)], ids=str)
+def test_late_rows_are_kept_aside(spark, order):
+    """Closed sums, late rows and the open rest are all rows, whatever came first."""
+    path, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
+    rows = events.datapoints(spark, SF).where("user in ('3', '7', '10')").select(
+        "service", "user", "distance", F.col("ts").cast("timestamp").alias("event_time"))
+    for part in order:
+        days = F.floor(F.dayofmonth("event_time") / 11) == part
+        rows.where(days).coalesce(1).write.mode("append").parquet(path)
+        checkpoint = f"{out}-checkpoint"
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        slots.run_available(slots.slot_stream(stream), out, checkpoint)
+    closed = slots.emitted(spark, out, slots.CLOSED).collect()
+    late = slots.emitted(spark, out, slots.LATE).collect()
+    end = rows.agg(F.max("event_time")).first()[0]
+    import datetime as dt
+    lag, slot = dt.timedelta(days=2), dt.timedelta(minutes=30)
+    assert late and len({(r["user"], r["slot_start"]) for r in closed}) == len(closed)
+    assert all(r["slot_start"] + slot <= end - lag for r in closed)
+    still_open = [r for r in rows.collect() if r["event_time"] >= end - lag]
+    assert sum(r["samples"] for r in closed) + len(late) <= rows.count()
+    assert sum(r["samples"] for r in closed) + len(late) + len(still_open) >= rows.count()
+    every = sorted((r["user"], r["event_time"], r["distance"]) for r in rows.collect())
+    times = [(r["user"], r["event_time"], r["value"]) for r in late]
+    assert all(t in every for t in times) and len(times) == len(set(times))
+    total = sum(r["value"] for r in closed) + sum(r["value"] for r in late)
+    done = {(r["user"], r["slot_start"]) for r in closed}
+    rest = [r for r in rows.collect() if (r["user"], r["event_time"].replace(
+        minute=r["event_time"].minute // 30 * 30, second=0, microsecond=0)) not in done
+        and (r["user"], r["event_time"], r["distance"]) not in times]
+    whole = sum(r["distance"] for r in rows.collect())
+    assert total + sum(r["distance"] for r in rest) == pytest.approx(whole)
+    assert all(r["event_time"] >= end - lag - slot for r in rest)
+
+
 @pytest.mark.parametrize("p", [mc.Params(tp=20), mc.Params(clock="seconds", tp=400_000)], ids=str)
 def test_clusters_in_micro_batches(spark, folder, p):
     out = scratch_path(spark, "clusters")
