@@ -34,11 +34,107 @@ STATE_DDL = ("weight double, LS1 double, LS2 double, SS1 double, SS2 double, N b
              "creationTimeStamp bigint, last_step bigint, type_cluster string")
 
 
+class Group:
+    """Clusters of one kind in the order of their arrival, with a grid over their centres.
+
+    A cluster is [*STATE, centre x, centre y, radius]. The nearest one, by distance to the centre
+    less the radius, is sought ring by ring around a sample; the search ends where the largest
+    radius so far cannot bring a centre beyond the ring nearer than the best one, or where no
+    cluster beyond it could take the sample. The answer is that of a scan of all clusters.
+    """
+
+    def __init__(self, p: Params):
+        self.p, self.side = p, 2 * p.eps
+        self.members: dict[int, list] = {}
+        self.cells: dict[tuple[int, int], dict[int, list]] = {}
+        self.arrived, self.widest = 0, 0.0
+        self.heaviest, self.lightest, self.since = 1.0, 1.0, 0
+
+    def __len__(self) -> int:
+        return len(self.members)
+
+    def _cell(self, x: float, y: float) -> tuple[int, int]:
+        return math.floor(x / self.side), math.floor(y / self.side)
+
+    def add(self, c: list) -> int:
+        number, self.arrived = self.arrived, self.arrived + 1
+        if not number:
+            self.since = c[7]
+        self.put(number, c)
+        return number
+
+    def put(self, number: int, c: list) -> None:
+        """A cluster at its place in the order, in the place of the one it grew from."""
+        old = self.members.get(number)
+        cell = self._cell(c[8], c[9])
+        if old is not None and (before := self._cell(old[8], old[9])) != cell:
+            self._leave(before, number)
+        self.members[number] = c
+        self.cells.setdefault(cell, {})[number] = c
+        self.widest = max(self.widest, c[10])
+        self.heaviest = max(self.heaviest, c[0])
+        self.lightest = min(self.lightest, c[0])
+        self.since = min(self.since, c[7])
+
+    def _leave(self, cell: tuple[int, int], number: int) -> None:
+        del self.cells[cell][number]
+        if not self.cells[cell]:
+            del self.cells[cell]
+
+    def pop(self, number: int) -> list:
+        c = self.members.pop(number)
+        self._leave(self._cell(c[8], c[9]), number)
+        return c
+
+    def _ring(self, i: int, j: int, ring: int):
+        if not ring:
+            yield i, j
+            return
+        for k in range(-ring, ring + 1):
+            yield i + k, j - ring
+            yield i + k, j + ring
+        for k in range(1 - ring, ring):
+            yield i - ring, j + k
+            yield i + ring, j + k
+
+    def nearest(self, x: float, y: float, step: int) -> int | None:
+        """The number of the nearest cluster; None if none could take the sample."""
+        best, number, seen, ring = math.inf, None, 0, 0
+        i, j = self._cell(x, y)
+        bound = lambda w: (w + 1) / math.sqrt(w)  # noqa: E731  see farthest_merge
+        faintest = self.lightest * 2.0 ** (-self.p.lam * (step - self.since))
+        reach = self.p.eps * max(bound(self.heaviest), bound(faintest))
+        while seen < len(self.members):
+            if 8 * ring > len(self.members):  # fewer clusters than cells to look at
+                groups = [self.members]
+            else:
+                cells = self.cells
+                groups = [cells[at] for at in self._ring(i, j, ring) if at in cells]
+            for group in groups:
+                for k, c in group.items():
+                    gap = math.hypot(x - c[8], y - c[9]) - c[10]
+                    if gap < best or gap == best and k < number:
+                        best, number = gap, k
+                seen += len(group)
+            beyond = ring * self.side  # clusters not seen are at least this far
+            if best < beyond - self.widest or number is None and beyond > reach:
+                break
+            ring += 1
+        return number
+
+    def any_within(self, x: float, y: float) -> bool:
+        """Is a centre nearer than two eps, the side of a cell?"""
+        i, j = self._cell(x, y)
+        return any(math.hypot(x - c[8], y - c[9]) < self.side
+                   for a in (i - 1, i, i + 1) for b in (j - 1, j, j + 1)
+                   for c in self.cells.get((a, b), {}).values())
+
+
 class Clusters:
-    """Clusters of one region: lists of [*STATE, centre x, centre y, radius]."""
+    """The potential and the outlier clusters of one region."""
 
     def __init__(self, p: Params):
-        self.p, self.potential, self.outliers, self.pruned = p, [], [], 0
+        self.p, self.potential, self.outliers, self.pruned = p, Group(p), Group(p), 0
 
     def _shape(self, c: list) -> list:
         w = c[0]
@@ -48,29 +144,28 @@ class Clusters:
         return c
 
     def load(self, state: Iterable, kind: str) -> None:
-        (self.potential if kind == POTENTIAL else self.outliers).append(self._shape(list(state)))
+        (self.potential if kind == POTENTIAL else self.outliers).add(self._shape(list(state)))
 
     def dump(self) -> Iterator[list]:
         for kind, group in ((POTENTIAL, self.potential), (OUTLIER, self.outliers)):
-            for c in group:
-                yield [*c[:8], kind]
+            for number in sorted(group.members):
+                yield [*group.members[number][:8], kind]
 
     def _with(self, c: list, x: float, y: float, step: int) -> list:
         f = 2.0 ** (-self.p.lam * (step - c[7]))
         return self._shape([c[0] * f + 1, c[1] * f + x, c[2] * f + y, c[3] * f + x * x,
                             c[4] * f + y * y, c[5] + 1, c[6], step])
 
-    def _join(self, group: list, x: float, y: float, step: int) -> int:
-        """Add the sample to the nearest cluster if it stays small; its index or -1."""
-        if not group:
+    def _join(self, group: Group, x: float, y: float, step: int) -> int:
+        """Add the sample to the nearest cluster if it stays small; its number or -1."""
+        number = group.nearest(x, y, step)
+        if number is None:
             return -1
-        i = min(range(len(group)),
-                key=lambda j: math.hypot(x - group[j][8], y - group[j][9]) - group[j][10])
-        grown = self._with(group[i], x, y, step)
+        grown = self._with(group.members[number], x, y, step)
         if grown[10] > self.p.eps:
             return -1
-        group[i] = grown
-        return i
+        group.put(number, grown)
+        return number
 
     def prune(self, step: int, t: int) -> None:
         """Drop light clusters as of a step; earlier checks are implied by the last."""
@@ -81,21 +176,22 @@ class Clusters:
         weight = lambda c: c[0] * 2.0 ** (-p.lam * (step - c[7]))
         fresh = 2.0 ** (-p.lam * p.tp) - 1
         limit = lambda c: (2.0 ** (-p.lam * (t - c[6] + p.tp)) - 1) / fresh
-        self.potential = [c for c in self.potential if weight(c) >= p.core_weight]
-        self.outliers = [c for c in self.outliers if weight(c) >= limit(c)]
+        for group, least in ((self.potential, lambda c: p.core_weight), (self.outliers, limit)):
+            for number in [k for k, c in group.members.items() if not weight(c) >= least(c)]:
+                group.pop(number)
 
     def add(self, x: float, y: float, step: int, t: int) -> str:
         """Merge one sample; returns the kind of cluster it went to."""
         if self._join(self.potential, x, y, step) >= 0:
             return POTENTIAL
-        i = self._join(self.outliers, x, y, step)
-        if i >= 0:
-            if self.outliers[i][0] > self.p.core_weight:
-                self.potential.append(self.outliers.pop(i))
+        number = self._join(self.outliers, x, y, step)
+        if number >= 0:
+            if self.outliers.members[number][0] > self.p.core_weight:
+                self.potential.add(self.outliers.pop(number))
             return OUTLIER
-        near = any(math.hypot(x - c[8], y - c[9]) < 2 * self.p.eps for c in self.potential)
+        near = self.potential.any_within(x, y)
         new = self._shape([1.0, x, y, x * x, y * y, 1, t, step])
-        (self.potential if near else self.outliers).append(new)
+        (self.potential if near else self.outliers).add(new)
         return POTENTIAL if near else OUTLIER
 
 

@@ -170,6 +170,57 @@ def test_samples_without_a_user_are_one_user(spark, table, p):
     assert_same(collected(both), direct(data, p))
 
 
+class Scan(den.Group):
+    """The nearest cluster by looking at all of them."""
+
+    looked = 0
+
+    def nearest(self, x, y, step):
+        if not self.members:
+            return None
+        return min(self.members, key=lambda k: (math.hypot(
+            x - self.members[k][8], y - self.members[k][9]) - self.members[k][10], k))
+
+
+@pytest.mark.parametrize("p", [mc.Params(tp=10**9), mc.Params(tp=50, lam=0.01),
+                               mc.Params(tp=400, lam=0.2)], ids=str)
+def test_the_grid_finds_what_a_scan_finds(p):
+    rng = np.random.default_rng(11)
+    one, other = den.Clusters(p), den.Clusters(p)
+    other.potential, other.outliers = Scan(p), Scan(p)
+    # crowded and scattered places, some samples just around the border of a cluster
+    centres = rng.uniform(0, 0.05, (40, 2))
+    for step in range(1, 4001):
+        x, y = centres[rng.integers(40)] + rng.normal(0, rng.choice([1e-4, 6e-4, 5e-3]), 2)
+        if step % p.tp == 0:
+            one.prune(step - 1, step), other.prune(step - 1, step)
+        assert one.add(x, y, step, step) == other.add(x, y, step, step)
+    assert list(one.dump()) == list(other.dump())
+
+
+def test_time_per_sample_does_not_grow_with_the_clusters(monkeypatch):
+    """Distances measured per sample, with 200 and with 20,000 clusters around."""
+    rng = np.random.default_rng(4)
+    measured = {}
+    for n in (200, 20_000):
+        clusters, side = den.Clusters(mc.Params()), 0.01 * math.sqrt(n)
+        for x, y in rng.uniform(0, side, (n, 2)):
+            clusters.load([1.0, x, y, x * x, y * y, 1, 0, 0], mc.OUTLIER)
+        calls = [0]
+
+        def counted(*args, calls=calls):
+            calls[0] += 1
+            return math.hypot(*args)
+
+        monkeypatch.setattr(den, "math", type("M", (), {**vars(math), "hypot": counted}))
+        for i, (x, y) in enumerate(rng.uniform(0, side, (500, 2))):
+            clusters.add(x, y, i + 1, i + 1)
+        monkeypatch.undo()
+        measured[n] = calls[0] / 500
+    print("distances per sample:", measured)
+    assert measured[20_000] < 2 * measured[200] + 5 and measured[20_000] < 50
+
+
 def test_far_places_are_separate_regions(table):
     rows = frame(table, tracks()).select("user", F.col("longitude").alias("x"),
                                          F.col("latitude").alias("y"))
