@@ -11,6 +11,7 @@ from dayprints.functions.time import epoch_seconds
 from dayprints.operators import denstream as den
 from dayprints.operators import filters
 from dayprints.operators import microclusters as mc
+from dayprints.operators import silhouette as silhouettes
 from dayprints.session import cut_lineage
 
 EPS = 0.00047
@@ -30,6 +31,14 @@ def dbscan(spark, sf):
     return db.dbscan(_positions(spark, sf), db.Euclidean(EPS))
 
 
+def silhouette_squared(spark, sf):
+    """How well the density clusters of a user's positions separate; noise is one more."""
+    rows = _positions(spark, sf)
+    labels = db.dbscan(rows, db.Euclidean(EPS)).select("event_id", "label")
+    out = silhouettes.silhouette_squared(rows.join(labels, on="event_id"), "user")
+    return out.withColumn("silhouette", rnd("silhouette", 5))
+
+
 def _place_points(spark, sf):
     """Slow positions of a service with the wifi seen within a minute of them."""
     rows = points(spark, sf)
@@ -132,6 +141,7 @@ PRUNED_AT = 1706000000  # 2024-01-23
 QUERIES = {
     "eps_neighbours": eps_neighbours,
     "dbscan": dbscan,
+    "silhouette_squared": silhouette_squared,
     "dbscan_multimodal": dbscan_multimodal,
     "cluster_summary": cluster_summary,
     "denstream": denstream,
@@ -310,6 +320,25 @@ ORACLES = {
         select "user", event_id, cast(case when event_id in (select a from core) then 1 else 0 end
           as integer) as core from p""",
     "dbscan": (_PAIRS + _LABELS.format(by='"user"')).replace("with ", "with recursive ", 1),
+    "silhouette_squared": (_PAIRS + _LABEL_CTES + """,
+        pt as (
+          select p."user", p.event_id, p.x, p.y, coalesce(lab.label, -1) as label
+          from p left join lab on lab.a = p.event_id),
+        sh as (
+          select "user", label, count(*) as n, avg(x) as mx, avg(y) as my,
+            var_pop(x) + var_pop(y) as v from pt group by all),
+        d as (
+          select pt."user", pt.event_id, sh.label = pt.label as own, sh.n,
+            (x - mx) * (x - mx) + (y - my) * (y - my) + v as d
+          from pt join sh on sh."user" = pt."user"),
+        ab as (
+          select "user", event_id, max(n) filter (where own) as size,
+            max(case when own and n > 1 then d * n / (n - 1) end) as a,
+            min(d) filter (where not own) as b from d group by all)
+        select "user", round(avg(case when size = 1 then 0
+          else coalesce((b - a) / nullif(greatest(a, b), 0), 0) end), 5) as silhouette
+        from ab where b is not null group by "user\"""").replace(
+            "with ", "with recursive ", 1),
     "dbscan_multimodal": (_PLACES + _LABELS.format(by="service")).replace(
         "with ", "with recursive ", 1),
     "denstream_init": (_PAIRS.replace('"user"', "service").replace(

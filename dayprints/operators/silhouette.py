@@ -1,6 +1,9 @@
-"""Silhouette of a labelling, exact for Euclidean distance.
+"""Silhouette of a labelling: exact for Euclidean distance, or linear for squared distance.
 
-Equal positions of a cluster are one weighted position. Every position needs its
+``silhouette_squared`` needs each cluster's size, mean and spread only: the mean squared distance
+of a point to a cluster's members is its squared distance to their mean plus their variance.
+
+``silhouette`` is the Euclidean one. Equal positions of a cluster are one weighted position. Every position needs its
 distance sum to every cluster, so the arithmetic is quadratic in a key's
 positions by definition. They are dealt into blocks of bounded size; a pair of
 blocks is one row, spread over all tasks, and only sums per (position, cluster)
@@ -16,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayprints.operators.keyed import join_same
 from dayprints.session import cut_lineage, measured
 
 BLOCK = 1024
@@ -86,3 +90,36 @@ def silhouette(df: DataFrame, by: str, **columns) -> DataFrame:
     spots = position_silhouettes(df, by, **columns)
     return spots.groupBy(by).agg(
         (F.sum(F.col("silhouette") * F.col("weight")) / F.sum("weight")).alias("silhouette"))
+
+
+def silhouette_squared(df: DataFrame, by: str, label: str = "label", x: str = "longitude",
+                       y: str = "latitude") -> DataFrame:
+    """Mean silhouette per key under squared Euclidean distance, in one pass over the points.
+
+    With d(p, C) = |p - mean of C|^2 + variance of C, the mean squared distance to C's members:
+    a = d(p, own) * n / (n - 1), without the point itself, b = the least d(p, other), and the
+    silhouette (b - a) / max(a, b). A cluster of one has 0; noise (-1) counts as a cluster; keys
+    with a single label are left out; points with a null are too. The time is the number of
+    points times a key's clusters, which stand as one list per key.
+    """
+    points = df.select(by, F.col(label).alias("l"), F.col(x).alias("x"),
+                       F.col(y).alias("y")).dropna(subset=["l", "x", "y"])
+    shapes = points.groupBy(by, "l").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
+        (F.var_pop("x") + F.var_pop("y")).alias("var"))
+    lists = measured(shapes.groupBy(by).agg(F.collect_list(
+        F.struct("l", "n", "mx", "my", "var")).alias("clusters")).where(F.size("clusters") > 1))
+    rows = join_same(points, lists, [by])
+
+    def away(c):
+        dx, dy = F.col("x") - c["mx"], F.col("y") - c["my"]
+        return dx * dx + dy * dy + c["var"]
+
+    own = F.filter("clusters", lambda c: c["l"] == F.col("l"))[0]
+    others = F.filter("clusters", lambda c: c["l"] != F.col("l"))
+    a = away(own) * own["n"] / F.nullif(own["n"] - 1, F.lit(0))
+    rows = rows.select(by, a.alias("a"), F.array_min(F.transform(others, away)).alias("b"))
+    s = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)),
+                   F.lit(0.0))
+    return rows.groupBy(by).agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(s))
+                                .alias("silhouette"))

@@ -177,3 +177,24 @@ def test_sparse_points_open_few_boxes_of_a_crowded_cell(spark, monkeypatch):
     assert all(core[i] == 1 for i in range(100_000))
     assert sum(compared) < 1_000_000  # all pairs would be 20 million
     print("pairs of points and boxes:", compared)
+
+
+def test_squared_silhouette_equals_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for user, n in (("u", 120), (None, 60)):
+        xy, label = rng.normal(0, 1, (n, 2)), rng.integers(-1, 3, n)
+        label[0] = 9
+        d = ((xy[:, None, :] - xy[None, :, :]) ** 2).sum(axis=2)
+        each = []
+        for i in range(n):
+            mine = label == label[i]
+            a = d[i][mine].sum() / max(mine.sum() - 1, 1)
+            b = min(d[i][label == k].mean() for k in set(label) - {label[i]})
+            each.append(0.0 if mine.sum() == 1 else (b - a) / max(a, b))
+        want[user] = np.mean(each)
+        rows += [(user, float(x), float(y), int(k)) for (x, y), k in zip(xy, label)]
+    rows += [("one label", 1.0, 2.0, 3), ("one label", 1.5, 2.0, 3), ("u", None, 1.0, 1)]
+    df = spark.createDataFrame(rows, "user string, longitude double, latitude double, label int")
+    got = {r["user"]: r["silhouette"] for r in silhouette.silhouette_squared(df, "user").collect()}
+    assert got == pytest.approx(want)
