@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dayprints import schemas
 from dayprints.operators import filters, marks, slots
-from dayprints.session import cut_lineage
+from dayprints.session import cut_lineage, own_steps
 from dayprints.sources.tables import read_table_or_empty, replace_table, write_table
 
 DATA_TYPE = "mobility"
@@ -61,6 +61,11 @@ def run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     Marks are written last, and each table takes only rows whose key it does not hold
     yet, so a run that died anywhere is simply repeated.
     """
+    with own_steps(spark):
+        return _run(spark, points, store, as_of)
+
+
+def _run(spark, points: DataFrame, store: dict, as_of: str) -> dict:
     began = time.monotonic()
     stored_marks = read_table_or_empty(spark, "last_modification", store, schemas.MARKS)
     out = slot_tables(points, stored_marks, as_of)

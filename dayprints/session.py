@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +49,31 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+_steps: list[str] = []  # paths handed out, so that jobs can delete their own
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/dayprints/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/dayprints/{name}-{uuid.uuid4().hex}"
+    _steps.append(path)
+    return path
+
+
+@contextmanager
+def own_steps(spark: SparkSession) -> Iterator[None]:
+    """Deletes the steps written inside, once the job's result stands in its tables.
+
+    Only for jobs that give no DataFrame away: what reads a step must be done with it. If the job
+    fails, its steps stay, and the next run writes its own. Jobs of one driver process that run
+    at the same time must not share this.
+    """
+    begin = len(_steps)
+    yield
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _steps[begin:]:
+        at = hadoop.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    del _steps[begin:]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

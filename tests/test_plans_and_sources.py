@@ -183,3 +183,14 @@ def test_jdbc_credentials_come_from_options_or_environment(monkeypatch):
     monkeypatch.setenv("DAYPRINTS_DB_USER", "reader")
     assert tables._jdbc_options({"url": "u"})["user"] == "reader"
     assert tables._jdbc_options({"url": "u", "user": "me"})["user"] == "me"
+
+
+def test_a_job_deletes_its_own_steps(spark, store):
+    from pathlib import Path
+
+    from dayprints import session
+    kept = session.cut_lineage(spark.range(3).toDF("id"))
+    folder = Path(session.shared_dir(spark).removeprefix("file:")) / "dayprints"
+    before = set(folder.iterdir())
+    mobility.run(spark, events.datapoints(spark, SF), store, "2024-01-20")
+    assert set(folder.iterdir()) - before <= {Path(store["path"])} and kept.count() == 3
