@@ -147,7 +147,7 @@ def test_replaced_table_keeps_the_last_complete_version(spark, store):
         assert tables.read_table(spark, "t", store).count() == n
     tables.replace_table(tables.read_table(spark, "t", store).where("id > 0"), "t", store)
     assert tables.read_table(spark, "t", store).count() == 3
-    assert tables._versions(spark, f"{store['path']}/t") == [3, 4]
+    assert tables._numbered(spark, f"{store['path']}/t", "version")[0] == [3, 4]
 
 
 def test_readers_on_files(spark, tmp_path):
@@ -194,3 +194,41 @@ def test_a_job_deletes_its_own_steps(spark, store):
     before = set(folder.iterdir())
     mobility.run(spark, events.datapoints(spark, SF), store, "2024-01-20")
     assert set(folder.iterdir()) - before <= {Path(store["path"])} and kept.count() == 3
+
+
+def test_an_append_is_whole_or_absent(spark, store):
+    def broken(batches):
+        from pyspark import TaskContext
+        for batch in batches:
+            yield batch
+        if TaskContext.get().partitionId() == 3:
+            raise RuntimeError("this task dies")
+
+    rows = lambda n, day: spark.range(n).select(
+        "id", F.lit(day).cast("date").alias("day"))
+    assert tables.read_table_or_empty(spark, "t", store, "id bigint, day date").count() == 0
+    bad = rows(40, "2024-01-01").repartition(4).mapInArrow(broken, "id bigint, day date")
+    with pytest.raises(Exception, match="dies"):
+        tables.write_table(bad, "t", store)
+    assert tables.read_table_or_empty(spark, "t", store, "id bigint, day date").count() == 0
+    tables.write_table(rows(5, "2024-01-01"), "t", store, partition_by="day")
+    with pytest.raises(Exception, match="dies"):
+        tables.write_table(bad, "t", store, partition_by="day")
+    # a driver that dies while files are moved leaves some of them, without the mark
+    path = f"{store['path']}/t"
+    rows(7, "2024-01-02").write.partitionBy("day").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/append=1")
+    read = tables.read_table(spark, "t", store)
+    assert read.count() == 5 and read.columns == ["id", "day"]
+    tables.write_table(rows(2, "2024-01-03"), "t", store, partition_by="day")
+    read = tables.read_table(spark, "t", store)
+    assert {str(r["day"]): r["count"] for r in read.groupBy("day").count().collect()} == {
+        "2024-01-01": 5, "2024-01-03": 2}
+    tables.write_table(rows(1, "2024-01-04"), "t", store, "overwrite")
+    assert tables.read_table(spark, "t", store).count() == 1
+
+
+def test_folders_written_otherwise_are_read_and_appended(spark, store):
+    spark.range(3).toDF("id").write.parquet(f"{store['path']}/plain")
+    tables.write_table(spark.range(2).toDF("id"), "plain", store)
+    assert tables.read_table(spark, "plain", store).count() == 5
