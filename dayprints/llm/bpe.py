@@ -16,6 +16,7 @@ import json
 import math
 import re
 import struct
+import sys
 from collections.abc import Iterator
 from itertools import chain
 
@@ -208,7 +209,7 @@ class Encoder:
     MAX_STATES = 160_000
     MAX_MOVES = 320_000
     LEARN = 50_000  # pieces that step through the machine side by side
-    MAX_PIECES = 100_000
+    MAX_PIECES = 200_000
     TOGETHER = 1_000_000
     LOOKAHEAD = 64
 
@@ -222,8 +223,8 @@ class Encoder:
         self._sizes[list(self.size)] = list(self.size.values())
         self.written = {i: str(i) for i in self.size}
         self._reset()
-        self._new: dict[str, list[int]] = {}
-        self._old: dict[str, list[int]] = {}
+        self._new: dict[str, bytes] = {}  # pieces and their ids, packed
+        self._old: dict[str, bytes] = {}
 
     def _reset(self) -> None:
         self._paths: list[bytes] = []  # packed, as tuples of numbers take thrice the room
@@ -316,8 +317,8 @@ class Encoder:
         del ends[:agreed]
         return out
 
-    def _learn(self, raws: list[bytes]) -> list[list[int]]:
-        """Token ids of some short pieces, which step through the machine side by side, so that
+    def _learn(self, raws: list[bytes]) -> list[bytes]:
+        """Packed token ids of some short pieces, which step through the machine side by side, so that
         every move is looked up once for all pieces that make it."""
         lengths = np.fromiter(map(len, raws), np.int64, len(raws))
         order = np.argsort(-lengths, kind="stable")
@@ -348,7 +349,7 @@ class Encoder:
             at = at - np.where(at > 0, self._sizes[token], 0)
         matrix = np.stack(columns[::-1], axis=1)
         real = matrix >= 0
-        flat, bounds = matrix[real].tolist(), np.cumsum(real.sum(axis=1)).tolist()
+        flat, bounds = matrix[real].tobytes(), (4 * np.cumsum(real.sum(axis=1))).tolist()
         found: list = [None] * len(raws)
         for i, a, b in zip(order.tolist(), [0, *bounds], bounds):
             found[i] = flat[a:b]
@@ -367,9 +368,9 @@ class Encoder:
         for piece in missing.difference(old):
             raw = piece.encode("utf-8")
             if self.whole and raw in ids:
-                known[piece] = [ids[raw]]
+                known[piece] = ids[raw].to_bytes(4, sys.byteorder)
             elif len(raw) > self.LOOKAHEAD:
-                known[piece] = self.encode_bytes(raw)
+                known[piece] = np.array(self.encode_bytes(raw), np.int32).tobytes()
                 long.append(piece)
             else:
                 fresh.append(piece)
@@ -377,7 +378,8 @@ class Encoder:
         for at in range(0, len(fresh), self.LEARN):
             part = slice(at, at + self.LEARN)
             known.update(zip(fresh[part], self._learn(raws[part]), strict=True))
-        out = [list(chain.from_iterable(map(known.__getitem__, f))) for f in found]
+        out = [np.frombuffer(b"".join(map(known.__getitem__, f)), np.int32).tolist()
+               for f in found]
         for piece in long:
             del known[piece]
         return out
