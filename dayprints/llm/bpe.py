@@ -127,7 +127,7 @@ class Merges:
         key = a << 24 | b
         known = self.known_fits.get(key)
         if known is None:
-            if len(self.known_fits) > 300_000:  # a cache, not a table: it can be refilled
+            if len(self.known_fits) > 150_000:  # a cache, not a table: it can be refilled
                 self.known_fits.clear()
             known = self.known_fits[key] = self._derive(a, b)
         return known
@@ -209,7 +209,7 @@ class Encoder:
     MAX_STATES = 160_000
     MAX_MOVES = 320_000
     LEARN = 50_000  # pieces that step through the machine side by side
-    MAX_PIECES = 200_000
+    MAX_PIECES = 150_000
     TOGETHER = 1_000_000
     LOOKAHEAD = 64
 

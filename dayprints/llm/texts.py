@@ -30,6 +30,14 @@ def lean(parts: Iterator) -> Iterator:
         _give_back()
 
 
+def in_slices(parts: Iterator, rows: int = 1024) -> Iterator:
+    """The batches of a task in slices of some rows; what is made of one leaves before the next."""
+    for part in lean(parts):
+        for at in range(0, max(1, len(part)), rows):
+            yield part.slice(at, rows)
+            _give_back()
+
+
 def _give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayprints.llm import bpe
-from dayprints.llm.texts import lean, struct_array
+from dayprints.llm.texts import in_slices, lean, struct_array
 
 
 def load(spark: SparkSession, path: str) -> Broadcast:
@@ -41,7 +41,7 @@ def encoded(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
-        for part in lean(parts):
+        for part in in_slices(parts):
             texts = (v.as_py() for v in part)
             yield pa.array(list(encoder.encode_all(texts)), pa.list_(pa.int32()))
 
@@ -75,7 +75,7 @@ def round_trip(text: Column, vocabulary: Broadcast, pattern: str,
         encoder = _tool(vocabulary, bpe.Encoder, pattern)
         decoder = _tool(vocabulary, bpe.Decoder)
         written = encoder.written
-        for part in lean(parts):
+        for part in in_slices(parts):
             rows, kept = [], []
             texts = (v.as_py() for v in part)
             for value, ids in zip(part, encoder.encode_all(texts), strict=True):
