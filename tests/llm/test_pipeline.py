@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_equals_its_sql(spark, key):
     con = duckdb.connect()
-    for name in ("pages", "documents"):
+    for name in ("pages", "documents", "embeddings"):
         con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     result = con.execute(ORACLES[key])
     names = [d[0] for d in result.description]
@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, key):
 def test_all_are_registered():
     keys = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(keys)
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
 
 
 def test_pipeline_stages_take_effect(spark):
