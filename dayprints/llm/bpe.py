@@ -65,8 +65,9 @@ def read_json(path: str) -> dict:
 class Merges:
     """Merge rules with each token's derivation, learnt when first asked for."""
 
-    def __init__(self, vocabulary: dict):
+    def __init__(self, vocabulary: dict, most_fits: int = 300_000):
         self.ids: dict[bytes, int] = vocabulary["ids"]
+        self.most_fits = most_fits
         self.bytes_of = {i: t for t, i in self.ids.items()}
         pairs = vocabulary["pairs"]
         if pairs is None:
@@ -127,7 +128,7 @@ class Merges:
         key = a << 24 | b
         known = self.known_fits.get(key)
         if known is None:
-            if len(self.known_fits) > 150_000:  # a cache, not a table: it can be refilled
+            if len(self.known_fits) > self.most_fits:  # a cache, not a table: it can be refilled
                 self.known_fits.clear()
             known = self.known_fits[key] = self._derive(a, b)
         return known
@@ -214,7 +215,7 @@ class Encoder:
     LOOKAHEAD = 64
 
     def __init__(self, vocabulary: dict, pattern: str):
-        self.merges = Merges(vocabulary)
+        self.merges = Merges(vocabulary, most_fits=150_000)
         self.trie = Trie(self.merges)
         self.whole = vocabulary["whole"]
         self.pieces = regex.compile(pattern)
