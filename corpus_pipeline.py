@@ -3,6 +3,11 @@
 Language ID, toxicity and decontamination drop documents, the n-gram join keeps one document of
 each group of near copies, and the last stage encodes what remains. All but the last return the
 columns of ``documents``.
+
+Null, empty and letterless texts have no language, so they go in the first stage. Rows that
+repeat an id are judged one by one, but near copies keep every row of the id that stands for its
+group; rows without an id are kept there only if their whole group has none. Texts are read whole.
+Empty tables give empty results; other columns of ``documents`` are carried along.
 """
 
 from __future__ import annotations
