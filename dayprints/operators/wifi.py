@@ -71,23 +71,27 @@ def nearest_scan(points: DataFrame, scans: DataFrame, keys: list[str], payload:
     at = F.when(F.col("__kind") == 0, F.struct("__t", "__id"))
     ends = both.groupBy(*keys, "__range").agg(F.max_by("__scan", at).alias("__last"),
                                               F.min_by("__scan", at).alias("__first"))
-    of_key = Window.partitionBy(*keys).orderBy("__range")
+    behind = (Window.unboundedPreceding, -1)
+    of_key = Window.partitionBy(*keys)
     ends = ends.select(
         *keys, "__range",
         F.last("__last", ignorenulls=True).over(
-            of_key.rowsBetween(Window.unboundedPreceding, -1)).alias("__last"),
-        F.first("__first", ignorenulls=True).over(
-            of_key.rowsBetween(1, Window.unboundedFollowing)).alias("__first"))
+            of_key.orderBy("__range").rowsBetween(*behind)).alias("__last"),
+        F.last("__first", ignorenulls=True).over(
+            of_key.orderBy(F.desc("__range")).rowsBetween(*behind)).alias("__first"))
     carried = ends.select(*keys, "__range", F.inline(F.array(
         F.struct(F.lit(-1).alias("__end"), F.col("__last").alias("__scan")),
         F.struct(F.lit(1).alias("__end"), F.col("__first").alias("__scan")))))
     every = both.withColumn("__end", F.lit(0)).unionByName(carried, allowMissingColumns=True)
 
-    window = Window.partitionBy(*keys, "__range").orderBy("__end", *order)
+    # a frame up to the last row is summed up anew for each row, so the scan behind a point is
+    # sought backwards
+    window = Window.partitionBy(*keys, "__range")
+    so_far = (Window.unboundedPreceding, 0)
     before = F.last("__scan", ignorenulls=True).over(
-        window.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("__scan", ignorenulls=True).over(
-        window.rowsBetween(0, Window.unboundedFollowing))
+        window.orderBy("__end", *order).rowsBetween(*so_far))
+    after = F.last("__scan", ignorenulls=True).over(
+        window.orderBy(*[F.desc(c) for c in ["__end", *order]]).rowsBetween(*so_far))
     out = every.withColumns({"__before": before, "__after": after}).where("__kind = 1")
     reach = seconds * 1000
     back = F.col("__t") - F.col("__before.t")

@@ -164,3 +164,14 @@ def test_a_busy_minute_of_scans_spreads(spark, monkeypatch):
                 for k, t in enumerate((before, after)) if t]
         gap, _, scan_id = min(gaps)
         assert (scan["payload"] == scan_id) if gap <= 60 else scan is None
+
+
+def test_nearest_scan_takes_no_frame_up_to_the_last_row(table):
+    """Such a frame is summed up anew for each row: its time grows with the square of a range."""
+    points = table([("u", "2024-01-01 10:00:00", 1)], SCAN)
+    scans = table([("u", "2024-01-01 10:00:30", 2), ("u", "2024-01-01 10:00:30", 3),
+                   ("u", "2024-01-01 10:00:40", 4)], SCAN)
+    out = wifi.nearest_scan(points, scans, ["user"], F.col("event_id"))
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+    assert out.first()["scan"]["payload"] == 2  # the first of equal times behind the point
