@@ -11,7 +11,10 @@ Points fall into cells so small that any two points of a cell are neighbours.
   straddle the point's circle are opened into the finer ones inside.
 * Two dense cells are linked when a pair of their points is near. Bounding boxes
   decide most pairs; undecided ones are split into eighths until boxes decide or
-  shrink to single positions, so only aggregated boxes are ever compared.
+  shrink to single positions, so only aggregated boxes are ever compared. Where
+  scans count, members with equal scans meet in a join on the scan first; members
+  with different ones are left to pairs so close that these can link, of cells
+  that are not connected by then.
 
 Clusters are the components of the graph of cells; a cluster is known by its
 smallest core id, border points take the smallest cluster they touch, noise is -1.
@@ -163,6 +166,26 @@ def _decided(metric, pairs: DataFrame, keep: list[str]) -> DataFrame:
             .select(*keep, (F.col("__high") <= metric.eps).alias("linked")))
 
 
+def _differing(metric, pairs: DataFrame) -> DataFrame:
+    """Pairs of boxes that points with different scans may link: one access point at least."""
+    p, q = F.col("a"), F.col("b")
+    args = {c: (p[f"{c}0"], p[f"{c}1"], q[f"{c}0"], q[f"{c}1"]) for c in ("x", "y", "z")}
+    same = ((p["sig0"] == p["sig1"]) & (q["sig0"] == q["sig1"]) & (p["sig0"] == q["sig0"]))
+    low = _norm(_gap(*args["x"]), _gap(*args["y"])) * metric.factor(
+        _gap(*args["z"]), F.lit(1.0) / p["vocab"])
+    return pairs.where(~same & (low * (1 - _SURE) <= metric.eps))
+
+
+def _unconnected(open_: DataFrame, links: DataFrame) -> DataFrame:
+    """Open pairs of cells that the links do not connect, directly or through others."""
+    found = components(links)
+    for n in ("an", "bn"):
+        open_ = open_.join(found.select(F.col("node").alias(n), F.col("component").alias(f"{n}_of")),
+                           on=n, how="left")
+    of = [F.coalesce(f"{n}_of", n) for n in ("an", "bn")]
+    return open_.where(of[0] != of[1]).drop("an_of", "bn_of")
+
+
 def _around(rx: str = "rx", ry: str = "ry") -> list[Column]:
     """The 3 x 3 wide cells around a wide cell, as exploded columns."""
     near = F.array(*[F.struct((F.col(rx) + i).alias("rx"), (F.col(ry) + j).alias("ry"))
@@ -177,7 +200,8 @@ class _Grid:
         self.metric, self.min_pts = metric, min_pts
         m = metric.divisions()
         side = F.lit(metric.reach) / m
-        pts = df.select(F.col(by).alias("by"), F.col(id_).alias("id"), "x", "y", "z", "sig", "vocab")
+        pts = df.select(F.col(by).alias("by"), F.col(id_).alias("id"), "x", "y", "z",
+                        F.array_sort("sig").alias("sig"), "vocab")  # as a set, in one order
         pts = pts.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side),
                                "cz": metric.band(), "side": side, "m": m})
         pts = pts.withColumns({"rx": F.floor(F.col("cx") / F.col("m")),
@@ -233,51 +257,95 @@ class _Grid:
             F.sum("n").alias("n"))
 
     def dense_links(self) -> DataFrame:
-        """Pairs of dense cells holding a pair of neighbours, as (a, b) nodes."""
-        dense = self.cells.where("dense")
-        left = dense.select("by", F.col("node").alias("an"), _box("a"), *_around())
-        right = dense.select("by", "rx", "ry", F.col("node").alias("bn"), _box("b"))
-        pairs = left.join(right, on=["by", "rx", "ry"]).where("an < bn")
-        state = cut_lineage(_decided(self.metric, pairs, ["an", "bn"]))
+        """Pairs of dense cells holding a pair of neighbours, as (a, b) nodes.
+
+        Where scans count, pairs of cells that others connect may be left out.
+        """
+        scans = isinstance(self.metric, Multimodal)
+        pairs = self._cell_pairs(self.cells.where("dense"))
+        state = cut_lineage(_decided(self.metric, pairs, ["an", "bn", *(["a", "b"] if scans else [])]))
         links = state.where("linked").select("an", "bn")
-        open_ = state.where(~F.col("linked")).select(
-            "an", "bn", *[F.array().cast("array<bigint>").alias(s) for s in ("sa", "sb")])
+        open_ = state.where(~F.col("linked"))
+        up = F.array().cast("array<bigint>")
+        if scans and not open_.isEmpty():
+            links = cut_lineage(links.unionByName(self._same_scan_links(open_)).distinct())
+            open_ = _differing(self.metric, open_)
+        open_ = open_.select("an", "bn", up.alias("sa"), up.alias("sb"))
         level = 0
         while not open_.isEmpty():
+            if scans:
+                open_ = cut_lineage(_unconnected(open_, links))
             level += 1
-            open_, found = self._split(open_, level)
+            open_, found = self._split(open_, level, differing=scans)
             links = links.unionByName(found)
         return links
 
-    def _sub_cell(self, level: int) -> Column:
-        """Position inside the cell at a level: SPLIT divisions per level and axis."""
+    def _cell_pairs(self, cells: DataFrame, *keys: str) -> DataFrame:
+        """Pairs of cells, or of their parts of equal keys, that are not too far by their columns."""
+        left = cells.select("by", *keys, F.col("node").alias("an"), _box("a"), *_around())
+        right = cells.select("by", *keys, "rx", "ry", F.col("node").alias("bn"), _box("b"))
+        return left.join(right, on=["by", "rx", "ry", *keys]).where("an < bn")
+
+    def _same_scan_links(self, open_: DataFrame) -> DataFrame:
+        """Pairs of the cells in ``open_`` that neighbours with equal scans link.
+
+        Only what shares a scan is compared, so the work follows the number of points and not
+        its square.
+        """
+        wanted = open_.select(F.col("an").alias("node")).unionByName(
+            open_.select(F.col("bn").alias("node"))).distinct()
+        parts = cut_lineage(self.points.where("dense").join(wanted, on="node", how="left_semi")
+                            .groupBy("by", "rx", "ry", "node", "sig").agg(*_box_aggregates()))
+        state = cut_lineage(_decided(self.metric, self._cell_pairs(parts, "sig"),
+                                     ["an", "bn", "sig"]))
+        links = state.where("linked").select("an", "bn").distinct()
+        up = F.array(F.xxhash64("sig"))
+        left = (state.where(~F.col("linked")).join(links, on=["an", "bn"], how="left_anti")
+                .select("an", "bn", up.alias("sa"), up.alias("sb")))
+        level = 0
+        while not left.isEmpty():
+            level += 1
+            left, found = self._split(left, level, scan_from=0)
+            links = links.unionByName(found)
+        return links
+
+    def _sub_cell(self, level: int, scan_from: int) -> Column:
+        """Position inside the cell at a level: SPLIT divisions per level and axis.
+
+        The scan is part of it from the level ``scan_from`` on.
+        """
+        if not level:
+            return F.array(*[F.xxhash64("sig")] if not scan_from else []).cast("array<bigint>")
         parts = float(SPLIT ** level)
         inner = [F.floor((F.col("x") / F.col("side") - F.col("cx")) * parts),
                  F.floor((F.col("y") / F.col("side") - F.col("cy")) * parts)]
         if isinstance(self.metric, Multimodal):
             height = 2 * self.metric.altitude
             inner += [F.floor((F.col("z") / height - F.col("cz")) * parts),
-                      F.xxhash64("sig") if level > 1 else F.lit(0).cast("bigint")]
+                      F.xxhash64("sig") if level >= scan_from else F.lit(0).cast("bigint")]
         return F.array(*[c.cast("bigint") for c in inner])
 
-    def _boxes(self, wanted: DataFrame, level: int) -> DataFrame:
+    def _boxes(self, wanted: DataFrame, level: int, scan_from: int = 2) -> DataFrame:
         """The boxes of a level, with their numbers of points, inside the wanted (node, up)."""
-        up = self._sub_cell(level - 1) if level > 1 else F.array().cast("array<bigint>")
-        rows = self.points.where("dense").withColumns({"up": up, "sub": self._sub_cell(level)})
+        rows = self.points.where("dense").withColumns({
+            "up": self._sub_cell(level - 1, scan_from), "sub": self._sub_cell(level, scan_from)})
         return cut_lineage(rows.join(wanted, on=["node", "up"], how="left_semi")
                            .groupBy("node", "up", "sub")
                            .agg(F.count(F.lit(1)).alias("n"), *_box_aggregates()))
 
-    def _split(self, open_: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    def _split(self, open_: DataFrame, level: int, scan_from: int = 2,
+               differing: bool = False) -> tuple[DataFrame, DataFrame]:
         """Split the boxes of undecided pairs; returns (still undecided, new links)."""
         wanted = open_.select(F.col("an").alias("node"), F.col("sa").alias("up")).unionByName(
             open_.select(F.col("bn").alias("node"), F.col("sb").alias("up"))).distinct()
-        boxes = self._boxes(wanted, level)
+        boxes = self._boxes(wanted, level, scan_from)
         side = lambda n, s, name: boxes.select(
             F.col("node").alias(n), F.col("up").alias(s), F.col("sub").alias(f"{s}2"),
             _box(name))
         pairs = (open_.join(side("an", "sa", "a"), on=["an", "sa"])
                  .join(side("bn", "sb", "b"), on=["bn", "sb"]))
+        if differing:
+            pairs = _differing(self.metric, pairs)
         state = cut_lineage(_decided(self.metric, pairs, ["an", "bn", "sa2", "sb2"]))
         found = state.where("linked").select("an", "bn").distinct()
         left = (state.where(~F.col("linked")).join(found, on=["an", "bn"], how="left_anti")

@@ -198,3 +198,32 @@ def test_squared_silhouette_equals_all_pairs(spark):
     df = spark.createDataFrame(rows, "user string, longitude double, latitude double, label int")
     got = {r["user"]: r["silhouette"] for r in silhouette.silhouette_squared(df, "user").collect()}
     assert got == pytest.approx(want)
+
+
+def test_crowded_cells_of_many_scans_are_not_compared_scan_by_scan(spark, monkeypatch):
+    """Two cells with 400 scans each, one linked by a common scan, one by closeness."""
+    metric = db.Multimodal(eps=1.0)
+    pairs = [[f"h{i:02d}", f"h{j:02d}"] for i in range(40) for j in range(i)]
+    cells = [(0.0, pairs[:400]), (0.5, pairs[300:301] * 3 + pairs[400:700]),
+             (-0.5, pairs[380:760]), (0.05, pairs[700:720]), (-0.05, [[]] * 8),
+             (0.9, pairs[760:])]
+    x, sig = (list(v) for v in zip(*[(x, s[::-1]) for x, group in cells for s in group]))
+    ids = np.arange(len(x)) + 10
+    ham = np.array([[len(set(a) ^ set(b)) / 40 for b in sig] for a in sig])
+    apart = np.abs(np.array(x)[:, None] - np.array(x)[None, :])
+    truth = brute_labels(apart * (1 + .025 * -10 + 250 * (ham - .001)) <= 1.0, ids, 6)
+    df = spark.createDataFrame(
+        [("u", int(i), float(v), 0.0, 600.0, s, 40) for i, v, s in zip(ids, x, sig)],
+        "user string, event_id bigint, x double, y double, z double, sig array<string>, "
+        "vocab bigint").repartition(3)
+    compared = []
+
+    def counting(metric, pairs, keep, decide=db._decided):
+        compared.append(pairs.count())
+        return decide(metric, pairs, keep)
+
+    monkeypatch.setattr(db, "_decided", counting)
+    got = {r["event_id"]: r["label"] for r in db.dbscan(df, metric).collect()}
+    assert got == dict(zip(ids.tolist(), truth.tolist()))
+    assert len(set(got.values())) == 2
+    assert sum(compared) < 20_000  # the scans of the first three cells make 360,000 pairs
