@@ -186,10 +186,14 @@ def _unconnected(open_: DataFrame, links: DataFrame) -> DataFrame:
     return open_.where(of[0] != of[1]).drop("an_of", "bn_of")
 
 
-def _around(rx: str = "rx", ry: str = "ry") -> list[Column]:
-    """The 3 x 3 wide cells around a wide cell, as exploded columns."""
-    near = F.array(*[F.struct((F.col(rx) + i).alias("rx"), (F.col(ry) + j).alias("ry"))
-                     for i in (-1, 0, 1) for j in (-1, 0, 1)])
+_RING = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+_AHEAD = [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]  # one of each two that face each other
+
+
+def _around(offsets: list[tuple[int, int]] = _RING) -> list[Column]:
+    """The wide cells around a wide cell, as exploded columns."""
+    near = F.array(*[F.struct((F.col("rx") + i).alias("rx"), (F.col("ry") + j).alias("ry"),
+                              F.lit((i, j) != (0, 0)).alias("other_cell")) for i, j in offsets])
     return [F.inline(near)]
 
 
@@ -222,15 +226,22 @@ class _Grid:
         """(id, cell of the neighbours, other, n) for every sparse point.
 
         ``other`` is the neighbour's id in a sparse cell (a bounded number) and
-        null for a dense cell, whose members are only counted.
+        null for a dense cell, whose members are only counted. Points of two wide
+        cells meet once and stand for both.
         """
-        sparse = self.points.where(~F.col("dense")).select(
-            "by", "id", F.col("node").alias("own"), self._point("p"), *_around())
-        others = self.points.where(~F.col("dense")).select("by", "rx", "ry", "node",
-                                                           self._point("q"))
-        pairs = sparse.join(others, on=["by", "rx", "ry"]).where(_near(self.metric, "p", "q"))
-        each = pairs.groupBy("id", "own", "node", F.col("q.id").alias("other")).agg(
-            F.count(F.lit(1)).alias("n"))
+        sparse = self.points.where(~F.col("dense"))
+        left = sparse.select("by", "id", F.col("node").alias("own"), self._point("p"),
+                             *_around(_AHEAD))
+        right = sparse.select("by", "rx", "ry", "node", self._point("q"))
+        pairs = left.join(right, on=["by", "rx", "ry"]).where(_near(self.metric, "p", "q"))
+
+        def way(*columns: str) -> Column:
+            names = ("id", "own", "node", "other")
+            return F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+
+        there, back = way("id", "own", "node", "q.id"), way("q.id", "node", "own", "id")
+        each = pairs.select(F.inline(F.when(F.col("other_cell"), F.array(there, back))
+                                     .otherwise(F.array(there)))).withColumn("n", F.lit(1).cast("bigint"))
         return each.unionByName(self._dense_counts(sparse))
 
     def _dense_counts(self, sparse: DataFrame) -> DataFrame:
@@ -239,8 +250,10 @@ class _Grid:
         spot = F.struct(*[p[c].alias(f"{c}{i}") for c in ("x", "y", "z", "sig") for i in (0, 1)],
                         p["vocab"].alias("vocab")).alias("a")
         keep = ["id", "own", "node", "n", "a"]
-        cells = self.cells.where("dense").select("by", "rx", "ry", "node", "n", _box("b"))
-        pairs = sparse.select("by", "id", "own", "rx", "ry", spot).join(cells, ["by", "rx", "ry"])
+        # there are fewer dense cells than points, so these are dealt to the cells around them
+        cells = self.cells.where("dense").select("by", "node", "n", _box("b"), *_around())
+        points = sparse.select("by", "id", F.col("node").alias("own"), "rx", "ry", self._point("p"))
+        pairs = points.select("by", "id", "own", "rx", "ry", spot).join(cells, ["by", "rx", "ry"])
         state = cut_lineage(_decided(self.metric, pairs, keep))
         counted = state.where("linked").select("id", "own", "node", "n")
         open_ = state.where(~F.col("linked")).withColumn("up", F.array().cast("array<bigint>"))
@@ -376,7 +389,7 @@ def dbscan(df: DataFrame, metric, by: str = "user", id_: str = "event_id",
     in_sparse = near.where("other is not null").join(
         core.select(F.col("id").alias("other")), on="other", how="left_semi").select(
         "id", "own", "node")
-    touching = in_dense.unionByName(in_sparse).distinct()
+    touching = cut_lineage(in_dense.unionByName(in_sparse).distinct())
     links = (touching.join(core.select("id"), on="id", how="left_semi")
              .select(F.col("own").alias("an"), F.col("node").alias("bn"))
              .unionByName(grid.dense_links()))

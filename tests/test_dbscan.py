@@ -227,3 +227,25 @@ def test_crowded_cells_of_many_scans_are_not_compared_scan_by_scan(spark, monkey
     assert got == dict(zip(ids.tolist(), truth.tolist()))
     assert len(set(got.values())) == 2
     assert sum(compared) < 20_000  # the scans of the first three cells make 360,000 pairs
+
+
+def test_sparse_points_of_two_cells_meet_once(spark):
+    """Every near pair stands in both directions, without a grouping of the pairs."""
+    rng = np.random.default_rng(9)
+    xy = np.vstack([rng.uniform(-6, 6, (300, 2)), rng.normal(0, 0.3, (100, 2))])
+    df = spark.createDataFrame([("u", i, float(x), float(y)) for i, (x, y) in enumerate(xy)],
+                               "user string, event_id bigint, longitude double, latitude double")
+    grid = db._Grid(db.plain_points(df), db.Euclidean(1.0), "user", "event_id", 6)
+    found = grid.sparse_neighbours()
+    sparse = sorted(r["id"] for r in grid.points.where("not dense").collect())
+    near = euclid(xy, 1.0)
+    want = sorted((i, j) for i in sparse for j in sparse if near[i, j])
+    rows = found.where("other is not null").collect()
+    assert sorted((r["id"], r["other"]) for r in rows) == want and len(want) > 500
+    node = {r["id"]: r["node"] for r in grid.points.collect()}
+    assert all((r["own"], r["node"], r["n"]) == (node[r["id"]], node[r["other"]], 1) for r in rows)
+    members = {n: [i for i in node if node[i] == n] for n in set(node.values())}
+    for r in found.where("other is null").collect():
+        assert r["n"] == near[r["id"], members[r["node"]]].sum()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1  # the counts of dense cells only
