@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayprints.operators.ordered import row_numbers
+from dayprints.session import cut_lineage
 
 POTENTIAL, OUTLIER = "pMicroCluster", "oMicroCluster"
 
@@ -68,8 +69,10 @@ def cluster_summary(df: DataFrame, by: str = "user", lam: float = Params.lam) ->
     ``df`` has by, event_id, ts, t (clock), label, longitude, latitude. The
     newest member counts fully and each earlier one fades by one more step.
     """
-    rows = row_numbers(df.where("label <> -1"), [by, "label"], ["ts", "event_id"], "back",
-                       descending=True)
+    # written once: the numbers need several passes, and ``df`` is often a clustering
+    rows = cut_lineage(df.where("label <> -1").select(
+        by, "label", "ts", "event_id", "t", "longitude", "latitude"))
+    rows = row_numbers(rows, [by, "label"], ["ts", "event_id"], "back", descending=True)
     w = faded(F.lit(1.0), lam, F.col("back") - 1)
     x, y = F.col("longitude"), F.col("latitude")
     return rows.groupBy(by, "label").agg(

@@ -253,3 +253,22 @@ def test_prune_and_upsert(spark):
     out = mc.cluster_upsert(df, updated).collect()
     assert sorted((r["user"], r["weight"]) for r in out) == [
         ("u", 0.99), ("u", 1.0), ("u", 9.0), ("v", 3.0)]
+
+
+def test_summary_reads_its_rows_once(spark):
+    """What comes out of a clustering is not made again for every pass of the row numbers."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.range(500).select(
+        F.lit("u").alias("user"), F.col("id").alias("event_id"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.col("id").alias("t"),
+        (F.col("id") % 3 - 1).alias("label"), F.col("id").cast("double").alias("longitude"),
+        F.lit(1.0).alias("latitude"))
+    got = mc.cluster_summary(rows.mapInPandas(counted, rows.schema)).collect()
+    assert {r["label"]: (r["N"], r["creationTimeStamp"]) for r in got} == {0: (167, 499), 1: (166, 497)}
+    assert read.value == 500
