@@ -17,6 +17,7 @@ import math
 import re
 import struct
 import sys
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,6 +26,7 @@ import numpy as np
 import regex
 
 INF = math.inf
+NEVER = 1 << 62  # a rank beyond all
 START = 0xFFFFFF
 _RUNS = re.compile(rb"[\x00-\x7f]+|[\x80-\xff]+")
 
@@ -79,6 +81,8 @@ class Merges:
         self._right: dict[bytes, list] = {}
         self._left: dict[bytes, list] = {}
         self.known_fits: dict[int, bool] = {}
+        self._by_bytes = pairs is None and all(bytes([i]) in self.ids for i in range(256))
+        self._flat: list[tuple] = []  # of both sides: parts and ranks of edges, and their begins
 
     def replay(self, piece: bytes, down_to: int = 1) -> list[bytes]:
         """The parts of ``piece`` after merging, lowest rank first and leftmost on ties."""
@@ -155,6 +159,57 @@ class Merges:
                 j += 1
 
 
+    def _tables(self) -> None:
+        """Ranks of all pairs of tokens that join, in order of the pairs, and empty edges."""
+        ids, joins = self.ids, []
+        for token, number in ids.items():
+            for k in range(1, len(token)):
+                a, b = ids.get(token[:k]), ids.get(token[k:])
+                if a is not None and b is not None:
+                    joins.append((a << 24 | b, number))
+        joins = np.array(joins, np.int64).reshape(-1, 2)
+        self._joins, self._ranks = joins[np.argsort(joins[:, 0])].T.copy()
+        room = max(ids.values()) + 1
+        self._canonical = np.zeros(room, bool)
+        self._flat = [(array("q"), array("q"), np.full(room, -1)) for _ in range(2)]
+
+    def _edges(self, tokens: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The edges of all tokens asked for so far: parts, ranks that end them, and begins."""
+        parts, ends, begin = self._flat[side]
+        memo = self._right if side else self._left
+        for number in np.unique(tokens[begin[tokens] < 0]).tolist():
+            token, begin[number] = self.bytes_of[number], len(parts)
+            self._canonical[number] = self.split(token) is not None
+            for part, end in self._edge(token, side, memo):
+                parts.append(self.ids[part])
+                ends.append(NEVER if end == INF else end)
+        return np.frombuffer(parts, np.int64), np.frombuffer(ends, np.int64), begin
+
+    def fit(self, pairs: np.ndarray) -> np.ndarray:
+        """``fits`` for many pairs a << 24 | b, whose derivations run side by side."""
+        if not self._by_bytes:
+            return np.array([self.fits(x >> 24, x & 0xFFFFFF) for x in pairs.tolist()], bool)
+        if not self._flat:
+            self._tables()
+        a, b = pairs >> 24, pairs & 0xFFFFFF
+        right, right_ends, right_begin = self._edges(b, 0)
+        good = self._canonical[b]
+        left, left_ends, left_begin = self._edges(a[a != START], 1)
+        open_ = np.flatnonzero(good & (a != START))
+        i, j = left_begin[a[open_]], right_begin[b[open_]]
+        while len(open_):
+            x_ends, y_ends = left_ends[i], right_ends[j]
+            joined = left[i] << 24 | right[j]
+            at = np.minimum(np.searchsorted(self._joins, joined), len(self._joins) - 1)
+            rank = np.where(self._joins[at] == joined, self._ranks[at], NEVER)
+            parted = (rank < x_ends) & (rank <= y_ends)
+            good[open_[parted]] = False
+            on_left = x_ends <= y_ends
+            on = ~parted & ~(on_left & (x_ends == NEVER))
+            open_, i, j = open_[on], (i + on_left)[on], (j + ~on_left)[on]
+        return good
+
+
 class Trie:
     """The tokens by their bytes, as numbers: node 0 is the root, -1 stands for no token."""
 
@@ -175,6 +230,18 @@ class Trie:
                     self.below.append(none)
                 node = following
             self.token[node] = number
+        # the same for many nodes at once: edges by node and byte, in order
+        edges = [(node << 8 | byte, to) for node, children in enumerate(self.below)
+                 for byte, to in children.items()]
+        self._edges, self._to = np.array(sorted(edges), np.int64).reshape(-1, 2).T.copy()
+        self.tokens = np.array(self.token, np.int64)
+        self.extended = np.fromiter(map(bool, self.below), bool, len(self.below))
+
+    def children(self, nodes: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """The node that extends each node by a byte, or -1."""
+        edges = nodes << 8 | following
+        at = np.minimum(np.searchsorted(self._edges, edges), len(self._edges) - 1)
+        return np.where(self._edges[at] == edges, self._to[at], -1)
 
 
 def _uncollected(work, *args):
@@ -207,8 +274,8 @@ class Encoder:
     ``MAX_MOVES``, and ``LEARN`` more of each during a step.
     """
 
-    MAX_STATES = 160_000
-    MAX_MOVES = 320_000
+    MAX_STATES = 60_000
+    MAX_MOVES = 120_000
     LEARN = 50_000  # pieces that step through the machine side by side
     MAX_PIECES = 150_000
     TOGETHER = 1_000_000
@@ -222,7 +289,7 @@ class Encoder:
         self.size = {i: len(t) for i, t in self.merges.bytes_of.items()}
         self._sizes = np.zeros(max(self.size) + 1, np.int64)
         self._sizes[list(self.size)] = list(self.size.values())
-        self.written = {i: str(i) for i in self.size}
+        self.written = by_number({i: str(i) for i in self.size}, None)
         self._reset()
         self._new: dict[str, bytes] = {}  # pieces and their ids, packed
         self._old: dict[str, bytes] = {}
@@ -274,6 +341,42 @@ class Encoder:
         move = self._moves[state << 8 | byte] = self._state(self._packed(alive)) << 32 | done
         return move
 
+    def _make(self, keys: list[int]) -> list[int]:
+        """The moves of states on bytes, as ``_move`` makes them, many side by side."""
+        ways = [self._paths[key >> 8] for key in keys]
+        lengths = np.fromiter(map(len, ways), np.int64, len(ways)) >> 3
+        row = np.repeat(np.arange(len(keys)), lengths)
+        paths = np.frombuffer(b"".join(ways), np.int64)
+        child = self.trie.children(paths >> 24, np.array(keys, np.int64)[row] & 255)
+        live = child >= 0
+        row, child, last = row[live], child[live], paths[live] & 0xFFFFFF
+        done = np.full(len(keys), -1, np.int64)
+        open_ = np.flatnonzero(self.trie.tokens[child] >= 0)
+        while len(open_):  # the longest token of each row that is still open
+            first = np.ones(len(open_), bool)
+            first[1:] = row[open_[1:]] != row[open_[:-1]]
+            tried = open_[first]
+            ended = self.trie.tokens[child[tried]]
+            pairs, place = np.unique(last[tried] << 24 | ended, return_inverse=True)
+            good = self.merges.fit(pairs)[place]
+            done[row[tried[good]]] = ended[good]
+            open_ = open_[~first]
+            open_ = open_[done[row[open_]] < 0]
+        if done.min() < 0:
+            raise ValueError(f"the vocabulary has no token for byte {keys[done.argmin()] & 255}")
+        on = self.trie.extended[child]
+        row, child, last = row[on], child[on], last[on]
+        ends = np.cumsum(np.bincount(row, minlength=len(keys)) + 1)
+        alive = np.empty(ends[-1], np.int64)
+        alive[np.arange(len(row)) + row] = child << 24 | last
+        alive[ends - 1] = done  # a path at the root
+        packed, begin, moves = alive.tobytes(), 0, []
+        for key, end, token in zip(keys, (8 * ends).tolist(), done.tolist(), strict=True):
+            move = self._moves[key] = self._state(packed[begin:end]) << 32 | token
+            moves.append(move)
+            begin = end
+        return moves
+
     def encode_bytes(self, piece: bytes) -> list[int]:
         """Token ids of one piece, read once from left to right."""
         if self.whole and (known := self.merges.ids.get(piece)) is not None:
@@ -337,8 +440,12 @@ class Encoder:
                 state[:n] = np.array([self._state(p) for p in paths], np.int64)[place]
             moves = self._moves
             keys, place = np.unique(state[:n] << 8 | data[starts[:n] + k], return_inverse=True)
-            made = np.fromiter((self._move(x >> 8, x & 255) if (m := moves.get(x)) is None else m
-                                for x in keys.tolist()), np.int64, len(keys))[place]
+            made = list(map(moves.get, keys := keys.tolist()))
+            fresh = [i for i, move in enumerate(made) if move is None]
+            if fresh:
+                for i, move in zip(fresh, self._make([keys[i] for i in fresh]), strict=True):
+                    made[i] = move
+            made = np.array(made, np.int64)[place]
             state[:n] = made >> 32
             ends[:n, k] = made & 0xFFFFFFFF
         if self._full():
@@ -356,17 +463,23 @@ class Encoder:
             found[i] = flat[a:b]
         return found
 
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of texts. Pieces seen lately are remembered, in two generations."""
         found = [self.pieces.findall(t) for t in texts]
+        bounds = np.cumsum([0, *map(len, found)]).tolist()
+        pieces = list(chain.from_iterable(found))
+        del found
         if len(self._new) > self.MAX_PIECES:
             self._old, self._new = self._new, {}
         known, old, ids = self._new, self._old, self.merges.ids
-        missing = set(chain.from_iterable(found)).difference(known)
-        for piece in missing.intersection(old):
-            known[piece] = old[piece]
+        out = list(map(known.get, pieces))
+        unknown = [i for i, packed in enumerate(out) if packed is None]
         fresh, raws, long = [], [], []
-        for piece in missing.difference(old):
+        for piece in set(map(pieces.__getitem__, unknown)):
+            packed = old.get(piece)
+            if packed is not None:
+                known[piece] = packed
+                continue
             raw = piece.encode("utf-8")
             if self.whole and raw in ids:
                 known[piece] = ids[raw].to_bytes(4, sys.byteorder)
@@ -379,22 +492,28 @@ class Encoder:
         for at in range(0, len(fresh), self.LEARN):
             part = slice(at, at + self.LEARN)
             known.update(zip(fresh[part], self._learn(raws[part]), strict=True))
-        out = [np.frombuffer(b"".join(map(known.__getitem__, f)), np.int32).tolist()
-               for f in found]
+        for i in unknown:
+            out[i] = known[pieces[i]]
         for piece in long:
             del known[piece]
-        return out
+        return [np.frombuffer(b"".join(out[a:b]), np.int32) for a, b in zip(bounds, bounds[1:])]
 
-    def encode_all(self, texts) -> Iterator[list[int]]:
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        return [ids.tolist() for ids in self.arrays(texts)]
+
+    def arrays_of_all(self, texts) -> Iterator[np.ndarray]:
         """Token ids of each text (None: empty), a few megabytes of text at a time."""
         waiting, size = [], 0
         for text in texts:
             waiting.append(text or "")
             size += len(waiting[-1])
             if size >= self.TOGETHER:
-                yield from _uncollected(self.encode_many, waiting)
+                yield from _uncollected(self.arrays, waiting)
                 waiting, size = [], 0
-        yield from _uncollected(self.encode_many, waiting)
+        yield from _uncollected(self.arrays, waiting)
+
+    def encode_all(self, texts) -> Iterator[list[int]]:
+        return (ids.tolist() for ids in self.arrays_of_all(texts))
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0]
@@ -453,6 +572,15 @@ class Utf8Machine:
         return "\ufffd" if left else ""
 
 
+def by_number(values: dict, hole) -> np.ndarray:
+    """Values by their keys, small whole numbers; ``hole`` where there is no key."""
+    out = np.empty(max(values) + 1, object)
+    out.fill(hole)
+    for i, value in values.items():
+        out[i] = value
+    return out
+
+
 class Decoder:
     """Ids to bytes, or to text as the ids arrive. Unknown ids raise."""
 
@@ -466,6 +594,8 @@ class Decoder:
             machine = Utf8Machine()
             shown = machine.feed(raw)
             self.whole[i] = shown if machine.at_border and "\ufffd" not in shown else None
+        self._whole = by_number(self.whole, ())
+        self._cut = np.array([not isinstance(x, str) for x in self._whole], bool)
 
     def to_bytes(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -481,13 +611,18 @@ class Decoder:
     def text(self, ids) -> str:
         """The decoded text. Only tokens that begin or end inside a code point go through the
         machine, with those behind them until it is at a border again."""
-        parts = list(map(self.whole.__getitem__, ids))
-        at = 0
-        while True:
-            try:
-                at = parts.index(None, at)
-            except ValueError:
-                break
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() < 0:
+            raise KeyError(int(ids.min()))
+        parts = self._whole[ids].tolist()
+        cut = np.flatnonzero(self._cut[ids]).tolist()
+        if cut:
+            ids = ids.tolist()
+        for at in cut:
+            if parts[at] is not None:
+                if isinstance(parts[at], str):
+                    continue  # read with those before it
+                raise KeyError(ids[at])
             machine, end, shown = Utf8Machine(), at, []
             while end < len(ids) and (end == at or not machine.at_border):
                 shown.append(machine.feed(self.bytes_of[ids[end]]))

@@ -2,7 +2,9 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -149,3 +151,54 @@ def test_states_and_moves_stay_bounded_on_random_letters():
     assert list(small.encode_all(texts)) == [ENCODER.encode(t) for t in texts]
     assert most[0] <= small.MAX_STATES + 2 * small.LEARN + 2
     assert most[1] <= small.MAX_MOVES + 2 * small.LEARN + 2
+
+
+def test_pairs_fit_side_by_side_as_one_by_one():
+    chance = random.Random(7)
+    one, many = bpe.Merges(VOCABULARY), bpe.Merges(VOCABULARY)
+    ids = sorted(one.bytes_of)
+    pairs = [(chance.choice([bpe.START, *ids[:3000]]), chance.choice(ids[:3000]))
+             for _ in range(4000)]
+    pairs += [(chance.choice(ids), chance.choice(ids)) for _ in range(4000)]
+    for token in chance.sample(list(one.ids), 2000):  # halves of a token do not fit
+        k = chance.randrange(1, len(token)) if len(token) > 1 else 0
+        if token[:k] in one.ids and token[k:] in one.ids:
+            pairs.append((one.ids[token[:k]], one.ids[token[k:]]))
+    for at in (0, 3000, 6000):
+        part = pairs[at:at + 3000] if at < 6000 else pairs[6000:]
+        got = many.fit(np.array([a << 24 | b for a, b in part], np.int64))
+        assert got.tolist() == [one.fits(a, b) for a, b in part]
+    assert not many.known_fits
+
+
+def test_new_words_make_no_moves_one_by_one():
+    chance = random.Random(8)
+    texts = [" ".join("".join(chance.choice("abcdefghijklmnopqrstuvwxyzéñ")
+                              for _ in range(chance.randrange(1, 14))) for _ in range(300))
+             for _ in range(20)]
+    encoder = bpe.Encoder(VOCABULARY, P.PATTERN)
+    encoder._move = encoder.merges._derive = None
+    assert list(encoder.encode_all(texts)) == [LIBRARY.encode_ordinary(t) for t in texts]
+    assert encoder.merges.known_fits == {}
+
+
+def test_tables_of_new_words_take_little_room():
+    chance = random.Random(9)
+    texts = [" ".join("".join(chance.choice("abcdefghijklmnopqrstuvwxyz")
+                              for _ in range(chance.randrange(3, 14))) for _ in range(500))
+             for _ in range(500)]
+    encoder = bpe.Encoder(VOCABULARY, P.PATTERN)
+    most = []
+    made = encoder._make
+    encoder._make = lambda keys: (made(keys), most.append(len(encoder._moves)))[0]
+    for at in range(0, 500, 50):
+        list(encoder.encode_all(texts[at:at + 50]))
+    assert 0 < max(most) <= 180_000 and not encoder.merges.known_fits
+
+
+def test_unknown_ids_raise():
+    decoder = bpe.Decoder({"ids": {b"a": 0, b"b": 2}, "specials": {}})
+    assert decoder.text([0, 2]) == "ab"
+    for ids in ([0, 1], [3], [-1]):
+        with pytest.raises((KeyError, IndexError)):
+            decoder.text(ids)
