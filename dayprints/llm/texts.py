@@ -38,6 +38,17 @@ def in_slices(parts: Iterator, rows: int = 1024) -> Iterator:
             _give_back()
 
 
+def small_batches(spark: SparkSession, rows: int = 2048) -> None:
+    """From now on at most some rows go to a Python worker at once.
+
+    A batch of whole texts stands in the worker and, outside its heap, in the executor, for each
+    running task. The session keeps the setting, as jobs are planned only when they run.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def _give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it

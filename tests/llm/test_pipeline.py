@@ -1,6 +1,8 @@
 """The registered queries and the pipeline on the smallest tables."""
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -51,3 +53,18 @@ def test_pipeline_stages_take_effect(spark):
     assert calm.columns == docs.columns and 0 < docs.count() - calm.count() <= 2 * marked + 2
     result = corpus_pipeline.run(spark, SF)
     assert 0 < result.count() < docs.count()
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_send_few_rows_at_once(spark, name):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
+        dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+        size = F.arrow_udf(lambda x: pa.array([len(x)] * len(x), pa.int64()), "bigint")
+        rows = spark.range(5000, numPartitions=1).select(size("id").alias("n"))
+        assert rows.agg(F.max("n")).first()[0] <= 2048
+    finally:
+        spark.conf.set(key, before)
